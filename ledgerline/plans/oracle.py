@@ -401,6 +401,22 @@ _BODIES = {
             from changelog
             where commit_ts <= timestamp '2024-01-20 00:00:00' - interval 3600 second)
         where rn = 1 and op <> 'DELETE'""",
+    # Through files.
+    "csv_load_orders": f"select {_ORDERS} from crm_orders",
+    "csv_load_rejects": """
+        select case when o_orderstatus = 'P' then 'amount is not a decimal(18,2): pending'
+                    else 'loaded' end as outcome, count(*) as row_count
+        from orders group by 1""",
+    "ingest_stream_orders": f"select {_ORDERS} from crm_orders",
+    "task_fact_load": """
+        select order_id, customer_id, product_id, store_id, qty,
+               cast(price as double) as sales_amount, cast(order_date as varchar) as order_date
+        from order_log where op <> 'DELETE'""",
+    "task_enrich_transactions": f"select {_RAW}, month_name, year from transactions",
+    "refresh_sales_summary": """
+        select product_id, cast(sum(sales_amount) as double) as total_sales
+        from retail_lines group by product_id""",
+    "clustered_sales_on_date": f"select {_FACT} from fact_sales where order_date = '2000-01-01'",
     "reconcile_counts": """
         select table_name, raw_rows, staging_rows, raw_rows - staging_rows as diff from (
             select 'raw_orders' as table_name, (select count(*) from order_log) as raw_rows,

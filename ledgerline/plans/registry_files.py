@@ -1,0 +1,155 @@
+"""Queries that go through files: CSV loads, streaming tasks and refreshed tables.
+
+The input files are written by Spark from the test tables, and every job works in a new folder below
+the cluster's shared one.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
+
+from ledgerline import schemas
+from ledgerline.operators import changes as cdc
+from ledgerline.plans import finance, retail
+from ledgerline.plans.registry import FACTS_SINCE, SALES_DAY, TEST_RULES, register
+from ledgerline.session import fresh_dir
+from ledgerline.sources import testdata as src
+from ledgerline.sources.csv_files import CONTINUE, CsvFormat, Source, load_csv
+from ledgerline.sources.tables import create_layers, read_table, write_clustered
+from ledgerline.streaming.changelog import ChangeLog
+from ledgerline.streaming.ingest import csv_stream, ingest_stream
+from ledgerline.streaming.refresh import refresh_sums
+from ledgerline.streaming.sink import BatchSink
+from ledgerline.streaming.tasks import load_task
+
+ORDERS = schemas.table(
+    order_id=schemas.KEY,
+    customer_id=schemas.KEY,
+    amount=DecimalType(18, 2),
+    order_date=schemas.DATE,
+)
+FORMAT = CsvFormat(header=True, quote='"', null_tokens=("NULL", "null"))
+
+
+def _drop_csv(df: DataFrame, path: str) -> None:
+    df.write.mode("append").option("header", "true").option("quoteAll", "true").csv(path)
+
+
+def _stream(spark: SparkSession, d: str, name: str) -> DataFrame:
+    # Recursive lookup also takes a table that is a single file; there is no partition folder to infer.
+    reader = spark.readStream.schema(src.table(spark, d, name).schema)
+    return reader.option("recursiveFileLookup", "true").parquet(f"{d}/{name}.parquet")
+
+
+@register()
+def csv_load_orders(spark: SparkSession, d: str) -> DataFrame:
+    """Orders written as quoted CSV and loaded back with their declared types."""
+    path = fresh_dir(spark, "csv-load")
+    _drop_csv(src.crm_orders(spark, d), path)
+    return load_csv(spark, Source(path, FORMAT), ORDERS).rows
+
+
+@register()
+def csv_load_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """Good and bad rows per reason when the amounts of one order status are no numbers."""
+    path = fresh_dir(spark, "csv-rejects")
+    shipped = F.col("o_orderstatus") == "P"
+    total = F.col("o_totalprice").cast(DecimalType(18, 2)).cast("string")
+    _drop_csv(
+        src.table(spark, d, "orders").select(
+            F.col("o_orderkey").alias("order_id"),
+            F.col("o_custkey").alias("customer_id"),
+            F.when(shipped, "pending").otherwise(total).alias("amount"),
+            F.to_date("o_orderdate").alias("order_date"),
+        ),
+        path,
+    )
+    loaded = load_csv(spark, Source(path, FORMAT), ORDERS, on_error=CONTINUE)
+    good = loaded.rows.select(F.lit("loaded").alias("outcome"))
+    bad = loaded.rejects.select(F.col("_reject_reason").alias("outcome"))
+    return good.unionByName(bad).groupBy("outcome").agg(F.count("*").alias("row_count"))
+
+
+@register()
+def ingest_stream_orders(spark: SparkSession, d: str) -> DataFrame:
+    """Two drops of CSV files, each followed by a run of the same ingest task."""
+    base = fresh_dir(spark, "ingest")
+    source = Source(f"{base}/drop", FORMAT)
+    target = BatchSink(spark, f"{base}/orders", ORDERS)
+    orders = src.crm_orders(spark, d)
+    early = F.col("order_date") < F.lit(FACTS_SINCE).cast("date")
+    for drop in (orders.where(early), cdc.keep_after_delete(orders, early)):
+        _drop_csv(drop, source.path)
+        ingest_stream(
+            "ingest_orders", csv_stream(spark, source, ORDERS), target, f"{base}/checkpoint"
+        ).run()
+    return target.read()
+
+
+@register()
+def task_fact_load(spark: SparkSession, d: str) -> DataFrame:
+    """Raw orders logged as changes, then loaded into the facts by a task following the log."""
+    base = fresh_dir(spark, "fact-load")
+    log = ChangeLog(spark, f"{base}/log", src.retail_orders(spark, d).schema)
+    target = BatchSink(spark, f"{base}/facts", retail.load_fact_sales(log.read()).schema)
+    task = None
+    orders = src.retail_order_log(spark, d)
+    early = F.col("order_date") < F.lit(FACTS_SINCE).cast("date")
+    for commit in (orders.where(early), cdc.keep_after_delete(orders, early)):
+        log.commit(commit)
+        task = task or load_task(
+            "load_facts",
+            log.stream(),
+            target,
+            f"{base}/checkpoint",
+            transform=retail.load_fact_sales,
+        )
+        task.run()
+    return target.read()
+
+
+@register()
+def task_enrich_transactions(spark: SparkSession, d: str) -> DataFrame:
+    """Transactions enriched as they stream in, with the merchants joined from their table."""
+    base = fresh_dir(spark, "enrich")
+    raw = src.with_merchant(
+        src.transaction_lines(_stream(spark, d, "lineitem")), src.table(spark, d, "part")
+    )
+    curated = finance.enrich_transactions(raw, TEST_RULES)
+    target = BatchSink(spark, f"{base}/transactions", curated.schema)
+    load_task(
+        "enrich", curated, target, f"{base}/checkpoint", transform=lambda rows: rows
+    ).run()
+    return target.read()
+
+
+@register()
+def refresh_sales_summary(spark: SparkSession, d: str) -> DataFrame:
+    """The sales summary kept up to date from the stream of facts."""
+    base = fresh_dir(spark, "refresh")
+    schema = f"refresh_{uuid.uuid4().hex}"
+    create_layers(spark, schema, base=base)
+    facts = retail.build_fact_sales(src.retail_lines(_stream(spark, d, "lineitem")))
+    refresh_sums(
+        "sales_summary",
+        facts,
+        ["product_id"],
+        [F.sum("sales_amount").alias("total_sales")],
+        f"{schema}.sales_summary",
+        f"{base}/checkpoint",
+    ).run()
+    return read_table(spark, f"{schema}.sales_summary")
+
+
+@register()
+def clustered_sales_on_date(spark: SparkSession, d: str) -> DataFrame:
+    """One day of the facts, read from a copy clustered by date."""
+    schema = f"clustered_{uuid.uuid4().hex}"
+    create_layers(spark, schema, base=fresh_dir(spark, "clustered"))
+    facts = retail.build_fact_sales(src.retail_orders(spark, d))
+    write_clustered(facts, f"{schema}.fact_sales", "order_date")
+    return retail.sales_on(read_table(spark, f"{schema}.fact_sales"), SALES_DAY)
