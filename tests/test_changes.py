@@ -1,0 +1,180 @@
+import datetime as dt
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from ledgerline.operators import changes as cdc
+from ledgerline.operators.counts import reconcile
+from ledgerline.operators.stored_sums import merge_sums, partial_sums, read_sums
+
+LOG = "pk long, v long, op string, seq long, commit_ts timestamp"
+T0 = dt.datetime(2024, 1, 1)
+
+
+def make_log(spark, entries):
+    """entries: (pk, v, op), one commit per minute."""
+    data = [
+        (pk, v, op, seq, T0 + dt.timedelta(minutes=seq)) for seq, (pk, v, op) in enumerate(entries)
+    ]
+    return spark.createDataFrame(data, LOG)
+
+
+def replay(entries, until=None):
+    state = {}
+    for seq, (pk, v, op) in enumerate(entries):
+        if until is not None and seq > until:
+            break
+        if op == "DELETE":
+            state.pop(pk, None)
+        else:
+            state[pk] = v
+    return state
+
+
+def net(entries, since, until=None):
+    old, new = replay(entries, since), replay(entries, until)
+    out = set()
+    for pk in old.keys() | new.keys():
+        if pk in old and pk in new and old[pk] == new[pk]:
+            continue
+        both = pk in old and pk in new
+        if pk in old:
+            out.add((pk, old[pk], "DELETE", both))
+        if pk in new:
+            out.add((pk, new[pk], "INSERT", both))
+    return out
+
+
+STORY = [
+    (1, 10, "INSERT"),
+    (2, 20, "INSERT"),
+    (3, None, "INSERT"),
+    (None, 5, "INSERT"),
+    (1, 11, "UPDATE"),
+    (2, 20, "DELETE"),
+    (4, 40, "INSERT"),
+    (4, 40, "DELETE"),
+    (3, 30, "UPDATE"),
+    (1, 10, "UPDATE"),
+    (5, None, "INSERT"),
+]
+
+
+def as_set(df):
+    return {tuple(r) for r in df.collect()}
+
+
+def test_changes_and_pending(spark):
+    log = make_log(spark, STORY)
+    assert {r["seq"] for r in cdc.changes(log, 3, 6).collect()} == {4, 5, 6}
+    assert cdc.pending_changes(log, 3).first()[0] == 7
+    assert cdc.pending_changes(log, 10).first()[0] == 0
+    assert cdc.pending_changes(log.limit(0), -1).first()[0] == 0
+
+
+def test_position_at(spark):
+    log = make_log(spark, STORY)
+    assert cdc.position_at(log, T0) == -1
+    assert cdc.position_at(log, T0 + dt.timedelta(minutes=3)) == 2
+
+
+@pytest.mark.parametrize("since,until", [(-1, None), (3, None), (3, 7), (0, 4), (5, 5), (8, 9)])
+def test_net_changes(spark, since, until):
+    assert as_set(cdc.net_changes(make_log(spark, STORY), "pk", since, until)) == net(
+        STORY, since, until
+    )
+
+
+def test_insert_then_delete_cancels(spark):
+    assert cdc.net_changes(make_log(spark, STORY), "pk", 5, 7).count() == 0
+
+
+entry = st.tuples(
+    st.integers(0, 4),
+    st.one_of(st.none(), st.integers(0, 2)),
+    st.sampled_from(["INSERT", "UPDATE", "DELETE"]),
+)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(entry, min_size=1, max_size=25), st.data())
+def test_any_log(spark, entries, data):
+    since = data.draw(st.integers(-1, len(entries)))
+    until = data.draw(st.integers(since, len(entries)))
+    log = make_log(spark, entries)
+    assert as_set(cdc.net_changes(log, "pk", since, until)) == net(entries, since, until)
+    assert as_set(cdc.state_at(log, "pk", until)) == set(replay(entries, until).items())
+    applied = cdc.apply_changes(
+        cdc.state_at(log, "pk", since), cdc.changes(log, since, until), "pk"
+    )
+    assert as_set(applied) == set(replay(entries, until).items())
+
+
+def test_composite_key(spark):
+    data = [
+        (1, "a", 10, "INSERT", 0, T0),
+        (1, "b", 20, "INSERT", 1, T0),
+        (1, "a", 11, "UPDATE", 2, T0),
+        (1, "b", 20, "DELETE", 3, T0),
+    ]
+    log = spark.createDataFrame(
+        data, "k long, c string, v long, op string, seq long, commit_ts timestamp"
+    )
+    assert as_set(cdc.state_at(log, ["k", "c"])) == {(1, "a", 11)}
+    target = cdc.state_at(log, ["k", "c"], 1)
+    assert as_set(cdc.apply_changes(target, cdc.changes(log, 1), ["k", "c"])) == {(1, "a", 11)}
+
+
+def test_as_of(spark):
+    log = make_log(spark, STORY)
+    now = T0 + dt.timedelta(minutes=10)
+    for offset in (0, 300, 3600):
+        until = 10 - offset // 60
+        expected = set(replay(STORY, until).items()) if until >= 0 else set()
+        assert as_set(cdc.as_of(log, "pk", now, offset)) == expected
+    assert as_set(cdc.as_of(log, "pk")) == set(replay(STORY).items())
+
+
+def test_net_row_changes_counts_equal_rows(spark):
+    data = [(1, 1, "INSERT"), (1, 1, "INSERT"), (2, 2, "INSERT"), (2, 2, "DELETE"), (3, 3, "DELETE")]
+    log = make_log(spark, data)
+    assert as_set(cdc.net_row_changes(log, -1)) == {
+        (1, 1, "INSERT", False, 2),
+        (3, 3, "DELETE", False, 1),
+    }
+    assert as_set(cdc.rows_after(log)) == {(1, 1, 2)}
+
+
+def test_stored_sums_follow_deletes_and_nulls(spark):
+    facts = spark.createDataFrame(
+        [("a", 1), ("a", 2), ("b", 5), ("c", None)], "product string, amount long"
+    )
+    stored = partial_sums(facts, "product", "amount")
+    change = spark.createDataFrame(
+        [("a", 2, "DELETE"), ("b", 5, "DELETE"), ("d", 7, "INSERT"), ("c", 4, "INSERT"), ("a", None, "INSERT")],
+        "product string, amount long, action string",
+    )
+    merged = merge_sums(stored, partial_sums(change, "product", "amount"), "product")
+    assert as_set(read_sums(merged, "product")) == {("a", 1), ("c", 4), ("d", 7)}
+    emptied = spark.createDataFrame([("c", 4, "DELETE")], change.schema)
+    again = merge_sums(merged, partial_sums(emptied, "product", "amount"), "product")
+    assert as_set(read_sums(again, "product")) == {("a", 1), ("c", None), ("d", 7)}
+
+
+def test_stored_sums_follow_net_changes(spark):
+    log = make_log(spark, STORY)
+    stored = partial_sums(cdc.state_at(log, "pk", 4), "pk", "v")
+    merged = merge_sums(stored, partial_sums(cdc.net_changes(log, "pk", 4), "pk", "v"), "pk")
+    assert as_set(read_sums(merged, "pk")) == set(replay(STORY).items())
+
+
+def test_reconcile(spark):
+    pairs = [("t", spark.range(5), spark.range(3)), ("empty", spark.range(0), spark.range(0))]
+    assert as_set(reconcile(pairs)) == {("t", 5, 3, 2), ("empty", 0, 0, 0)}
+
+
+def test_delete_keeps_unknown(spark):
+    df = spark.createDataFrame([(1,), (None,), (3,)], "v int")
+    assert as_set(cdc.keep_after_delete(df, F.col("v") == 1)) == {(None,), (3,)}

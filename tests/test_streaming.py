@@ -1,0 +1,259 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline import schemas
+from ledgerline.operators import changes as cdc
+from ledgerline.operators.changes import INSERT, changes, pending_changes
+from ledgerline.plans import customers, finance
+from ledgerline.schemas import table
+from ledgerline.sources.csv_files import CsvFormat, Source, load_csv
+from ledgerline.sources import tables
+from ledgerline.streaming.changelog import ChangeLog
+from ledgerline.streaming.ingest import csv_stream, ingest_stream
+from ledgerline.streaming.refresh import refresh, refresh_sums
+from ledgerline.streaming.runlog import FAILED, SKIPPED, SUCCEEDED, RunLog
+from ledgerline.streaming.sink import BatchSink
+from ledgerline.streaming.tasks import Task, load_task, summary_task
+
+SCHEMA = table(id=schemas.KEY, v=schemas.KEY)
+FRAME = "id long, v long"
+
+
+def drop(folder, name, text):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text(text)
+
+
+@pytest.fixture
+def source(tmp_path):
+    (tmp_path / "in").mkdir()
+    return Source(str(tmp_path / "in"), CsvFormat(header=True))
+
+
+def ingest(spark, source, tmp_path, target, **options):
+    return ingest_stream(
+        "crop_pipe",
+        csv_stream(spark, source, SCHEMA),
+        target,
+        str(tmp_path / "cp-ingest"),
+        **options,
+    )
+
+
+def test_each_file_is_loaded_once(spark, tmp_path, source, rows):
+    target = BatchSink(spark, str(tmp_path / "raw"), SCHEMA)
+    drop(tmp_path / "in", "a.csv", "id,v\n1,10\nbad,1\n")
+    rejects = str(tmp_path / "rejects")
+    ingest(spark, source, tmp_path, target, rejects_path=rejects).run()
+    assert rows(target.read()) == [(1, 10)]
+    ingest(spark, source, tmp_path, target, rejects_path=rejects).run()
+    assert rows(target.read()) == [(1, 10)]
+    drop(tmp_path / "in", "b.csv", "id,v\n2,20\n")
+    ingest(spark, source, tmp_path, target, rejects_path=rejects).run()
+    assert rows(target.read()) == [(1, 10), (2, 20)]
+    assert [r["_record"] for r in spark.read.parquet(rejects).collect()] == ["bad,1"]
+
+
+def test_stream_and_batch_load_agree(spark, tmp_path, source, rows):
+    target = BatchSink(spark, str(tmp_path / "raw"), SCHEMA)
+    for i in range(3):
+        drop(tmp_path / "in", f"{i}.csv", f"id,v\n{i},1\n{i},x\n,2\n")
+        ingest(spark, source, tmp_path, target).run()
+    batch = load_csv(spark, source, SCHEMA, on_error="continue").rows
+    assert rows(target.read()) == rows(batch)
+
+
+def test_abort_stops_the_pipe_and_it_resumes(spark, tmp_path, source, rows):
+    target = BatchSink(spark, str(tmp_path / "raw"), SCHEMA)
+    drop(tmp_path / "in", "a.csv", "id,v\nbad,1\n")
+    with pytest.raises(Exception, match="id is not a bigint: bad"):
+        ingest(spark, source, tmp_path, target, on_error="abort").run()
+    drop(tmp_path / "in", "a.csv", "id,v\n1,1\n")
+    ingest(spark, source, tmp_path, target, on_error="abort").run()
+    assert rows(target.read()) == [(1, 1)]
+
+
+def test_retried_batch_is_written_once(spark, tmp_path, rows):
+    target = BatchSink(spark, str(tmp_path / "t"), SCHEMA)
+    df = spark.createDataFrame([(1, 1)], FRAME)
+    for _ in range(3):
+        target.append(df, "task-0")
+    target.append(df, "task-1")
+    assert rows(target.read()) == [(1, 1), (1, 1)]
+    log = ChangeLog(spark, str(tmp_path / "log"), SCHEMA)
+    assert [log.commit(df, INSERT, writer=w) for w in ("p-0", "p-0", "p-1")] == [0, 0, 1]
+    assert log.read().count() == 2
+
+
+def test_retry_after_good_rows_were_complete_keeps_rejects(spark, tmp_path, source):
+    target = BatchSink(spark, str(tmp_path / "raw"), SCHEMA)
+    drop(tmp_path / "in", "a.csv", "id,v\n1,10\nbad,1\n")
+    rejects = str(tmp_path / "rejects")
+    task = ingest(spark, source, tmp_path, target, rejects_path=rejects)
+    target.append(spark.createDataFrame([(1, 10)], FRAME), "crop_pipe-0")
+    task.run()
+    assert target.read().count() == 1
+    assert spark.read.parquet(rejects).count() == 1
+
+
+def test_raw_to_staging_by_change_log(spark, tmp_path, rows):
+    """Insert, see the change, run the task, see the row arrive and the change consumed."""
+    log = ChangeLog(spark, str(tmp_path / "log"), SCHEMA)
+    staging = BatchSink(spark, str(tmp_path / "staging"), SCHEMA)
+    runs = RunLog(spark, str(tmp_path / "runs"))
+    assert log.position() == -1 and log.read().count() == 0
+    log.commit(spark.createDataFrame([(1, 10)], FRAME), INSERT)
+
+    def task():
+        return load_task(
+            "crop_task", log.stream(), staging, str(tmp_path / "cp"), run_log=runs
+        )
+
+    task().run()
+    consumed = log.position()
+    assert rows(staging.read()) == [(1, 10)]
+    log.commit(spark.createDataFrame([(1001, 5)], FRAME), INSERT)
+    assert pending_changes(log.read(), consumed).first()[0] == 1
+    task().run()
+    assert rows(staging.read()) == [(1, 10), (1001, 5)]
+    assert pending_changes(log.read(), log.position()).first()[0] == 0
+    assert [r["state"] for r in runs.history("crop_task").collect()] == [SUCCEEDED, SUCCEEDED]
+    assert runs.history("other").count() == 0
+
+
+def test_ingest_into_change_log_feeds_a_task(spark, tmp_path, source, rows):
+    log = ChangeLog(spark, str(tmp_path / "log"), SCHEMA)
+    staging = BatchSink(spark, str(tmp_path / "staging"), SCHEMA)
+    for i in range(2):
+        drop(tmp_path / "in", f"{i}.csv", f"id,v\n{i},1\n")
+        ingest(spark, source, tmp_path, log).run()
+        load_task("t", log.stream(), staging, str(tmp_path / "cp")).run()
+    assert rows(staging.read()) == [(0, 1), (1, 1)]
+    assert [r["op"] for r in changes(log.read(), -1).collect()] == [INSERT, INSERT]
+
+
+def test_load_ignoring_the_action_appends_deletes(spark, tmp_path, rows):
+    log = ChangeLog(spark, str(tmp_path / "log"), SCHEMA)
+    log.commit(spark.createDataFrame([(1, 10)], FRAME), INSERT)
+    log.commit(spark.createDataFrame([(1, 10)], FRAME), "DELETE")
+    plain = BatchSink(spark, str(tmp_path / "plain"), SCHEMA)
+    load_task("as_written", log.stream(), plain, str(tmp_path / "cp1")).run()
+    assert rows(plain.read()) == [(1, 10), (1, 10)]
+    applied = cdc.apply_changes(spark.createDataFrame([], FRAME), log.read(), "id")
+    assert applied.count() == 0
+
+
+def test_stop_and_resume(spark, tmp_path, rows):
+    log = ChangeLog(spark, str(tmp_path / "log"), SCHEMA)
+    log.commit(spark.createDataFrame([(1, 1)], FRAME), INSERT)
+    staging = BatchSink(spark, str(tmp_path / "staging"), SCHEMA)
+    task = load_task("resumed", log.stream(), staging, str(tmp_path / "cp"), every="1 second")
+    task.run()
+    listed = tables.list_objects(spark, []).collect()
+    assert ("resumed", "TASK") in {(r["name"], r["kind"]) for r in listed}
+    task.stop()
+    log.commit(spark.createDataFrame([(2, 2)], FRAME), INSERT)
+    assert staging.read().count() == 1
+    task.run()
+    task.stop()
+    assert rows(staging.read()) == [(1, 1), (2, 2)]
+
+
+def test_failing_run_is_logged_and_retried(spark, tmp_path, rows):
+    log = ChangeLog(spark, str(tmp_path / "log"), SCHEMA)
+    log.commit(spark.createDataFrame([(1, 1)], FRAME), INSERT)
+    runs = RunLog(spark, str(tmp_path / "runs"))
+    staging = BatchSink(spark, str(tmp_path / "staging"), SCHEMA)
+
+    def fail(batch, label):
+        raise RuntimeError("no such column")
+
+    cp = str(tmp_path / "cp")
+    with pytest.raises(Exception, match="no such column"):
+        Task("t", log.stream(), fail, cp, run_log=runs).run()
+    load_task("t", log.stream(), staging, cp, run_log=runs).run()
+    assert staging.read().count() == 1
+    history = runs.history("t").collect()
+    assert [r["state"] for r in history] == [SUCCEEDED, FAILED]
+    assert history[1]["error_message"] == "no such column" and history[1]["query_id"] == "t-0"
+    assert runs.history().columns == schemas.RUN_LOG.fieldNames()
+
+
+def test_empty_batches_are_skipped(spark, tmp_path, source):
+    runs = RunLog(spark, str(tmp_path / "runs"))
+    done = []
+    drop(tmp_path / "in", "a.csv", "id,v\n")
+    Task(
+        "t",
+        csv_stream(spark, source, SCHEMA),
+        lambda batch, label: done.append(label),
+        str(tmp_path / "cp"),
+        run_log=runs,
+    ).run()
+    assert done == []
+    assert [r["state"] for r in runs.history().collect()] == [SKIPPED]
+
+
+ORDERS = table(order_id=schemas.KEY, customer_id=schemas.KEY, amount=schemas.KEY)
+
+
+def test_summary_task_appends_or_replaces(spark, tmp_path, schema, rows):
+    people = spark.createDataFrame([(1, "A", "X")], "customer_id long, name string, city string")
+    log = ChangeLog(spark, str(tmp_path / "log"), ORDERS)
+    appended = BatchSink(spark, str(tmp_path / "summary"), schemas.CUSTOMER_SUMMARY)
+    stored = f"{schema}.customer_summary"
+
+    def build():
+        return customers.customer_summary(people, log.read())
+
+    for order in ((1, 1, 10), (2, 1, 5)):
+        log.commit(spark.createDataFrame([order], "order_id long, customer_id long, amount long"), INSERT)
+        summary_task(
+            "append", log.stream(), build, appended.append, str(tmp_path / "cp1")
+        ).run()
+        refresh("replace", log.stream(), build, stored, str(tmp_path / "cp2")).run()
+    assert rows(appended.read()) == [(1, "A", "X", 1, 10), (1, "A", "X", 2, 15)]
+    assert rows(customers.spend_by_name(appended.read())) == [("A", 25)]
+    assert rows(spark.table(stored)) == [(1, "A", "X", 2, 15)]
+    assert rows(customers.mv_customer(spark.table(stored))) == [("A", 15)]
+
+
+def test_refreshed_sums_read_only_new_rows(spark, tmp_path, schema, rows):
+    log = ChangeLog(spark, str(tmp_path / "log"), SCHEMA)
+    name = f"{schema}.sums"
+    for batch in ([(1, 10), (2, 1)], [(1, 5)], [(3, None)]):
+        log.commit(spark.createDataFrame(batch, FRAME), INSERT)
+        refresh_sums(
+            "sums", log.stream(), ["id"], [F.sum("v").alias("total")], name, str(tmp_path / "cp")
+        ).run()
+    assert rows(spark.table(name)) == [(1, 15), (2, 1), (3, None)]
+
+
+def test_streamed_enrichment_equals_batch(spark, tmp_path, rows):
+    raw = schemas.TRANSACTIONS_RAW
+    data = [
+        (1, dt.date(2025, 1, 5), "SWIGGY order", -10, "DEBIT", "Misc"),
+        (2, dt.date(2026, 1, 5), "gossip mag", -5, "DEBIT", None),
+        (3, None, None, 7, "CREDIT", "Pay"),
+    ]
+    log = ChangeLog(spark, str(tmp_path / "log"), raw)
+    target = None
+    frames = []
+    for r in data:
+        values = (r[0], r[1], r[2], r[3], r[4], r[5])
+        frame = spark.createDataFrame(
+            [values], "transaction_id int, txn_date date, description string, amount int, type string, category string"
+        ).select(*[F.col(f.name).cast(f.dataType) for f in raw])
+        frames.append(frame)
+        log.commit(frame, INSERT)
+        enriched = finance.enrich_transactions(log.stream())
+        target = target or BatchSink(
+            spark, str(tmp_path / "curated"), enriched.drop(*cdc.META).schema
+        )
+        load_task("enrich", enriched, target, str(tmp_path / "cp")).run()
+    batch = finance.enrich_transactions(frames[0].union(frames[1]).union(frames[2]))
+    assert rows(target.read()) == rows(batch)
+    got = {int(r["transaction_id"]): (r["category"], r["month_name"], r["year"]) for r in target.read().collect()}
+    assert got == {1: ("Food", "Jan", 2025), 2: ("Investment", "Jan", 2026), 3: ("Pay", None, None)}
