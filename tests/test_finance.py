@@ -1,0 +1,113 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline.functions import kpi
+from ledgerline.functions.categories import categorize
+from ledgerline.plans import finance
+
+SCHEMA = "transaction_id long, txn_date date, description string, amount decimal(10,2), type string, category string"
+
+
+def day(text):
+    return dt.date.fromisoformat(text)
+
+
+@pytest.fixture
+def transactions(spark):
+    rows = [
+        (1, day("2025-01-31"), "Swiggy lunch", Decimal("-10.50"), "DEBIT", "x"),
+        (2, day("2026-01-01"), "UBER ride via amazon", Decimal("-20.00"), "DEBIT", "x"),
+        (3, day("2025-02-01"), "salary", Decimal("100.00"), "CREDIT", "Pay"),
+        (4, None, None, Decimal("-1.00"), "DEBIT", None),
+        (5, day("2025-02-02"), "refund", None, "DEBIT", "Misc"),
+        (6, day("2025-02-03"), "odd", Decimal("5.00"), "OTHER", "Misc"),
+    ]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_first_matching_keyword_wins(transactions):
+    got = {r["transaction_id"]: r["category"] for r in finance.enrich_transactions(transactions).collect()}
+    assert got == {1: "Food", 2: "Shopping", 3: "Pay", 4: None, 5: "Misc", 6: "Misc"}
+
+
+def test_no_rules_keep_the_default(spark):
+    df = spark.sql("select 'a' t, 'b' d").select(categorize("t", "d", ()))
+    assert df.first()[0] == "b"
+
+
+def test_month_names_mix_years_unless_split(transactions, rows):
+    assert [tuple(r) for r in finance.income_expense(transactions).collect()] == [
+        ("Feb", Decimal("100.00"), Decimal("0.00")),
+        ("Jan", Decimal("0.00"), Decimal("30.50")),
+        (None, Decimal("0.00"), Decimal("1.00")),
+    ]
+    by_year = finance.income_expense(transactions, by_year=True)
+    assert [r["year"] for r in by_year.collect()] == [2025, 2025, 2026, None]
+
+
+def test_monthly_and_category_expense(transactions, rows):
+    assert [tuple(r) for r in finance.monthly_expense(transactions).collect()] == [
+        (day("2025-01-01"), Decimal("10.50")),
+        (day("2025-02-01"), None),
+        (day("2026-01-01"), Decimal("20.00")),
+        (None, Decimal("1.00")),
+    ]
+    by_category = dict(rows(finance.category_expense(finance.enrich_transactions(transactions))))
+    assert by_category == {
+        "Food": Decimal("10.50"),
+        "Shopping": Decimal("20.00"),
+        None: Decimal("1.00"),
+        "Misc": None,
+    }
+
+
+def test_top_merchants_break_ties_by_name_and_put_null_spend_first(spark):
+    rows = [(i, None, name, amount, "DEBIT", None) for i, (name, amount) in enumerate(
+        [("b", Decimal(5)), ("a", Decimal(5)), ("c", Decimal(9)), ("n", None)])]
+    top = finance.top_merchants(spark.createDataFrame(rows, SCHEMA), 3).collect()
+    assert [r["description"] for r in top] == ["n", "c", "a"]
+
+
+@pytest.mark.parametrize(
+    "income,expense,rate,rating",
+    [
+        ("100", "60", 40.0, "Excellent"),
+        ("100", "60.01", 39.99, "Good"),
+        ("100", "80", 20.0, "Good"),
+        ("100", "90", 10.0, "Average"),
+        ("100", "90.01", 9.99, "High Spending"),
+        ("100", "150", -50.0, "High Spending"),
+        ("0", "10", 0.0, "High Spending"),
+        (None, "10", 0.0, "High Spending"),
+        ("-5", "10", 0.0, "High Spending"),
+        ("200", "195.31", 2.34, "High Spending"),  # 2.345 to the even digit
+    ],
+)
+def test_savings_rate_and_rating(spark, income, expense, rate, rating):
+    rows = [(1, None, "e", -Decimal(expense), "DEBIT", None)]
+    if income is not None:
+        rows.append((2, None, "i", Decimal(income), "CREDIT", None))
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert finance.savings_rate(df).first()["savings_rate"] == rate
+    assert finance.financial_health(df).first()["rating"] == rating
+
+
+def test_empty_input(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert tuple(finance.savings(empty).first()) == (None, None, None)
+    assert tuple(finance.financial_health(empty).first()) == (0.0, "High Spending")
+    assert finance.monthly_expense(empty).count() == 0
+
+
+def test_kpi_row(transactions):
+    assert tuple(finance.kpi_row(transactions).first()) == ("100", "32", "68", "68.5%")
+
+
+def test_number_formats(spark):
+    row = spark.sql("select 1234567.891 as v, 2.345 as w").select(
+        kpi.with_thousands("v", 2), kpi.rounded("v"), F.col("v").cast("int")
+    )
+    assert tuple(row.first()) == ("1,234,567.89", 1234567.89, 1234567)
