@@ -38,14 +38,14 @@ ADAPTERS = {
     "dim_customers": """
         select c_custkey as customer_id, c_name as customer_name,
                lower(c_mktsegment) || '@example.com' as email, n_name as city
-        from customer join nation on c_nationkey = n_nationkey""",
+        from customer left join nation on c_nationkey = n_nationkey""",
     "dim_products": """
         select p_partkey as product_id, p_name as product_name, p_type as category,
                cast(p_retailprice as decimal(18,2)) as unit_price
         from part""",
     "dim_stores": """
         select s_suppkey as store_id, s_name as store_name, n_name as location
-        from supplier join nation on s_nationkey = n_nationkey""",
+        from supplier left join nation on s_nationkey = n_nationkey""",
     "sales_view": """
         select c.customer_name, p.product_name, s.store_name, f.sales_amount, f.order_date
         from fact_sales f

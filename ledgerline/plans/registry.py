@@ -91,10 +91,11 @@ def _facts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _dims(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The dimensions without places, which no sales report shows."""
     return (
-        retail.build_dim(src.retail_customers(spark, d)),
+        retail.build_dim(src.retail_customers(spark, d, city=False)),
         retail.build_dim(src.retail_product(spark, d)),
-        retail.build_dim(src.retail_stores(spark, d)),
+        retail.build_dim(src.retail_stores(spark, d, location=False)),
     )
 
 
@@ -135,7 +136,7 @@ def product_sales(spark: SparkSession, d: str) -> DataFrame:
 
 @register()
 def store_sales(spark: SparkSession, d: str) -> DataFrame:
-    return retail.store_sales(_lines(spark, d), src.retail_stores(spark, d))
+    return retail.store_sales(_lines(spark, d), src.retail_stores(spark, d, location=False))
 
 
 @register()
