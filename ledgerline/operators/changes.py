@@ -24,6 +24,7 @@ OP, SEQ, COMMIT_TS = "op", "seq", "commit_ts"
 META = (OP, SEQ, COMMIT_TS)
 INSERT, UPDATE, DELETE = "INSERT", "UPDATE", "DELETE"
 ACTION, IS_UPDATE, ROW_COUNT = "action", "is_update", "row_count"
+LIVE = "live"
 
 
 def payload_columns(log: DataFrame) -> list[str]:
@@ -34,10 +35,6 @@ def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def _same(left: Column, right: Column) -> Column:
-    return left.eqNullSafe(right)
-
-
 def changes(log: DataFrame, since: int, until: int | None = None) -> DataFrame:
     """Log rows after position ``since``, up to and including ``until``."""
     later = log.where(F.col(SEQ) > since)
@@ -64,24 +61,28 @@ def _timestamp(log: DataFrame, ts: dt.datetime | dt.date | str) -> Column:
 
 
 def latest_images(log: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    """The last logged image per key, deletes included, with the position and time it was logged."""
+    """The last logged image per key with a ``live`` flag, false where it is a delete."""
     keys = _keys(key)
-    columns = [c for c in log.columns if c not in keys and c != SEQ]
+    payload = payload_columns(log)
+    image = F.struct(_live(), *[c for c in payload if c not in keys])
     return (
         log.groupBy(*keys)
-        .agg(
-            F.max_by(F.struct(*columns), SEQ).alias("_last"),
-            F.max(SEQ).alias(SEQ),
-        )
-        .select(*[c if c in (*keys, SEQ) else F.col(f"_last.{c}") for c in log.columns])
+        .agg(F.max_by(image, SEQ).alias("_last"))
+        .select(*[c if c in keys else F.col(f"_last.{c}") for c in payload], f"_last.{LIVE}")
     )
 
 
+def _live() -> Column:
+    return (F.col(OP) != DELETE).alias(LIVE)
+
+
+def _live_rows(log: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    return latest_images(log, key).where(LIVE).drop(LIVE)
+
+
 def state_at(log: DataFrame, key: str | Sequence[str], seq: int | None = None) -> DataFrame:
     """The logged table as it was right after position ``seq`` (default: now)."""
-    known = log if seq is None else log.where(F.col(SEQ) <= seq)
-    live = latest_images(known, key).where(F.col(OP) != DELETE)
-    return live.select(*payload_columns(log))
+    return _live_rows(log if seq is None else log.where(F.col(SEQ) <= seq), key)
 
 
 def as_of(
@@ -94,8 +95,7 @@ def as_of(
     dtype = log.schema[COMMIT_TS].dataType
     now = F.current_timestamp().cast(dtype) if ts is None else _timestamp(log, ts)
     cut = F.timestamp_add("SECOND", F.lit(-offset_s), now)
-    live = latest_images(log.where(F.col(COMMIT_TS) <= cut), key).where(F.col(OP) != DELETE)
-    return live.select(*payload_columns(log))
+    return _live_rows(log.where(F.col(COMMIT_TS) <= cut), key)
 
 
 def net_changes(
@@ -111,13 +111,13 @@ def net_changes(
     payload = payload_columns(log)
     rest = [c for c in payload if c not in keys]
     known = log if until is None else log.where(F.col(SEQ) <= until)
-    image = F.struct((F.col(OP) != DELETE).alias("live"), *rest)
+    image = F.struct(_live(), *rest)
     both = known.groupBy(*keys).agg(
         F.max_by(image, F.when(F.col(SEQ) <= since, F.col(SEQ))).alias("old"),
         F.max_by(image, SEQ).alias("new"),
     )
-    was, now = (F.coalesce(F.col(f"{side}.live"), F.lit(False)) for side in ("old", "new"))
-    changed = (was != now) | (was & now & ~_same(F.col("old"), F.col("new")))
+    was, now = (F.coalesce(F.col(f"{side}.{LIVE}"), F.lit(False)) for side in ("old", "new"))
+    changed = (was != now) | (was & now & ~F.col("old").eqNullSafe(F.col("new")))
 
     def side(name: str, action: str) -> Column:
         return F.struct(
@@ -176,10 +176,10 @@ def apply_changes(target: DataFrame, log: DataFrame, key: str | Sequence[str]) -
     touched = last.select(*[F.col(k).alias(f"_c_{k}") for k in keys])
     condition = None
     for k in keys:
-        same = _same(target[k], touched[f"_c_{k}"])
+        same = target[k].eqNullSafe(touched[f"_c_{k}"])
         condition = same if condition is None else condition & same
     untouched = target.join(touched, condition, "left_anti")
-    upserts = last.where(F.col(OP) != DELETE).select(*target.columns)
+    upserts = last.where(LIVE).select(*target.columns)
     return untouched.unionByName(upserts)
 
 

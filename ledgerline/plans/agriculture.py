@@ -86,6 +86,7 @@ def district_summary(
     fertilizer: DataFrame,
     farmers: DataFrame,
     ci: bool = True,
+    exact: bool = True,
 ) -> DataFrame:
     """Production, rainfall, soil, fertilizer and farmers per district and crop.
 
@@ -96,9 +97,16 @@ def district_summary(
     sums instead; no join repeats a row.
 
     ``ci`` joins districts regardless of case (grouping keeps the spelling); otherwise exactly.
-    Sums stay decimal. A total beyond 38 digits raises, as it does in the declared number type; see
-    :func:`district_summary_deduplicated` for totals without the repetition.
+
+    Sums stay decimal, and a total beyond 38 digits raises, as it does in the declared number type.
+    The repetition alone can take them there when every table is large: ``exact=False`` then gives
+    them as doubles, and :func:`district_summary_deduplicated` without the repetition.
     """
+    if not exact:
+        crops = crops.withColumn("production_tonnes", F.col("production_tonnes").cast("double"))
+        fertilizer = fertilizer.withColumn(
+            "quantity_used_kg", F.col("quantity_used_kg").cast("double")
+        )
     yearly = crops.groupBy("district", "crop_name", "year").agg(
         F.count("*").alias("crop_rows"), F.sum("production_tonnes").alias("production")
     )

@@ -158,11 +158,10 @@ def dt_sales_summary(spark: SparkSession, d: str) -> DataFrame:
 def mv_product_sales(spark: SparkSession, d: str) -> DataFrame:
     """Stored sums of the facts up to a day, with the later facts merged in."""
     lines = _lines(spark, d)
-    loaded = F.col("order_date") < F.lit(FACTS_SINCE).cast("date")
-    stored = partial_sums(lines.where(loaded), "product_id", "sales_amount")
-    delta = partial_sums(
-        cdc.keep_after_delete(lines, loaded), "product_id", "sales_amount"
-    )
+    day, cut = F.col("order_date"), F.lit(FACTS_SINCE).cast("date")
+    stored = partial_sums(lines.where(day < cut), "product_id", "sales_amount")
+    later = lines.where((day >= cut) | day.isNull())
+    delta = partial_sums(later, "product_id", "sales_amount")
     return read_sums(merge_sums(stored, delta, "product_id"), "product_id")
 
 

@@ -16,6 +16,8 @@ from ledgerline.operators.changes import DELETE, INSERT, keep_after_delete
 from ledgerline.schemas import frame_schema
 from ledgerline.streaming.changelog import ChangeLog
 
+_VERSION = "__at-"
+
 
 def create_layers(spark: SparkSession, *names: str, base: str | None = None) -> None:
     """Schemas such as raw, staging, curated, analytics and mart; below ``base`` when given."""
@@ -30,7 +32,12 @@ def read_table(
     policies: dict[str, MaskPolicy] | None = None,
     role: str | None = None,
 ) -> DataFrame:
-    """A table, as ``role`` sees it when masks are bound to its columns."""
+    """A table's present rows, as ``role`` sees them when masks are bound to its columns.
+
+    A session remembers where a table's files are; another one, such as that of a streaming task, may
+    have pointed the table at newer ones, so the memory is refreshed first.
+    """
+    spark.catalog.refreshTable(name)
     df = spark.table(name)
     if not policies:
         return df
@@ -56,12 +63,17 @@ def create_like(spark: SparkSession, name: str, source: str, replace: bool = Fal
     spark.sql(f"CREATE TABLE {name} LIKE {source} USING parquet{_location(spark, name)}")
 
 
-def materialize(df: DataFrame, name: str, replace: bool = False) -> None:
-    """Stores a query's result as a table; replacing it may read the table's present rows."""
+def materialize(
+    df: DataFrame, name: str, replace: bool = False, version: str | None = None
+) -> None:
+    """Stores a query's result as a table; replacing it may read the table's present rows.
+
+    ``version`` labels the stored state; :func:`stored_version` tells it again.
+    """
     if replace and df.sparkSession.catalog.tableExists(name):
-        replace_contents(df, name)
+        replace_contents(df, name, version)
         return
-    path = _new_path(df.sparkSession, name)
+    path = _new_path(df.sparkSession, name, version)
     df.write.option("path", path).saveAsTable(name)
 
 
@@ -87,14 +99,14 @@ def delete_where(
     spark: SparkSession, name: str, condition: Column, log: ChangeLog | None = None
 ) -> None:
     """Deletes the rows for which ``condition`` is true; with ``F.lit(True)``, all of them."""
-    rows = spark.table(name)
+    rows = read_table(spark, name)
     path = _write_version(keep_after_delete(rows, condition), name)
     if log is not None:
         log.commit(rows.where(condition), DELETE)
     _switch(spark, name, path)
 
 
-def replace_contents(df: DataFrame, name: str) -> None:
+def replace_contents(df: DataFrame, name: str, version: str | None = None) -> None:
     """Replaces all rows of a table by ``df``, which may read the table itself.
 
     The rows are written to a new folder and the table is pointed at it afterwards, so a failed write
@@ -104,7 +116,17 @@ def replace_contents(df: DataFrame, name: str) -> None:
     spark = df.sparkSession
     schema = spark.table(name).schema
     typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
-    _switch(spark, name, _write_version(typed, name))
+    _switch(spark, name, _write_version(typed, name, version))
+
+
+def stored_version(spark: SparkSession, name: str) -> str | None:
+    """The label of the state a table holds; None without a table or label."""
+    if not spark.catalog.tableExists(name):
+        return None
+    described = spark.sql(f"DESCRIBE FORMATTED {name}")
+    location = described.where("col_name = 'Location'").first()["data_type"]
+    found = re.search(rf"{_VERSION}([^/]*)/?$", location)
+    return found.group(1) if found else None
 
 
 def clone_tables(spark: SparkSession, source: str, target: str) -> list[str]:
@@ -146,16 +168,17 @@ def _location(spark: SparkSession, name: str) -> str:
     return f" LOCATION '{_new_path(spark, name)}'"
 
 
-def _new_path(spark: SparkSession, name: str) -> str:
+def _new_path(spark: SparkSession, name: str, version: str | None = None) -> str:
     """A folder for a new version of a table's rows, beside its schema's other tables."""
     *schema, table = name.split(".")
     database = schema[-1] if schema else spark.catalog.currentDatabase()
     base = spark.catalog.getDatabase(database).locationUri.rstrip("/")
-    return f"{base}/{re.sub(r'[^A-Za-z0-9_]', '_', table)}__{uuid.uuid4().hex}"
+    label = "" if version is None else f"{_VERSION}{version}"
+    return f"{base}/{re.sub(r'[^A-Za-z0-9_]', '_', table)}__{uuid.uuid4().hex}{label}"
 
 
-def _write_version(df: DataFrame, name: str) -> str:
-    path = _new_path(df.sparkSession, name)
+def _write_version(df: DataFrame, name: str, version: str | None = None) -> str:
+    path = _new_path(df.sparkSession, name, version)
     df.write.parquet(path)
     return path
 

@@ -103,10 +103,17 @@ class ChangeLog:
     def _columns(self) -> Sequence[str]:
         return [*self.rows.fieldNames(), *META]
 
-    def read(self) -> DataFrame:
-        if not folders(self.spark, f"{self.path}/{SEQ}=*"):
+    def read(self, since: int = -1, until: int | None = None) -> DataFrame:
+        """Commits after position ``since`` up to ``until``; only their folders are listed."""
+        wanted = [
+            self._folder(seq, writer)
+            for seq, writer in self._commits()
+            if seq > since and (until is None or seq <= until)
+        ]
+        if not wanted:
             return self.spark.createDataFrame([], self.schema).select(*self._columns())
-        return self.spark.read.schema(self.schema).parquet(self.path).select(*self._columns())
+        reader = self.spark.read.schema(self.schema).option("basePath", self.path)
+        return reader.parquet(*wanted).select(*self._columns())
 
     def stream(self, max_files: int | None = None) -> DataFrame:
         """New commits as a stream; ``max_files`` bounds one micro-batch."""

@@ -6,7 +6,9 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 
-from ledgerline.sources.tables import materialize
+from ledgerline.operators.changes import apply_changes
+from ledgerline.operators.stored_sums import merge_sums, partial_sums
+from ledgerline.sources.tables import materialize, read_table, stored_version
 from ledgerline.streaming.tasks import Task
 
 
@@ -57,3 +59,61 @@ def refresh_sums(
         skip_empty=False,
         **options,
     )
+
+
+def fold_task(
+    name: str,
+    changes: DataFrame,
+    step: Callable[[DataFrame | None, DataFrame], DataFrame],
+    table: str,
+    checkpoint: str,
+    lag: str | None = None,
+    **options,
+) -> Task:
+    """Brings a table to ``step(present rows or None, new changes)`` for each range of changes.
+
+    The stored state is labelled with the batch it includes and both become visible at once, so the
+    retry of a batch that was already folded in does nothing.
+    """
+
+    def work(batch: DataFrame, label: str) -> None:
+        spark = batch.sparkSession
+        if stored_version(spark, table) == label:
+            return
+        stored = read_table(spark, table) if spark.catalog.tableExists(table) else None
+        materialize(step(stored, batch), table, replace=True, version=label)
+
+    return Task(name, changes, work, checkpoint, lag, **options)
+
+
+def maintain_sums(
+    name: str, changes: DataFrame, key: str, measure: str, table: str, checkpoint: str, **options
+) -> Task:
+    """Keeps partial sums per key up to date from logged inserts and deletes.
+
+    Read the sums with :func:`ledgerline.operators.stored_sums.read_sums`.
+    """
+
+    def step(stored: DataFrame | None, batch: DataFrame) -> DataFrame:
+        delta = partial_sums(batch, key, measure)
+        return delta if stored is None else merge_sums(stored, delta, key)
+
+    return fold_task(name, changes, step, table, checkpoint, **options)
+
+
+def apply_task(
+    name: str,
+    changes: DataFrame,
+    key: str | Sequence[str],
+    table: str,
+    checkpoint: str,
+    **options,
+) -> Task:
+    """Keeps an existing table equal to the logged one: updated, inserted and deleted by key."""
+
+    def step(stored: DataFrame | None, batch: DataFrame) -> DataFrame:
+        if stored is None:
+            raise ValueError(f"create {table} before changes are applied to it")
+        return apply_changes(stored, batch, key)
+
+    return fold_task(name, changes, step, table, checkpoint, **options)

@@ -112,3 +112,15 @@ def test_kpi_reports(spark, rows):
         ("y", Decimal("20.00")),
         ("x", Decimal("15.55")),
     ]
+
+
+def test_inexact_totals_do_not_overflow(spark):
+    frames = make(spark, 6)
+    huge = frames["crops"].selectExpr(
+        "crop_id", "crop_name", "district", "year", "cast(9e37 as decimal(38,0)) production_tonnes"
+    )
+    frames["crops"] = huge
+    got = agro.district_summary(*frames.values(), exact=False).collect()
+    assert max(r["total_production"] for r in got) > 9e38
+    with pytest.raises(Exception, match="OVERFLOW|overflow"):
+        agro.district_summary(*frames.values()).collect()

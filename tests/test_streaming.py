@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 from ledgerline import schemas
 from ledgerline.operators import changes as cdc
 from ledgerline.operators.changes import INSERT, changes, pending_changes
+from ledgerline.operators.stored_sums import read_sums
 from ledgerline.plans import customers, finance
 from ledgerline.schemas import table
 from ledgerline.sources.csv_files import CsvFormat, Source, load_csv
 from ledgerline.sources import tables
 from ledgerline.streaming.changelog import ChangeLog
 from ledgerline.streaming.ingest import csv_stream, ingest_stream
-from ledgerline.streaming.refresh import refresh, refresh_sums
+from ledgerline.streaming.refresh import apply_task, maintain_sums, refresh, refresh_sums
 from ledgerline.streaming.runlog import FAILED, SKIPPED, SUCCEEDED, RunLog
 from ledgerline.streaming.sink import BatchSink
 from ledgerline.streaming.tasks import Task, load_task, summary_task
@@ -216,8 +217,8 @@ def test_summary_task_appends_or_replaces(spark, tmp_path, schema, rows):
         refresh("replace", log.stream(), build, stored, str(tmp_path / "cp2")).run()
     assert rows(appended.read()) == [(1, "A", "X", 1, 10), (1, "A", "X", 2, 15)]
     assert rows(customers.spend_by_name(appended.read())) == [("A", 25)]
-    assert rows(spark.table(stored)) == [(1, "A", "X", 2, 15)]
-    assert rows(customers.mv_customer(spark.table(stored))) == [("A", 15)]
+    assert rows(tables.read_table(spark, stored)) == [(1, "A", "X", 2, 15)]
+    assert rows(customers.mv_customer(tables.read_table(spark, stored))) == [("A", 15)]
 
 
 def test_refreshed_sums_read_only_new_rows(spark, tmp_path, schema, rows):
@@ -228,7 +229,7 @@ def test_refreshed_sums_read_only_new_rows(spark, tmp_path, schema, rows):
         refresh_sums(
             "sums", log.stream(), ["id"], [F.sum("v").alias("total")], name, str(tmp_path / "cp")
         ).run()
-    assert rows(spark.table(name)) == [(1, 15), (2, 1), (3, None)]
+    assert rows(tables.read_table(spark, name)) == [(1, 15), (2, 1), (3, None)]
 
 
 def test_streamed_enrichment_equals_batch(spark, tmp_path, rows):
@@ -257,3 +258,57 @@ def test_streamed_enrichment_equals_batch(spark, tmp_path, rows):
     assert rows(target.read()) == rows(batch)
     got = {int(r["transaction_id"]): (r["category"], r["month_name"], r["year"]) for r in target.read().collect()}
     assert got == {1: ("Food", "Jan", 2025), 2: ("Investment", "Jan", 2026), 3: ("Pay", None, None)}
+
+
+def test_maintained_sums_follow_inserts_and_deletes(spark, tmp_path, schema, rows):
+    log = ChangeLog(spark, str(tmp_path / "log"), SCHEMA)
+    name = f"{schema}.mv"
+    steps = [
+        ([(1, 10), (2, 1)], INSERT, [(1, 10), (2, 1)]),
+        ([(1, 4), (3, None)], INSERT, [(1, 14), (2, 1), (3, None)]),
+        ([(2, 1), (1, 10)], "DELETE", [(1, 4), (3, None)]),
+    ]
+    for batch, op, expected in steps:
+        log.commit(spark.createDataFrame(batch, FRAME), op)
+        maintain_sums("mv", log.stream(), "id", "v", name, str(tmp_path / "cp")).run()
+        assert rows(read_sums(tables.read_table(spark, name), "id")) == expected
+
+
+def test_folding_a_batch_again_changes_nothing(spark, tmp_path, schema, rows):
+    log = ChangeLog(spark, str(tmp_path / "log"), SCHEMA)
+    name = f"{schema}.mv"
+    log.commit(spark.createDataFrame([(1, 10)], FRAME), INSERT)
+    # A new checkpoint gives the batch its first id again, as after a crash before it was recorded.
+    for attempt in ("cp1", "cp2"):
+        maintain_sums("mv", log.stream(), "id", "v", name, str(tmp_path / attempt)).run()
+    assert rows(read_sums(tables.read_table(spark, name), "id")) == [(1, 10)]
+    assert tables.stored_version(spark, name) == "mv-0"
+    assert tables.stored_version(spark, f"{schema}.none") is None
+
+
+def test_applied_table_equals_the_logged_one(spark, tmp_path, schema, rows):
+    log = ChangeLog(spark, str(tmp_path / "log"), SCHEMA)
+    name = f"{schema}.staging"
+    tables.create_table(spark, name, SCHEMA)
+    for batch, op in (
+        ([(1, 10), (2, 20)], INSERT),
+        ([(1, 11)], "UPDATE"),
+        ([(2, 20)], "DELETE"),
+        ([(3, None)], INSERT),
+    ):
+        log.commit(spark.createDataFrame(batch, FRAME), op)
+        apply_task("apply", log.stream(), "id", name, str(tmp_path / "cp")).run()
+    assert rows(tables.read_table(spark, name)) == [(1, 11), (3, None)]
+    assert rows(cdc.state_at(log.read(), "id")) == [(1, 11), (3, None)]
+    with pytest.raises(Exception, match="create"):
+        apply_task("apply", log.stream(), "id", f"{schema}.no", str(tmp_path / "cp2")).run()
+
+
+def test_range_of_commits(spark, tmp_path):
+    log = ChangeLog(spark, str(tmp_path / "log"), SCHEMA)
+    for i in range(4):
+        log.commit(spark.createDataFrame([(i, i)], FRAME), INSERT)
+    ids = lambda df: {r["id"] for r in df.collect()}
+    assert ids(log.read(since=0, until=2)) == {1, 2} == ids(changes(log.read(), 0, 2))
+    assert ids(log.read(since=3)) == set()
+    assert log.read(since=1).columns == log.read().columns
