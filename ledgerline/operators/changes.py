@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -99,23 +100,51 @@ def as_of(
 
 
 def net_changes(
-    log: DataFrame, key: str | Sequence[str], since: int, until: int | None = None
+    log: DataFrame,
+    key: str | Sequence[str],
+    since: int,
+    until: int | None = None,
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """What changed between two positions, each key at most once as INSERT, DELETE or an update.
 
     An update is a DELETE of the old row plus an INSERT of the new one, both with ``is_update``; a
-    key inserted and deleted in between, or back at its old values, does not appear. Both states come
-    out of one aggregation over the log, so there is one scan and one shuffle and no join.
+    key inserted and deleted in between, or back at its old values, does not appear.
+
+    From the log alone, both states come out of one aggregation: one scan, one shuffle, no join. That
+    reads the log from its start; with ``base``, the stored rows at position ``since``, only the
+    changes in between are read, and ``base`` is filtered by their keys.
     """
     keys = _keys(key)
-    payload = payload_columns(log)
-    rest = [c for c in payload if c not in keys]
-    known = log if until is None else log.where(F.col(SEQ) <= until)
+    rest = [c for c in payload_columns(log) if c not in keys]
     image = F.struct(_live(), *rest)
-    both = known.groupBy(*keys).agg(
-        F.max_by(image, F.when(F.col(SEQ) <= since, F.col(SEQ))).alias("old"),
-        F.max_by(image, SEQ).alias("new"),
+    if base is None:
+        known = log if until is None else log.where(F.col(SEQ) <= until)
+        both = known.groupBy(*keys).agg(
+            F.max_by(image, F.when(F.col(SEQ) <= since, F.col(SEQ))).alias("old"),
+            F.max_by(image, SEQ).alias("new"),
+        )
+    else:
+        now = changes(log, since, until).groupBy(*keys).agg(F.max_by(image, SEQ).alias("new"))
+        touched = now.select(*[F.col(k).alias(f"_c_{k}") for k in keys])
+        old = base.join(touched, _same_keys(base, touched, keys), "left_semi").select(
+            *[F.col(k).alias(f"_c_{k}") for k in keys],
+            F.struct(F.lit(True).alias(LIVE), *rest).alias("old"),
+        )
+        both = now.join(old, _same_keys(now, old, keys), "left").select(*keys, "old", "new")
+    return _differences(both, keys, payload_columns(log))
+
+
+def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    """Null-safe equality of each key of ``left`` with its ``_c_`` copy in ``right``."""
+    return reduce(
+        lambda a, b: a & b, [left[k].eqNullSafe(right[f"_c_{k}"]) for k in keys]
     )
+
+
+def _differences(both: DataFrame, keys: Sequence[str], payload: Sequence[str]) -> DataFrame:
+    """Rows of change from frames with the ``old`` and the ``new`` image per key."""
+    rest = [c for c in payload if c not in keys]
     was, now = (F.coalesce(F.col(f"{side}.{LIVE}"), F.lit(False)) for side in ("old", "new"))
     changed = (was != now) | (was & now & ~F.col("old").eqNullSafe(F.col("new")))
 
@@ -174,11 +203,7 @@ def apply_changes(target: DataFrame, log: DataFrame, key: str | Sequence[str]) -
     keys = _keys(key)
     last = latest_images(log, keys)
     touched = last.select(*[F.col(k).alias(f"_c_{k}") for k in keys])
-    condition = None
-    for k in keys:
-        same = target[k].eqNullSafe(touched[f"_c_{k}"])
-        condition = same if condition is None else condition & same
-    untouched = target.join(touched, condition, "left_anti")
+    untouched = target.join(touched, _same_keys(target, touched, keys), "left_anti")
     upserts = last.where(LIVE).select(*target.columns)
     return untouched.unionByName(upserts)
 

@@ -444,5 +444,8 @@ def _with_adapters(body: str) -> str:
     return f"with {ctes}\n{body}" if ctes else body
 
 
+_BODIES["cdc_net_changes_from_base"] = _BODIES["cdc_net_changes"]
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: _with_adapters(body) for name, body in _BODIES.items()}

@@ -417,6 +417,14 @@ def cdc_net_changes(spark: SparkSession, d: str) -> DataFrame:
     return cdc.net_changes(log, "pk", since, until)
 
 
+@register()
+def cdc_net_changes_from_base(spark: SparkSession, d: str) -> DataFrame:
+    """The same net changes, told from the state at the first position."""
+    log = src.changelog(spark, d)
+    since, until = (cdc.position_at(log, ts) for ts in (CHANGES_SINCE, CHANGES_UNTIL))
+    return cdc.net_changes(log, "pk", since, until, base=cdc.state_at(log, "pk", since))
+
+
 @register()
 def cdc_net_row_changes(spark: SparkSession, d: str) -> DataFrame:
     """Net change without a key: sign-ups against errors per equal (pk, value) row."""
@@ -442,8 +450,8 @@ def cdc_pending_count(spark: SparkSession, d: str) -> DataFrame:
 
 @register()
 def cdc_fact_load(spark: SparkSession, d: str) -> DataFrame:
-    log = src.retail_order_log(spark, d)
-    return retail.load_fact_sales(cdc.changes(log, cdc.position_at(log, FACTS_SINCE)))
+    since = cdc.position_at(src.retail_order_log(spark, d, customer=False), FACTS_SINCE)
+    return retail.load_fact_sales(cdc.changes(src.retail_order_log(spark, d), since))
 
 
 @register()
@@ -453,7 +461,7 @@ def time_travel_as_of(spark: SparkSession, d: str) -> DataFrame:
 
 @register()
 def reconcile_counts(spark: SparkSession, d: str) -> DataFrame:
-    orders, log = src.retail_order_log(spark, d), src.changelog(spark, d)
+    orders, log = src.retail_order_log(spark, d, customer=False), src.changelog(spark, d)
     return reconcile(
         [
             ("raw_orders", orders, retail.load_fact_sales(orders)),

@@ -16,7 +16,7 @@ from ledgerline import schemas
 from ledgerline.operators import changes as cdc
 from ledgerline.plans import finance, retail
 from ledgerline.plans.registry import FACTS_SINCE, SALES_DAY, TEST_RULES, register
-from ledgerline.session import fresh_dir
+from ledgerline.session import fresh_dir, shared_dir
 from ledgerline.sources import testdata as src
 from ledgerline.sources.csv_files import CONTINUE, CsvFormat, Source, load_csv
 from ledgerline.sources.tables import create_layers, read_table, write_clustered
@@ -32,6 +32,7 @@ ORDERS = schemas.table(
     amount=DecimalType(18, 2),
     order_date=schemas.DATE,
 )
+SCRATCH = "ledgerline_scratch"
 FORMAT = CsvFormat(header=True, quote='"', null_tokens=("NULL", "null"))
 
 
@@ -39,6 +40,12 @@ def _drop_csv(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("header", "true").option("quoteAll", "true").csv(path)
 
 
+def _scratch_table(spark: SparkSession, name: str) -> str:
+    """A new table name in a schema kept in the shared folder."""
+    create_layers(spark, SCRATCH, base=shared_dir(spark))
+    return f"{SCRATCH}.{name}_{uuid.uuid4().hex}"
+
+
 def _stream(spark: SparkSession, d: str, name: str) -> DataFrame:
     # Recursive lookup also takes a table that is a single file; there is no partition folder to infer.
     reader = spark.readStream.schema(src.table(spark, d, name).schema)
@@ -130,26 +137,22 @@ def task_enrich_transactions(spark: SparkSession, d: str) -> DataFrame:
 @register()
 def refresh_sales_summary(spark: SparkSession, d: str) -> DataFrame:
     """The sales summary kept up to date from the stream of facts."""
-    base = fresh_dir(spark, "refresh")
-    schema = f"refresh_{uuid.uuid4().hex}"
-    create_layers(spark, schema, base=base)
+    table = _scratch_table(spark, "sales_summary")
     facts = retail.build_fact_sales(src.retail_lines(_stream(spark, d, "lineitem")))
     refresh_sums(
         "sales_summary",
         facts,
         ["product_id"],
         [F.sum("sales_amount").alias("total_sales")],
-        f"{schema}.sales_summary",
-        f"{base}/checkpoint",
+        table,
+        fresh_dir(spark, "refresh-checkpoint"),
     ).run()
-    return read_table(spark, f"{schema}.sales_summary")
+    return read_table(spark, table)
 
 
 @register()
 def clustered_sales_on_date(spark: SparkSession, d: str) -> DataFrame:
     """One day of the facts, read from a copy clustered by date."""
-    schema = f"clustered_{uuid.uuid4().hex}"
-    create_layers(spark, schema, base=fresh_dir(spark, "clustered"))
-    facts = retail.build_fact_sales(src.retail_orders(spark, d))
-    write_clustered(facts, f"{schema}.fact_sales", "order_date")
-    return retail.sales_on(read_table(spark, f"{schema}.fact_sales"), SALES_DAY)
+    table = _scratch_table(spark, "fact_sales")
+    write_clustered(retail.build_fact_sales(src.retail_orders(spark, d)), table, "order_date")
+    return retail.sales_on(read_table(spark, table), SALES_DAY)

@@ -102,7 +102,7 @@ def retail_orders(spark: SparkSession, sf_dir: str, customer: bool = True) -> Da
     return with_customer(lines, table(spark, sf_dir, "orders")).select(*RAW_ORDER_COLUMNS)
 
 
-def retail_order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def retail_order_log(spark: SparkSession, sf_dir: str, customer: bool = True) -> DataFrame:
     """A change log of raw orders: the line items in order-key order, committed when shipped."""
     flag = F.col("l_returnflag")
     logged = table(spark, sf_dir, "lineitem").select(
@@ -111,6 +111,8 @@ def retail_order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"),
         F.col("l_shipdate").alias("commit_ts"),
     )
+    if not customer:
+        return logged
     return with_customer(logged, table(spark, sf_dir, "orders")).select(
         *RAW_ORDER_COLUMNS, "op", "seq", "commit_ts"
     )

@@ -82,9 +82,11 @@ def test_position_at(spark):
 
 @pytest.mark.parametrize("since,until", [(-1, None), (3, None), (3, 7), (0, 4), (5, 5), (8, 9)])
 def test_net_changes(spark, since, until):
-    assert as_set(cdc.net_changes(make_log(spark, STORY), "pk", since, until)) == net(
-        STORY, since, until
-    )
+    log = make_log(spark, STORY)
+    for base in (None, cdc.state_at(log, "pk", since)):
+        got = cdc.net_changes(log, "pk", since, until, base)
+        assert got.columns == ["pk", "v", "action", "is_update"]
+        assert as_set(got) == net(STORY, since, until)
 
 
 def test_insert_then_delete_cancels(spark):
@@ -105,6 +107,9 @@ def test_any_log(spark, entries, data):
     until = data.draw(st.integers(since, len(entries)))
     log = make_log(spark, entries)
     assert as_set(cdc.net_changes(log, "pk", since, until)) == net(entries, since, until)
+    base = cdc.state_at(log, "pk", since)
+    from_base = cdc.net_changes(log, "pk", since, until, base=base)
+    assert as_set(from_base) == net(entries, since, until)
     assert as_set(cdc.state_at(log, "pk", until)) == set(replay(entries, until).items())
     applied = cdc.apply_changes(
         cdc.state_at(log, "pk", since), cdc.changes(log, since, until), "pk"
