@@ -7,6 +7,11 @@ from __future__ import annotations
 
 import re
 
+_SUMMARY = """
+    select district, crop_name, sum(production_tonnes) as total_production,
+           avg(rainfall_mm) as avg_rainfall, avg(ph_level) as avg_ph,
+           sum(quantity_used_kg) as fertilizer_used, count(distinct farmer_id) as total_farmers"""
+
 ADAPTERS = {
     "crm_customers": """
         select c_custkey as customer_id, c_mktsegment || ' ' || n_name as name, n_name as city
@@ -15,6 +20,10 @@ ADAPTERS = {
         select o_orderkey as order_id, o_custkey as customer_id,
                cast(o_totalprice as decimal(18,2)) as amount, cast(o_orderdate as date) as order_date
         from orders""",
+    "spend": """
+        select customer_id, name, city, count(order_id) as total_orders,
+               sum(amount) as total_spent
+        from crm_customers join crm_orders using (customer_id) group by all""",
     "retail_lines": """
         select l_orderkey as order_id, l_partkey as product_id, l_suppkey as store_id,
                cast(l_quantity as int) as qty, cast(l_extendedprice as decimal(18,2)) as sales_amount,
@@ -47,11 +56,9 @@ ADAPTERS = {
         select s_suppkey as store_id, s_name as store_name, n_name as location
         from supplier left join nation on s_nationkey = n_nationkey""",
     "sales_view": """
-        select c.customer_name, p.product_name, s.store_name, f.sales_amount, f.order_date
-        from fact_sales f
-        join dim_customers c on f.customer_id = c.customer_id
-        join dim_products p on f.product_id = p.product_id
-        join dim_stores s on f.store_id = s.store_id""",
+        from fact_sales join dim_customers using (customer_id)
+        join dim_products using (product_id) join dim_stores using (store_id)
+        select customer_name, product_name, store_name, sales_amount, order_date""",
     "amounts": """
         select l_orderkey * 10 + l_linenumber as transaction_id, cast(l_shipdate as date) as txn_date,
                cast(case when l_returnflag = 'N' then l_extendedprice else -l_extendedprice end
@@ -66,29 +73,34 @@ ADAPTERS = {
                case when l_returnflag = 'N' then 'CREDIT' else 'DEBIT' end as type,
                nullif(p_type, 'ECONOMY') as category
         from lineitem left join part on l_partkey = p_partkey""",
+    "rules": """
+        select * from (values (1, 'red', 'Food'), (2, 'bolt', 'Shopping'), (3, 'old', 'Travel'),
+                              (4, 'gizmo', 'Entertainment'), (5, 'ring', 'Investment'))
+        as t(priority, word, found)""",
+    "categories": """
+        select description, min_by(found, priority) as found
+        from (select distinct description from transactions_raw) join rules
+          on contains(lower(description), word)
+        group by description""",
     "transactions": """
         select transaction_id, txn_date, description, amount, type,
-               case when lower(description) like '%red%' then 'Food'
-                    when lower(description) like '%bolt%' then 'Shopping'
-                    when lower(description) like '%old%' then 'Travel'
-                    when lower(description) like '%gizmo%' then 'Entertainment'
-                    when lower(description) like '%ring%' then 'Investment'
-                    else category end as category,
+               coalesce(found, category) as category,
                strftime(txn_date, '%b') as month_name, cast(year(txn_date) as int) as year
-        from transactions_raw""",
-    "savings": """
-        select sum(case when type = 'CREDIT' then amount else 0 end) as income,
-               sum(case when type = 'DEBIT' then abs(amount) else 0 end) as expense,
-               sum(case when type = 'CREDIT' then amount else 0 end)
-                 - sum(case when type = 'DEBIT' then abs(amount) else 0 end) as savings
+        from transactions_raw left join categories using (description)""",
+    "flows": """
+        select txn_date, case when type = 'CREDIT' then amount else 0 end as income,
+               case when type = 'DEBIT' then abs(amount) else 0 end as expense
         from amounts""",
+    "balance": """
+        select sum(income) as income, sum(expense) as expense, sum(income) - sum(expense) as savings
+        from flows""",
     "rate": """
         select cast(income as double) as income, cast(expense as double) as expense,
                cast(savings as double) as savings,
                case when income > 0
                     then round_even(cast(savings as double) / cast(income as double) * 100, 2)
                     else 0 end as savings_rate
-        from savings""",
+        from balance""",
     "crop_data": """
         select o_orderkey as crop_id, c_mktsegment as crop_name, n_name as district,
                year(o_orderdate) as year, cast(o_totalprice as decimal(18,2)) as production_tonnes
@@ -113,17 +125,26 @@ ADAPTERS = {
     "farmer_data": """
         select c_custkey as farmer_id, c_name as name, n_name as district
         from customer join nation on c_nationkey = n_nationkey""",
-    "district_summary": """
-        select c.district, c.crop_name, sum(c.production_tonnes) as total_production,
-               avg(r.rainfall_mm) as avg_rainfall, avg(s.ph_level) as avg_ph,
-               sum(f.quantity_used_kg) as fertilizer_used,
-               count(distinct fm.farmer_id) as total_farmers
-        from crop_data c
-        left join rainfall_data r on upper(c.district) = upper(r.district) and c.year = r.year
-        left join soil_data s on upper(c.district) = upper(s.district)
-        left join fertilizer_data f on upper(c.district) = upper(f.district)
-        left join farmer_data fm on upper(c.district) = upper(fm.district)
-        group by c.district, c.crop_name""",
+    # One row per combination of matches on every side, keyed by district (k) and year.
+    "agro_rows": """
+        from (select *, upper(district) as k from crop_data)
+        left join (select upper(district) as k, year, rainfall_mm from rainfall_data)
+          using (k, year)
+        left join (select upper(district) as k, ph_level from soil_data) using (k)
+        left join (select upper(district) as k, quantity_used_kg from fertilizer_data) using (k)
+        left join (select upper(district) as k, farmer_id from farmer_data) using (k)
+        select district, crop_name, production_tonnes, rainfall_mm, ph_level, quantity_used_kg,
+               farmer_id""",
+    "agro_rows_cs": """
+        from crop_data
+        left join (select district, year, rainfall_mm from rainfall_data) using (district, year)
+        left join (select district, ph_level from soil_data) using (district)
+        left join (select district, quantity_used_kg from fertilizer_data) using (district)
+        left join (select district, farmer_id from farmer_data) using (district)
+        select district, crop_name, production_tonnes, rainfall_mm, ph_level, quantity_used_kg,
+               farmer_id""",
+    "district_summary": f"{_SUMMARY} from agro_rows group by all",
+    "district_summary_cs": f"{_SUMMARY} from agro_rows_cs group by all",
     "agri_kpi": """
         select district, sum(total_production) as total_production,
                avg(avg_rainfall) as avg_rainfall, sum(total_farmers) as total_farmers
@@ -177,13 +198,13 @@ _BODIES = {
         select cast(coalesce(sum(sales_amount), 0) as double) as total_sales from retail_lines""",
     "total_orders": "select count(*) as total_orders from retail_lines",
     "product_sales": """
-        select p.product_name, cast(sum(f.sales_amount) as double) as total_sales
-        from retail_lines f join dim_products p on f.product_id = p.product_id
-        group by p.product_name order by total_sales desc nulls first""",
+        select product_name, cast(sum(sales_amount) as double) as total_sales
+        from retail_lines join dim_products using (product_id)
+        group by all order by total_sales desc nulls first""",
     "store_sales": """
-        select s.store_name, cast(sum(f.sales_amount) as double) as total_sales
-        from retail_lines f join dim_stores s on f.store_id = s.store_id
-        group by s.store_name order by total_sales desc nulls first""",
+        select store_name, cast(sum(sales_amount) as double) as total_sales
+        from retail_lines join dim_stores using (store_id)
+        group by all order by total_sales desc nulls first""",
     "customer_orders": """
         select customer_name, count(*) as total_orders from sales_view
         group by customer_name order by total_orders desc nulls first""",
@@ -207,15 +228,13 @@ _BODIES = {
         select category, cast(sum(abs(amount)) as double) as expense
         from transactions where type = 'DEBIT' group by category""",
     "income_expense": """
-        select strftime(txn_date, '%b') as month,
-               cast(sum(case when type = 'CREDIT' then amount else 0 end) as double) as income,
-               cast(sum(case when type = 'DEBIT' then abs(amount) else 0 end) as double) as expense
-        from amounts group by 1 order by month""",
+        select strftime(txn_date, '%b') as month, cast(sum(income) as double) as income,
+               cast(sum(expense) as double) as expense
+        from flows group by all order by month""",
     "income_expense_by_year": """
         select cast(year(txn_date) as int) as year, strftime(txn_date, '%b') as month,
-               cast(sum(case when type = 'CREDIT' then amount else 0 end) as double) as income,
-               cast(sum(case when type = 'DEBIT' then abs(amount) else 0 end) as double) as expense
-        from amounts group by 1, 2 order by year, month""",
+               cast(sum(income) as double) as income, cast(sum(expense) as double) as expense
+        from flows group by all order by year, month""",
     "merchant_spend": """
         select description, count(*) as transaction_count,
                cast(sum(abs(amount)) as double) as total_spend
@@ -226,9 +245,7 @@ _BODIES = {
                cast(sum(abs(amount)) as double) as total_spend
         from transactions where type = 'DEBIT' group by description
         order by total_spend desc nulls first, description limit 10""",
-    "savings": """
-        select cast(income as double) as income, cast(expense as double) as expense,
-               cast(savings as double) as savings from savings""",
+    "savings": "select income, expense, savings from rate",
     "savings_rate": "select income, expense, savings, savings_rate from rate",
     "financial_health": """
         select savings_rate, case when savings_rate >= 40 then 'Excellent'
@@ -242,55 +259,31 @@ _BODIES = {
     # Customer orders.
     "scan_orders": f"select {_ORDERS} from crm_orders",
     "customer_summary": """
-        select c.customer_id, c.name, c.city, count(o.order_id) as total_orders,
-               cast(sum(o.amount) as double) as total_spent
-        from crm_customers c join crm_orders o on c.customer_id = o.customer_id
-        group by c.customer_id, c.name, c.city""",
-    "mv_customer": """
-        select name, total_spent from (
-            select c.customer_id, c.name, c.city, cast(sum(o.amount) as double) as total_spent
-            from crm_customers c join crm_orders o on c.customer_id = o.customer_id
-            group by c.customer_id, c.name, c.city)""",
+        select customer_id, name, city, total_orders, cast(total_spent as double) as total_spent
+        from spend""",
+    "mv_customer": "select name, cast(total_spent as double) as total_spent from spend",
     "customer_spend_by_name": """
-        select name, cast(sum(total_spent) as double) as total_spent from (
-            select c.customer_id, c.name, c.city, sum(o.amount) as total_spent
-            from crm_customers c join crm_orders o on c.customer_id = o.customer_id
-            group by c.customer_id, c.name, c.city)
-        group by name order by total_spent desc nulls first""",
+        select name, cast(sum(total_spent) as double) as total_spent
+        from spend group by all order by total_spent desc nulls first""",
     "mask_amount": """
         select order_id, customer_id, cast(0 as double) as amount,
                cast(order_date as varchar) as order_date from crm_orders""",
     "mask_amount_admin": f"select {_ORDERS} from crm_orders",
     "masked_customer_summary": """
-        select c.customer_id, c.name, c.city, count(o.order_id) as total_orders,
-               cast(sum(o.amount) as double) as total_spent
-        from crm_customers c
-        join (select order_id, customer_id, 0 as amount from crm_orders) o
-          on c.customer_id = o.customer_id
-        group by c.customer_id, c.name, c.city""",
+        select customer_id, name, city, total_orders,
+               cast(case when total_orders > 0 then 0 end as double) as total_spent
+        from spend""",
     "delete_where": f"""
         select {_ORDERS} from crm_orders where not coalesce(amount < 200000, false)""",
     # Agriculture.
     "crop_rainfall_left": """
-        select c.district, c.crop_name, cast(c.year as int) as year, count(*) as joined_rows,
-               cast(sum(c.production_tonnes) as double) as total_production,
-               round(avg(r.rainfall_mm), 6) as avg_rainfall
-        from crop_data c
-        left join rainfall_data r on c.district = r.district and c.year = r.year
-        group by c.district, c.crop_name, c.year""",
+        select district, crop_name, cast(year as int) as year, count(*) as joined_rows,
+               cast(sum(production_tonnes) as double) as total_production,
+               round(avg(rainfall_mm), 6) as avg_rainfall
+        from crop_data left join rainfall_data using (district, year)
+        group by all""",
     "district_summary": f"select {_DISTRICT} from district_summary",
-    "district_summary_cs": """
-        select c.district, c.crop_name,
-               cast(sum(c.production_tonnes) as double) as total_production,
-               round(avg(r.rainfall_mm), 6) as avg_rainfall, round(avg(s.ph_level), 6) as avg_ph,
-               cast(sum(f.quantity_used_kg) as double) as fertilizer_used,
-               count(distinct fm.farmer_id) as total_farmers
-        from crop_data c
-        left join rainfall_data r on c.district = r.district and c.year = r.year
-        left join soil_data s on c.district = s.district
-        left join fertilizer_data f on c.district = f.district
-        left join farmer_data fm on c.district = fm.district
-        group by c.district, c.crop_name""",
+    "district_summary_cs": f"select {_DISTRICT} from district_summary_cs",
     "district_summary_deduplicated": """
         select g.district, g.crop_name, cast(g.total_production as double) as total_production,
                (select round(avg(r.rainfall_mm), 6) from rainfall_data r

@@ -67,4 +67,4 @@ def ingest_stream(
         else:
             write_parsed(batch, lambda rows: write(rows, label), on_error, put_aside)
 
-    return Task(name, parsed, work, checkpoint, every, **options)
+    return Task(name, parsed, work, checkpoint, every, **{"skip_empty": True, **options})

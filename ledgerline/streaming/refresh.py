@@ -55,8 +55,6 @@ def refresh_sums(
         checkpoint,
         lag,
         output_mode="complete",
-        # Looking for rows would run the stateful aggregation a second time.
-        skip_empty=False,
         **options,
     )
 

@@ -23,7 +23,8 @@ class Task:
     a batch is retried, to make its writes repeatable.
 
     ``every`` is a period such as ``"5 minutes"``; without one the task runs on what is there and
-    ends. With ``skip_empty`` no work is done for a batch without rows.
+    ends. No batch comes without new files; with ``skip_empty`` files without rows are passed over as
+    well, which takes a look for a first row, so use it where that is cheap.
     """
 
     def __init__(
@@ -33,7 +34,7 @@ class Task:
         work: Work,
         checkpoint: str,
         every: str | None = None,
-        skip_empty: bool = True,
+        skip_empty: bool = False,
         run_log: RunLog | None = None,
         output_mode: str = "append",
     ):

@@ -191,6 +191,7 @@ def test_empty_batches_are_skipped(spark, tmp_path, source):
         csv_stream(spark, source, SCHEMA),
         lambda batch, label: done.append(label),
         str(tmp_path / "cp"),
+        skip_empty=True,
         run_log=runs,
     ).run()
     assert done == []
