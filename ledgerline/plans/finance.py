@@ -114,3 +114,19 @@ def kpi_row(transactions: DataFrame) -> DataFrame:
         *[kpi.with_thousands(F.bround(c, 0)).alias(c) for c in ("income", "expense", "savings")],
         F.concat(F.col("savings_rate").cast("string"), F.lit("%")).alias("savings_rate"),
     )
+
+
+#: The reports as views over curated transactions, by the name a SQL reader uses.
+VIEWS = {
+    "vw_monthly_expense": monthly_expense,
+    "vw_category_expense": category_expense,
+    "vw_income_expense": income_expense,
+    "vw_top_merchants": merchant_spend,
+    "vw_savings": savings,
+}
+
+
+def create_views(transactions: DataFrame) -> None:
+    """Makes the reports readable by name; each is inlined into the query that reads it."""
+    for name, report in VIEWS.items():
+        report(transactions).createOrReplaceTempView(name)

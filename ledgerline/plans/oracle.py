@@ -197,6 +197,11 @@ _BODIES = {
     "total_sales": """
         select cast(coalesce(sum(sales_amount), 0) as double) as total_sales from retail_lines""",
     "total_orders": "select count(*) as total_orders from retail_lines",
+    "retail_kpi_row": """
+        select format('{:,}', cast(floor(sum(sales_amount)) as bigint))
+                 || right(cast(sum(sales_amount) as varchar), 3) as total_sales,
+               count(*) as total_orders
+        from retail_lines""",
     "product_sales": """
         select product_name, cast(sum(sales_amount) as double) as total_sales
         from retail_lines join dim_products using (product_id)

@@ -129,6 +129,11 @@ def total_orders(spark: SparkSession, d: str) -> DataFrame:
     return retail.total_orders(_lines(spark, d))
 
 
+@register()
+def retail_kpi_row(spark: SparkSession, d: str) -> DataFrame:
+    return retail.kpi_row(_lines(spark, d))
+
+
 @register()
 def product_sales(spark: SparkSession, d: str) -> DataFrame:
     return retail.product_sales(_lines(spark, d), src.retail_product(spark, d))

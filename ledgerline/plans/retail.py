@@ -6,7 +6,9 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
+from ledgerline.functions.kpi import with_thousands
 from ledgerline.functions.ordering import descending
 from ledgerline.operators.changes import DELETE, META, OP
 from ledgerline.operators.joins import COUNT, SUM, aggregate_by_lookup
@@ -56,11 +58,13 @@ def _star(
 
     No broadcast is forced: Spark broadcasts each dimension that its size estimate or, at run time,
     its measured size allows, and otherwise uses a sort-merge join whose skewed partitions are split.
+    Customers, usually the largest dimension, come first and stores last, so that the rows are
+    narrowest where they may have to be shuffled.
     """
     return (
-        facts.join(stores.select("store_id", "store_name"), "store_id")
+        facts.join(customers.select("customer_id", "customer_name"), "customer_id")
         .join(products.select("product_id", "product_name"), "product_id")
-        .join(customers.select("customer_id", "customer_name"), "customer_id")
+        .join(stores.select("store_id", "store_name"), "store_id")
     )
 
 
@@ -93,6 +97,17 @@ def total_orders(facts: DataFrame) -> DataFrame:
     return facts.agg(F.count("*").alias("total_orders"))
 
 
+def kpi_row(facts: DataFrame) -> DataFrame:
+    """Total sales as display text with all its digits, and the number of orders."""
+    amount = facts.schema["sales_amount"].dataType
+    digits = amount.scale if isinstance(amount, DecimalType) else 0
+    row = facts.agg(
+        F.coalesce(F.sum("sales_amount"), F.lit(0)).alias("total_sales"),
+        F.count("*").alias("total_orders"),
+    )
+    return row.withColumn("total_sales", with_thousands("total_sales", digits))
+
+
 def product_sales(facts: DataFrame, products: DataFrame) -> DataFrame:
     sums = aggregate_by_lookup(
         facts, products, "product_id", ["product_name"], {"total_sales": (SUM, "sales_amount")}
@@ -132,3 +147,10 @@ def sales_summary(facts: DataFrame) -> DataFrame:
 def sales_on(facts: DataFrame, day: dt.date | str) -> DataFrame:
     """Facts of one day; the literal is cast to the column's date type and pushed to the scan."""
     return facts.where(F.col("order_date") == F.lit(str(day)).cast("date"))
+
+
+def create_view(
+    facts: DataFrame, customers: DataFrame, products: DataFrame, stores: DataFrame
+) -> None:
+    """Makes the sales view readable by name in SQL."""
+    sales_view(facts, customers, products, stores).createOrReplaceTempView("sales_view")

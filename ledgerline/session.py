@@ -9,11 +9,15 @@ import uuid
 from pyspark.sql import SparkSession
 
 #: Settings every job is designed for. AQE splits skewed join partitions, turns a sort-merge join into
-#: a broadcast join when the measured side is small, and coalesces small shuffle partitions. Streaming
-#: state is kept in RocksDB, on disk, so that it may outgrow the executors' memory.
+#: a broadcast join when the measured side is small, and coalesces small shuffle partitions. It measures
+#: compressed bytes, and the rows of one hot key compress well, so partitions count as skewed earlier
+#: than by default. Streaming state is kept in RocksDB, on disk, so that it may outgrow the executors'
+#: memory.
 JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",

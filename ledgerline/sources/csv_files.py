@@ -10,7 +10,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, DataFrameReader, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.types import (
@@ -22,7 +22,7 @@ from pyspark.sql.types import (
     VarcharType,
 )
 
-from ledgerline.schemas import frame_schema, is_whole_number, with_scale
+from ledgerline.schemas import is_whole_number, with_scale
 
 CORRUPT = "_corrupt_record"
 REASON = "_reject_reason"
@@ -177,7 +177,17 @@ def read_parsed(
     file: str | None = None,
     numeric_scale: int | None = None,
 ) -> DataFrame:
-    raw = configure(spark.read, source, schema).csv(source.files(file))
+    return _parse_paths(spark, source, schema, [source.files(file)], numeric_scale)
+
+
+def _parse_paths(
+    spark: SparkSession,
+    source: Source,
+    schema: StructType,
+    paths: list[str],
+    numeric_scale: int | None,
+) -> DataFrame:
+    raw = configure(spark.read, source, schema).csv(paths)
     return parse(raw, schema, source.fmt, numeric_scale)
 
 
@@ -223,6 +233,29 @@ def write_parsed(
     return result
 
 
+class LoadHistory:
+    """Which file versions have been loaded into which table, as a parquet folder."""
+
+    SCHEMA = "table_name string, path string, last_modified timestamp"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        spark.createDataFrame([], self.SCHEMA).write.mode("append").parquet(self.path)
+
+    def loaded(self, table: str) -> DataFrame:
+        known = self.spark.read.schema(self.SCHEMA).parquet(self.path)
+        return known.where(F.col("table_name") == table).drop("table_name")
+
+    def new_files(self, table: str, files: DataFrame) -> list[Row]:
+        """Listed files that were not loaded yet, or were changed since."""
+        return files.join(self.loaded(table), ["path", "last_modified"], "left_anti").collect()
+
+    def record(self, table: str, files: list[Row]) -> None:
+        rows = [(table, f["path"], f["last_modified"]) for f in files]
+        self.spark.createDataFrame(rows, self.SCHEMA).write.mode("append").parquet(self.path)
+
+
 def copy_into(
     spark: SparkSession,
     source: Source,
@@ -232,17 +265,29 @@ def copy_into(
     on_error: str = ABORT,
     numeric_scale: int | None = None,
     rejects_path: str | None = None,
+    history: LoadHistory | None = None,
 ) -> LoadResult:
-    """Appends the rows of a file set to a table, by position."""
-    parsed = read_parsed(spark, source, schema, file, numeric_scale)
-    put_aside = None
-    if rejects_path is not None:
-        put_aside = lambda rejects: rejects.write.mode("append").parquet(rejects_path)
-    return write_parsed(
+    """Appends the rows of a file set to a table, by position.
+
+    With a ``history``, files that were loaded into the table before are passed over. It is written
+    after the rows, so a crash in between repeats the load; the ingest stream has no such gap.
+    """
+    if history is None:
+        parsed = read_parsed(spark, source, schema, file, numeric_scale)
+    else:
+        files = history.new_files(table, list_files(spark, source, file))
+        if not files:
+            return LoadResult(0, 0)
+        paths = [f["path"] for f in files]
+        parsed = _parse_paths(spark, source, schema, paths, numeric_scale)
+
+    def put_aside(rejects: DataFrame) -> None:
+        if rejects_path is not None:
+            rejects.write.mode("append").parquet(rejects_path)
+
+    result = write_parsed(
         parsed, lambda rows: rows.write.insertInto(table), on_error, put_aside
     )
-
-
-def row_schema(schema: StructType, numeric_scale: int | None = None) -> StructType:
-    """Schema of the typed rows that a load with these arguments gives."""
-    return frame_schema(with_scale(schema, numeric_scale))
+    if history is not None:
+        history.record(table, files)
+    return result

@@ -11,6 +11,7 @@ from ledgerline.sources.csv_files import (
     ABORT,
     CONTINUE,
     CsvFormat,
+    LoadHistory,
     Source,
     copy_into,
     list_files,
@@ -157,3 +158,22 @@ def test_multiline(spark, tmp_path, rows):
     write(tmp_path / "in", "m.csv", 'id,name,day\n1,"two\nlines",2025-01-02\n')
     src = Source(str(tmp_path / "in"), CsvFormat(header=True, quote='"', multiline=True))
     assert rows(load_csv(spark, src, SCHEMA).rows)[0][1] == "two\nlines"
+
+
+def test_history_passes_over_loaded_files(spark, tmp_path, schema):
+    src = write(tmp_path / "in", "orders 1.csv", "id,name,day\n1,a,2025-01-02\n")
+    name = f"{schema}.t"
+    create_table(spark, name, SCHEMA)
+    create_table(spark, f"{schema}.other", SCHEMA)
+    history = LoadHistory(spark, str(tmp_path / "history"))
+
+    def load(table=name):
+        return copy_into(spark, src, SCHEMA, table, file="orders", history=history)
+
+    assert load() == (1, 0)
+    assert load() == (0, 0)
+    assert load(f"{schema}.other") == (1, 0)
+    write(tmp_path / "in", "orders 2.csv", "id,name,day\n2,a,2025-01-02\n3,a,2025-01-02\n")
+    assert load() == (2, 0)
+    assert LoadHistory(spark, str(tmp_path / "history")).loaded(name).count() == 2
+    assert spark.table(name).count() == 3

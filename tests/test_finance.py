@@ -111,3 +111,12 @@ def test_number_formats(spark):
         kpi.with_thousands("v", 2), kpi.rounded("v"), F.col("v").cast("int")
     )
     assert tuple(row.first()) == ("1,234,567.89", 1234567.89, 1234567)
+
+
+def test_views_are_readable_by_name(spark, transactions):
+    finance.create_views(finance.enrich_transactions(transactions))
+    top = spark.sql("select * from vw_top_merchants limit 2").collect()
+    assert [r["description"] for r in top] == ["refund", "UBER ride via amazon"]
+    assert spark.sql("select savings from vw_savings").first()[0] == Decimal("68.50")
+    for name in finance.VIEWS:
+        assert spark.table(name).count() > 0

@@ -74,6 +74,21 @@ def test_totals_of_nothing(star):
     assert retail.total_orders(empty).first()[0] == 0
 
 
+def test_kpi_row_and_view_by_name(spark, star):
+    assert tuple(retail.kpi_row(star[0].selectExpr("sales_amount * 100 as sales_amount")).first()) == (
+        "25,000",
+        7,
+    )
+    assert tuple(retail.kpi_row(star[0].limit(0)).first()) == ("0", 0)
+    retail.create_view(*star)
+    expected = retail.customer_orders(*star).collect()
+    found = spark.sql(
+        "select customer_name, count(*) as total_orders from sales_view"
+        " group by all order by total_orders desc, customer_name"
+    )
+    assert found.collect() == expected
+
+
 def test_fact_amount_is_the_price_alone(spark):
     raw = spark.sql("select 1 order_id, '1' customer_id, '1' product_id, '1' store_id, 3 qty, 10 price, date '2026-01-01' order_date")
     fact = retail.build_fact_sales(raw)
