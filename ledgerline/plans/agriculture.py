@@ -74,6 +74,27 @@ def _farmers(farmers: DataFrame, ci: bool) -> DataFrame:
     )
 
 
+def _crops_with_rain(crops: DataFrame, rainfall: DataFrame, ci: bool) -> DataFrame:
+    """Crops per district, crop and year beside the rainfall of that district and year, if any."""
+    # Row counts are multiplied further on; as decimals they may pass 2^63.
+    yearly = crops.groupBy("district", "crop_name", "year").agg(
+        F.count("*").cast("decimal(38,0)").alias("crop_rows"),
+        F.sum("production_tonnes").alias("production"),
+    )
+    rain = _rain_per_year(rainfall, ci)
+    same = (_join_key(ci) == rain["k"]) & (F.col("year") == F.col("rain_year"))
+    return yearly.join(rain, same, "left").drop("k", "rain_year")
+
+
+def _with_district_sides(
+    by_crop: DataFrame, soil: DataFrame, fertilizer: DataFrame, farmers: DataFrame, ci: bool
+) -> DataFrame:
+    keyed = by_crop.withColumn("k", _join_key(ci))
+    for side in (_soil(soil, ci), _fertilizer(fertilizer, ci), _farmers(farmers, ci)):
+        keyed = keyed.join(side, "k", "left")
+    return keyed
+
+
 def _copies(name: str) -> Column:
     """How often a left join repeats a row: once per match, and once without any."""
     return F.coalesce(F.col(name), F.lit(1).cast("long"))
@@ -107,23 +128,17 @@ def district_summary(
         fertilizer = fertilizer.withColumn(
             "quantity_used_kg", F.col("quantity_used_kg").cast("double")
         )
-    yearly = crops.groupBy("district", "crop_name", "year").agg(
-        F.count("*").alias("crop_rows"), F.sum("production_tonnes").alias("production")
-    )
-    rain = _rain_per_year(rainfall, ci)
-    rained = yearly.join(
-        rain, (_join_key(ci) == rain["k"]) & (F.col("year") == F.col("rain_year")), "left"
-    )
-    by_crop = rained.groupBy("district", "crop_name").agg(
-        F.sum(F.col("production") * _copies("rain_rows")).alias("production"),
-        F.sum(F.col("crop_rows") * _copies("rain_rows")).alias("crop_rain_rows"),
-        F.sum(F.col("crop_rows") * F.col("rain_sum")).alias("rain_sum"),
-        F.sum(F.col("crop_rows") * F.col("rain_values")).alias("rain_values"),
+    by_crop = (
+        _crops_with_rain(crops, rainfall, ci)
+        .groupBy("district", "crop_name")
+        .agg(
+            F.sum(F.col("production") * _copies("rain_rows")).alias("production"),
+            F.sum(F.col("crop_rows") * _copies("rain_rows")).alias("crop_rain_rows"),
+            F.sum(F.col("crop_rows") * F.col("rain_sum")).alias("rain_sum"),
+            F.sum(F.col("crop_rows") * F.col("rain_values")).alias("rain_values"),
+        )
     )
-    keyed = by_crop.withColumn("k", _join_key(ci))
-    sides = (_soil(soil, ci), _fertilizer(fertilizer, ci), _farmers(farmers, ci))
-    for side in sides:
-        keyed = keyed.join(side, "k", "left")
+    keyed = _with_district_sides(by_crop, soil, fertilizer, farmers, ci)
     # Soil, fertilizer and farmer matches are the same for all rows of a group: they cancel in the
     # averages and are plain factors in the sums.
     return keyed.select(
@@ -160,23 +175,15 @@ def district_summary_deduplicated(
     Production is the plain sum of the group's crops, rainfall is averaged over the records of the
     district in the years the crop was grown, and fertilizer is the district's total.
     """
-    yearly = crops.groupBy("district", "crop_name", "year").agg(
-        F.sum("production_tonnes").alias("production")
-    )
-    rain = _rain_per_year(rainfall, ci)
     by_crop = (
-        yearly.join(
-            rain, (_join_key(ci) == rain["k"]) & (F.col("year") == F.col("rain_year")), "left"
-        )
+        _crops_with_rain(crops, rainfall, ci)
         .groupBy("district", "crop_name")
         .agg(
             F.sum("production").alias("total_production"),
             average(F.sum("rain_sum"), F.sum("rain_values")).alias("avg_rainfall"),
         )
     )
-    keyed = by_crop.withColumn("k", _join_key(ci))
-    for side in (_soil(soil, ci), _fertilizer(fertilizer, ci), _farmers(farmers, ci)):
-        keyed = keyed.join(side, "k", "left")
+    keyed = _with_district_sides(by_crop, soil, fertilizer, farmers, ci)
     return keyed.withColumns(
         {
             "avg_ph": average(F.col("ph_sum"), F.col("ph_values")),
@@ -192,17 +199,11 @@ def crop_rainfall(crops: DataFrame, rainfall: DataFrame) -> DataFrame:
     As in :func:`district_summary`, production counts once per matching rainfall record, and both
     sides are reduced to one row per join key before they meet.
     """
-    yearly = crops.groupBy("district", "crop_name", "year").agg(
-        F.count("*").alias("crop_rows"), F.sum("production_tonnes").alias("production")
-    )
-    rain = _rain_per_year(rainfall, ci=False)
-    return yearly.join(
-        rain, (F.col("district") == rain["k"]) & (F.col("year") == F.col("rain_year")), "left"
-    ).select(
+    return _crops_with_rain(crops, rainfall, ci=False).select(
         "district",
         "crop_name",
         "year",
-        (F.col("crop_rows") * _copies("rain_rows")).alias("joined_rows"),
+        (F.col("crop_rows") * _copies("rain_rows")).cast("long").alias("joined_rows"),
         (F.col("production") * _copies("rain_rows")).alias("total_production"),
         average(F.col("rain_sum"), F.col("rain_values")).alias("avg_rainfall"),
     )

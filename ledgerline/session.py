@@ -59,7 +59,9 @@ def shared_dir(spark: SparkSession) -> str:
     Only a ``local`` session may go without the setting: there one machine holds the driver and all
     tasks, so a temporary folder is made for it. On a cluster the setting is required.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = (
+        spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    )
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
