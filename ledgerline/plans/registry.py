@@ -319,8 +319,9 @@ def _agro(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:
     )
 
 
-def _districts(spark: SparkSession, d: str) -> DataFrame:
-    return agriculture.district_summary(*_agro(spark, d))
+def _districts(spark: SparkSession, d: str, ci: bool = True) -> DataFrame:
+    """Totals as doubles: the repetition of large tables takes them beyond 38 digits."""
+    return agriculture.district_summary(*_agro(spark, d), ci=ci, exact=False)
 
 
 @register(avg_rainfall=6)
@@ -335,7 +336,7 @@ def district_summary(spark: SparkSession, d: str) -> DataFrame:
 
 @register(avg_rainfall=6, avg_ph=6)
 def district_summary_cs(spark: SparkSession, d: str) -> DataFrame:
-    return agriculture.district_summary(*_agro(spark, d), ci=False)
+    return _districts(spark, d, ci=False)
 
 
 @register(avg_rainfall=6, avg_ph=6)

@@ -4,6 +4,7 @@ import random
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.plans import agriculture as agro
 
@@ -115,12 +116,35 @@ def test_kpi_reports(spark, rows):
 
 
 def test_inexact_totals_do_not_overflow(spark):
+    """Repetition by three sides of 300 rows each takes 9e30 past the largest decimal."""
     frames = make(spark, 6)
-    huge = frames["crops"].selectExpr(
-        "crop_id", "crop_name", "district", "year", "cast(9e37 as decimal(38,0)) production_tonnes"
+    copies = spark.range(300).selectExpr("id", "'PUNE' as district", "cast(1 as decimal(18,2)) as v")
+    for side, key, measure in (
+        ("soil", "soil_id", "ph_level"),
+        ("fert", "fertilizer_id", "quantity_used_kg"),
+        ("farm", "farmer_id", "land"),
+    ):
+        frames[side] = copies.selectExpr(f"id as {key}", "district", f"v as {measure}")
+    frames["crops"] = frames["crops"].withColumn(
+        "production_tonnes", F.lit("9e30").cast("decimal(38,2)")
     )
-    frames["crops"] = huge
-    got = agro.district_summary(*frames.values(), exact=False).collect()
-    assert max(r["total_production"] for r in got) > 9e38
-    with pytest.raises(Exception, match="OVERFLOW|overflow"):
+    summary = agro.district_summary(*frames.values(), exact=False)
+    largest = max(r["total_production"] for r in summary.collect())
+    assert largest > 9e30 * 300**3
+    assert agro.agri_kpi(summary).agg(F.max("total_production")).first()[0] >= largest
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|OVERFLOW"):
         agro.district_summary(*frames.values()).collect()
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_inexact_equals_exact_while_it_fits(spark, rows, seed):
+    frames = make(spark, seed)
+    exact = agro.district_summary(*frames.values())
+    inexact = agro.district_summary(*frames.values(), exact=False)
+    as_double = exact.withColumns(
+        {c: F.col(c).cast("double") for c in ("total_production", "fertilizer_used")}
+    )
+    assert rows(inexact) == rows(as_double)
+    for report in (agro.agri_kpi, agro.crop_production, agro.fertilizer_by_district):
+        found, want = rows(report(inexact)), rows(report(exact))
+        assert [tuple(float(v) if isinstance(v, Decimal) else v for v in r) for r in want] == found
