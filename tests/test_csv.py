@@ -135,7 +135,7 @@ def test_too_long_text_and_too_large_number_are_bad(spark, tmp_path, rows):
 
 
 def test_prefix_and_whole_location(spark, tmp_path):
-    folder = tmp_path / "Agri Data"
+    folder = tmp_path / "farm data"
     src = write(folder, "orders_1.csv", "id,name,day\n1,a,2025-01-02\n")
     write(folder, "orders_2.csv", "id,name,day\n2,a,2025-01-02\n")
     write(folder / "orders", "part.csv", "id,name,day\n3,a,2025-01-02\n")

@@ -48,7 +48,7 @@ AGRO_FILES = {
 
 
 def test_agriculture(spark, tmp_path, schema, rows):
-    drop = tmp_path / "Agri Data"
+    drop = tmp_path / "farm data"
     drop.mkdir()
     source = Source(str(drop), CsvFormat(header=True, quote='"'))
     runs = RunLog(spark, str(tmp_path / "runs"))
