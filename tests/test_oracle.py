@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from ledgerline.plans import registry
 from tools.check_oracle import compare, connect
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
@@ -25,7 +26,7 @@ def test_matches_sql(spark, con, name):
 
 
 def test_only_the_sample_has_no_sql():
-    assert set(QUERIES) - set(ORACLE) == {"limit_sample"}
+    assert set(registry.queries()) - set(ORACLE) == {"limit_sample"}
 
 
 def test_sample_gives_rows_of_the_table(spark):
