@@ -2,15 +2,29 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import quality_rules, sharding, simhash
+from ledgerline.llm import (
+    decontaminate,
+    mixing,
+    quality_model,
+    quality_rules,
+    sharding,
+    simhash,
+    token_counts,
+    url_filter,
+)
 
 QUERIES = {
     f.__name__: f
     for f in (
+        mixing.op1_mixing,
+        token_counts.op2_token_counts,
         sharding.op4_sharding,
         simhash.op5_simhash,
+        quality_model.op6_quality_model,
+        decontaminate.op8_decontamination,
         quality_rules.op9_quality_rules,
+        url_filter.op10_url_filter,
     )
 }
 
-ORACLE = {**quality_rules.ORACLE}
+ORACLE = {**mixing.ORACLE, **quality_rules.ORACLE}
