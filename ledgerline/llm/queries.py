@@ -9,6 +9,7 @@ from ledgerline.llm import (
     quality_rules,
     sharding,
     simhash,
+    substring_dedup,
     token_counts,
     url_filter,
 )
@@ -21,10 +22,11 @@ QUERIES = {
         sharding.op4_sharding,
         simhash.op5_simhash,
         quality_model.op6_quality_model,
+        substring_dedup.op7_substring_dedup,
         decontaminate.op8_decontamination,
         quality_rules.op9_quality_rules,
         url_filter.op10_url_filter,
     )
 }
 
-ORACLE = {**mixing.ORACLE, **quality_rules.ORACLE}
+ORACLE = {**mixing.ORACLE, **substring_dedup.ORACLE, **quality_rules.ORACLE}
