@@ -10,6 +10,7 @@ from ledgerline.llm import (
     sharding,
     simhash,
     substring_dedup,
+    suffix_dedup,
     token_counts,
     url_filter,
 )
@@ -19,6 +20,7 @@ QUERIES = {
     for f in (
         mixing.op1_mixing,
         token_counts.op2_token_counts,
+        suffix_dedup.op3_suffix_dedup,
         sharding.op4_sharding,
         simhash.op5_simhash,
         quality_model.op6_quality_model,
@@ -29,4 +31,4 @@ QUERIES = {
     )
 }
 
-ORACLE = {**mixing.ORACLE, **substring_dedup.ORACLE, **quality_rules.ORACLE}
+ORACLE = {**mixing.ORACLE, **suffix_dedup.ORACLE, **substring_dedup.ORACLE, **quality_rules.ORACLE}

@@ -16,7 +16,6 @@ after all others; rows with equal ids are neither before each other; an empty ta
 
 from __future__ import annotations
 
-import hashlib
 from itertools import compress
 
 import numpy as np
