@@ -223,7 +223,9 @@ def judged(counted: DataFrame, counts: str, fences: DataFrame, rules: Rules, nam
         inside = inside & (value <= F.col(f"_fence.{m.name}_high"))
         if m.low:
             inside = inside & (value >= F.col(f"_fence.{m.name}_low"))
-    verdict = ~base_failed(counts, rules) & F.coalesce(inside, F.lit(False))
+    # One expression: a condition on the counts alone would be pushed below the columns they come from,
+    # and each of them would be worked out again wherever the condition names it.
+    verdict = F.when(inside.isNull() | base_failed(counts, rules), F.lit(False)).otherwise(inside)
     return joined.select(*[counted[c] for c in counted.columns], verdict.alias(name))
 
 
@@ -244,8 +246,8 @@ def quality_report(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 def keep_good(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The documents that the rules keep, with the columns they came with."""
     counts, kept = free_name(docs, "quality_counts"), free_name(docs, "quality_kept")
-    light = docs.select("text", "lang", "source")
-    fences = thresholds(with_counts(light, counts), counts, rules)
+    light = stored(with_counts(docs.select("text", "lang", "source"), counts).drop("text"), "quality-counts")
+    fences = thresholds(light, counts, rules)
     verdicts = judged(with_counts(docs, counts), counts, fences, rules, kept)
     return verdicts.where(F.col(kept)).select(*docs.columns)
 
