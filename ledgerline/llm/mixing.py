@@ -126,17 +126,16 @@ def _draw(seed: int) -> Column:
 
 
 def _with_probability(docs: DataFrame, mix: Mix, topic_name: str, name: str) -> DataFrame:
+    own = {"source": "source", "lang": "lang", "topic": topic_name}
+    cell = {d: free_name(docs, f"cell_{d}") for d in DIMENSIONS}
     chances = probabilities(docs, mix).select(
-        *[F.col(d).alias(f"_cell_{d}") for d in DIMENSIONS], F.col("probability").alias("_chance")
+        *[F.col(d).alias(cell[d]) for d in DIMENSIONS], F.coalesce("probability", F.lit(0.0)).alias(name)
     )
-    tagged = docs.withColumn(topic_name, topic(whole("text")))
-    on = (
-        F.col("source").eqNullSafe(F.col("_cell_source"))
-        & F.col("lang").eqNullSafe(F.col("_cell_lang"))
-        & F.col(topic_name).eqNullSafe(F.col("_cell_topic"))
-    )
-    joined = tagged.join(chances, on, "left").withColumn(name, F.coalesce("_chance", F.lit(0.0)))
-    return joined.drop("_chance", *[f"_cell_{d}" for d in DIMENSIONS])
+    on = F.lit(True)
+    for d in DIMENSIONS:
+        on = on & F.col(own[d]).eqNullSafe(F.col(cell[d]))
+    # Every document has a cell: the table was counted from them.
+    return docs.withColumn(topic_name, topic(whole("text"))).join(chances, on).drop(*cell.values())
 
 
 def mix_report(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:

@@ -209,20 +209,17 @@ def judged(counted: DataFrame, counts: str, fences: DataFrame, rules: Rules, nam
 
     A document without fences failed the fixed rules, as did all of its group.
     """
-    limits = fences.select(
-        F.col("lang").alias("_fence_lang"), F.col("source").alias("_fence_source"), F.col("fence").alias("_fence")
-    )
+    lang, source, fence = (free_name(counted, n) for n in ("fence_lang", "fence_source", "fence"))
+    limits = fences.select(F.col("lang").alias(lang), F.col("source").alias(source), F.col("fence").alias(fence))
     joined = counted.join(
-        limits,
-        F.col("lang").eqNullSafe(F.col("_fence_lang")) & F.col("source").eqNullSafe(F.col("_fence_source")),
-        "left",
+        limits, F.col("lang").eqNullSafe(F.col(lang)) & F.col("source").eqNullSafe(F.col(source)), "left"
     )
     inside = F.lit(True)
     for m in rules.measures:
         value = _value(counts, m)
-        inside = inside & (value <= F.col(f"_fence.{m.name}_high"))
+        inside = inside & (value <= F.col(f"{fence}.{m.name}_high"))
         if m.low:
-            inside = inside & (value >= F.col(f"_fence.{m.name}_low"))
+            inside = inside & (value >= F.col(f"{fence}.{m.name}_low"))
     # One expression: a condition on the counts alone would be pushed below the columns they come from,
     # and each of them would be worked out again wherever the condition names it.
     verdict = F.when(inside.isNull() | base_failed(counts, rules), F.lit(False)).otherwise(inside)

@@ -10,7 +10,8 @@ packets of about half that size, which stay together. That bounds the items by t
 ``resolution`` per shard, whatever the number of documents, and the rule is the same at every size.
 
 For a given number of shards the capacity is the smallest for which best fit needs no more shards,
-found by bisection, so sizes are near equal as far as the largest group allows.
+found by bisection. Groups larger than a mean shard get a shard each and the others are packed without
+them, so sizes are near equal as far as indivisible groups allow.
 
 Defined results: a null text has size 8, checksum 0 and forms a group of its own; repeated rows are
 rows of one group, each with its own slot; an empty table gives an empty result.
@@ -98,9 +99,17 @@ def best_fit(sizes: list[int], capacity: int, most: int | None = None) -> list[i
 
 
 def pack(sizes: list[int], n_bins: int, tolerance: float = 1e-4) -> list[int]:
-    """Bins 0 to ``n_bins - 1`` for sizes in falling order, at the least capacity best fit manages."""
-    total = sum(sizes)
-    low = max([math.ceil(total / n_bins), *sizes[:1]]) if sizes else 0
+    """Bins 0 to ``n_bins - 1`` for sizes in falling order, at the least capacity best fit manages.
+
+    A size above the mean of what is left has a bin to itself, and does not raise the others' capacity.
+    """
+    rest, alone = sum(sizes), 0
+    while alone < min(len(sizes), n_bins - 1) and sizes[alone] * (n_bins - alone) > rest:
+        rest -= sizes[alone]
+        alone += 1
+    if alone:
+        return [*range(alone), *(alone + b for b in pack(sizes[alone:], n_bins - alone, tolerance))]
+    low = max([math.ceil(rest / n_bins), *sizes[:1]]) if sizes else 0
     found, high = best_fit(sizes, low, n_bins), low
     while found is None:  # the first capacity that does
         low, high = high, high + max(1, high // 256)

@@ -138,7 +138,7 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, distance: int =
 
 def keep_one(docs: DataFrame, width: int = SHINGLE_WORDS, distance: int = DISTANCE) -> DataFrame:
     """One document of each group, that with the smallest id, with the columns it came with."""
-    key = free_name(docs, "row_key")
+    key, copies = free_name(docs, "row_key"), free_name(docs, "row_copies")
     own_key = F.md5(F.to_json(F.struct(*docs.columns), {"ignoreNullFields": "false"}))
     keyed = docs.select("doc_id", own_key.alias(key), "text")
     prints = stored(fingerprints(keyed, width), "simhash-prints")
@@ -147,10 +147,10 @@ def keep_one(docs: DataFrame, width: int = SHINGLE_WORDS, distance: int = DISTAN
         "fp", F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), F.col(key).alias("k")).alias("rank")
     )
     chosen = with_component(ranked, distance, "rank").where("rank = component")
-    winners = stored(chosen.groupBy(F.col("rank.k").alias(key)).agg(F.count("*").alias("copies")), "simhash-winners")
+    winners = stored(chosen.groupBy(F.col("rank.k").alias(key)).agg(F.count("*").alias(copies)), "simhash-winners")
     kept = docs.withColumn(key, own_key).join(winners, key)
-    once = kept.where("copies = 1").select(*docs.columns)
-    return once.union(kept.where("copies > 1").dropDuplicates([key]).select(*docs.columns))
+    once = kept.where(F.col(copies) == 1).select(*docs.columns)
+    return once.union(kept.where(F.col(copies) > 1).dropDuplicates([key]).select(*docs.columns))
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
