@@ -3,13 +3,16 @@
 A change log is an append-only frame with one row image per change:
 
 * ``op``: ``INSERT``, ``UPDATE`` (new image) or ``DELETE`` (last image),
-* ``seq``: the position, growing with every commit and unique per key,
+* ``seq``: the position, growing with every commit,
 * ``commit_ts``: when it was committed,
+* ``row_no``, if there is one: the order of the changes within a commit; a log without it has each key
+  at most once at a position,
 * the columns of the logged table.
 
 The latest image per key is found with ``max_by``, never with a window: it is combined on the map
 side, so a key that owns a third of the log sends one row per map task instead of all its rows to a
-single sort.
+single sort. Images hold text, so Spark aggregates them by sorting: each map task sorts its own part of
+the log, in memory or with spilling, before it ships one row per key.
 """
 
 from __future__ import annotations
@@ -20,9 +23,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-OP, SEQ, COMMIT_TS = "op", "seq", "commit_ts"
-META = (OP, SEQ, COMMIT_TS)
+OP, SEQ, COMMIT_TS, ROW = "op", "seq", "commit_ts", "row_no"
+META = (OP, SEQ, COMMIT_TS, ROW)
 INSERT, UPDATE, DELETE = "INSERT", "UPDATE", "DELETE"
 ACTION, IS_UPDATE, ROW_COUNT = "action", "is_update", "row_count"
 LIVE = "live"
@@ -32,6 +36,21 @@ def payload_columns(log: DataFrame) -> list[str]:
     return [c for c in log.columns if c not in META]
 
 
+def _order(log: DataFrame) -> Column:
+    """What puts the changes of one key in order."""
+    return F.struct(SEQ, ROW) if ROW in log.columns else F.col(SEQ)
+
+
+def _sign(rows: DataFrame, marker: str) -> Column:
+    """-1 for a deleted row and 1 for an inserted one; an update without its old image is refused."""
+    refused = F.raise_error(F.lit("an UPDATE has no old image: log it as DELETE and INSERT, or use split_updates"))
+    return (
+        F.when(F.col(marker) == DELETE, -1)
+        .when(F.col(marker) == UPDATE, refused.cast("int"))
+        .otherwise(1)
+    )
+
+
 def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
@@ -68,7 +87,7 @@ def latest_images(log: DataFrame, key: str | Sequence[str]) -> DataFrame:
     image = F.struct(_live(), *[c for c in payload if c not in keys])
     return (
         log.groupBy(*keys)
-        .agg(F.max_by(image, SEQ).alias("_last"))
+        .agg(F.max_by(image, _order(log)).alias("_last"))
         .select(*[c if c in keys else F.col(f"_last.{c}") for c in payload], f"_last.{LIVE}")
     )
 
@@ -121,11 +140,11 @@ def net_changes(
     if base is None:
         known = log if until is None else log.where(F.col(SEQ) <= until)
         both = known.groupBy(*keys).agg(
-            F.max_by(image, F.when(F.col(SEQ) <= since, F.col(SEQ))).alias("old"),
-            F.max_by(image, SEQ).alias("new"),
+            F.max_by(image, F.when(F.col(SEQ) <= since, _order(log))).alias("old"),
+            F.max_by(image, _order(log)).alias("new"),
         )
     else:
-        now = changes(log, since, until).groupBy(*keys).agg(F.max_by(image, SEQ).alias("new"))
+        now = changes(log, since, until).groupBy(*keys).agg(F.max_by(image, _order(log)).alias("new"))
         touched = now.select(*[F.col(k).alias(f"_c_{k}") for k in keys])
         old = base.join(touched, _same_keys(base, touched, keys), "left_semi").select(
             *[F.col(k).alias(f"_c_{k}") for k in keys],
@@ -170,6 +189,30 @@ def _differences(both: DataFrame, keys: Sequence[str], payload: Sequence[str]) -
     )
 
 
+def split_updates(log: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """The log with every update as a DELETE of the key's row before and an INSERT of the new one.
+
+    Inserts of a key that is there count as updates, and deletes of one that is not as nothing, so sums
+    over the result follow the table. It takes the changes of a key in order, in one window per key; a
+    writer that knows the old image does better to log both.
+    """
+    keys = _keys(key)
+    rest = [c for c in payload_columns(log) if c not in keys]
+    extra = [c for c in META if c in log.columns and c != OP]
+    image = F.struct((F.col(OP) != DELETE).alias(LIVE), *rest)
+    before = F.lag(image).over(Window.partitionBy(*keys).orderBy(_order(log)))
+    with_old = log.withColumn("_old", before)
+    was = F.coalesce(F.col(f"_old.{LIVE}"), F.lit(False))
+    old = F.struct(F.lit(DELETE).alias(OP), *[F.col(f"_old.{c}").alias(c) for c in rest])
+    new = F.struct(F.lit(INSERT).alias(OP), *rest)
+    pair = F.filter(
+        F.array(F.when(was, old), F.when(F.col(OP) != DELETE, new)), lambda row: row.isNotNull()
+    )
+    return with_old.select(*keys, *extra, F.explode(pair).alias("_row")).select(
+        *[c if c in keys or c in extra else F.col(f"_row.{c}").alias(c) for c in log.columns]
+    )
+
+
 def net_row_changes(log: DataFrame, since: int, until: int | None = None) -> DataFrame:
     """Net change of a table without a key, from a log that holds only INSERT and DELETE images.
 
@@ -177,7 +220,7 @@ def net_row_changes(log: DataFrame, since: int, until: int | None = None) -> Dat
     inserted and deleted equally often do not appear.
     """
     payload = payload_columns(log)
-    sign = F.when(F.col(OP) == DELETE, -1).otherwise(1)
+    sign = _sign(log, OP)
     net = changes(log, since, until).groupBy(*payload).agg(F.sum(sign).alias("_net"))
     return net.where(F.col("_net") != 0).select(
         *payload,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.changes import ACTION, DELETE, OP
+from ledgerline.operators.changes import ACTION, OP, _sign
 
 TOTAL, ROWS, VALUES = "total", "row_count", "value_count"
 
@@ -13,14 +13,14 @@ TOTAL, ROWS, VALUES = "total", "row_count", "value_count"
 def partial_sums(rows: DataFrame, key: str, measure: str) -> DataFrame:
     """Sum, row count and non-null count per key; deleted rows of a change set count negatively.
 
-    An update has to come as a DELETE of the old row and an INSERT of the new one, as net changes
-    give it. The counts make the sums maintainable: a key whose rows are all deleted has to vanish, and one
+    An update has to come as a DELETE of the old row and an INSERT of the new one, as net changes and
+    ``split_updates`` give it; one without its old image raises. The counts make the sums maintainable: a key whose rows are all deleted has to vanish, and one
     left with only NULL measures has a NULL sum.
     """
     sign = F.lit(1)
     marker = next((c for c in (ACTION, OP) if c in rows.columns), None)
     if marker is not None:
-        sign = F.when(F.col(marker) == DELETE, -1).otherwise(1)
+        sign = _sign(rows, marker)
     value = F.col(measure)
     return rows.groupBy(key).agg(
         F.sum(F.when(sign > 0, value).otherwise(-value)).alias(TOTAL),

@@ -7,7 +7,6 @@ from operator import mul
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from ledgerline.functions import kpi
 from ledgerline.functions.kpi import average
@@ -104,12 +103,8 @@ def _copies(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(1).cast("long"))
 
 
-def _times(exact: bool, total: Column, *factors: Column) -> Column:
-    """The product of a decimal with row counts; not ``exact``: as a double that cannot overflow."""
-    if exact:
-        return reduce(mul, factors, total)
-    as_double = reduce(mul, [f.cast("double") for f in factors], total.cast("double"))
-    return F.coalesce(reduce(F.try_multiply, factors, total).cast("double"), as_double)
+def _times(total: Column, *factors: Column) -> Column:
+    return reduce(mul, factors, total)
 
 
 def district_summary(
@@ -119,7 +114,6 @@ def district_summary(
     fertilizer: DataFrame,
     farmers: DataFrame,
     ci: bool = True,
-    exact: bool = True,
 ) -> DataFrame:
     """Production, rainfall, soil, fertilizer and farmers per district and crop.
 
@@ -131,10 +125,8 @@ def district_summary(
 
     ``ci`` joins districts regardless of case (grouping keeps the spelling); otherwise exactly.
 
-    Totals are decimals, and one beyond 38 digits raises, as it does in the declared number type. The
-    repetition alone can take them there when every table is large. ``exact=False`` gives doubles
-    instead, computed in decimal as long as that fits; :func:`district_summary_deduplicated` has the
-    totals without the repetition.
+    Totals are decimals at every size, and one beyond 38 digits raises, as it does in the declared
+    number type; :func:`district_summary_deduplicated` has the totals without the repetition.
     """
     by_crop = (
         _crops_with_rain(crops, rainfall, ci)
@@ -153,7 +145,6 @@ def district_summary(
         "district",
         "crop_name",
         _times(
-            exact,
             F.col("production"),
             _copies("soil_rows"),
             _copies("fertilizer_rows"),
@@ -162,7 +153,6 @@ def district_summary(
         average(F.col("rain_sum"), F.col("rain_values")).alias("avg_rainfall"),
         average(F.col("ph_sum"), F.col("ph_values")).alias("avg_ph"),
         _times(
-            exact,
             F.col("fertilizer_sum"),
             F.col("crop_rain_rows"),
             _copies("soil_rows"),
@@ -219,19 +209,10 @@ def crop_rainfall(crops: DataFrame, rainfall: DataFrame) -> DataFrame:
     )
 
 
-def _sum(df: DataFrame, name: str) -> Column:
-    """The sum of a total; of doubles in decimal if they fit, so that it does not depend on the order."""
-    if not isinstance(df.schema[name].dataType, DoubleType):
-        return F.sum(name)
-    fits = F.max(F.abs(name)) < 1e30
-    in_decimal = F.try_sum(F.col(name).try_cast("decimal(38,2)")).cast("double")
-    return F.when(fits, in_decimal).otherwise(F.sum(name))
-
-
 def agri_kpi(summary: DataFrame) -> DataFrame:
     """Per district: summed production, unweighted mean of the crops' averages, summed farmers."""
     return summary.groupBy("district").agg(
-        _sum(summary, "total_production").alias("total_production"),
+        F.sum("total_production").alias("total_production"),
         F.avg("avg_rainfall").alias("avg_rainfall"),
         F.sum("total_farmers").alias("total_farmers"),
     )
@@ -240,7 +221,7 @@ def agri_kpi(summary: DataFrame) -> DataFrame:
 def agri_kpi_dashboard(kpis: DataFrame) -> DataFrame:
     """The headline row: figures rounded to 2 digits and whole counts."""
     return kpis.agg(
-        kpi.rounded(_sum(kpis, "total_production")).alias("total_production"),
+        kpi.rounded(F.sum("total_production")).alias("total_production"),
         kpi.rounded(F.avg("avg_rainfall")).alias("avg_rainfall"),
         F.sum("total_farmers").cast("long").alias("total_farmers"),
         F.count_distinct("district").alias("total_districts"),
@@ -252,7 +233,7 @@ def _ranked(summary: DataFrame, by: str, value: Column, name: str) -> DataFrame:
 
 
 def crop_production(summary: DataFrame) -> DataFrame:
-    return _ranked(summary, "crop_name", _sum(summary, "total_production"), "production")
+    return _ranked(summary, "crop_name", F.sum("total_production"), "production")
 
 
 def rainfall_by_district(summary: DataFrame) -> DataFrame:
@@ -264,5 +245,5 @@ def soil_ph_by_district(summary: DataFrame) -> DataFrame:
 
 
 def fertilizer_by_district(summary: DataFrame) -> DataFrame:
-    used = _sum(summary, "fertilizer_used")
+    used = F.sum("fertilizer_used")
     return _ranked(summary, "district", used, "fertilizer_used")

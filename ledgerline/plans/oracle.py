@@ -42,7 +42,8 @@ ADAPTERS = {
                cast(l_shipdate as date) as order_date,
                case when l_returnflag = 'R' then 'DELETE' when l_returnflag = 'A' then 'UPDATE'
                     else 'INSERT' end as op,
-               l_orderkey * 10 + l_linenumber as seq, l_shipdate as commit_ts
+               date_diff('day', date '1970-01-01', cast(l_shipdate as date)) as seq,
+               l_shipdate as commit_ts
         from lineitem left join orders on l_orderkey = o_orderkey""",
     "dim_customers": """
         select c_custkey as customer_id, c_name as customer_name,
@@ -56,9 +57,11 @@ ADAPTERS = {
         select s_suppkey as store_id, s_name as store_name, n_name as location
         from supplier left join nation on s_nationkey = n_nationkey""",
     "sales_view": """
-        from fact_sales join dim_customers using (customer_id)
-        join dim_products using (product_id) join dim_stores using (store_id)
-        select customer_name, product_name, store_name, sales_amount, order_date""",
+        select c.customer_name, p.product_name, s.store_name, f.sales_amount, f.order_date
+        from fact_sales f
+        join dim_customers c on f.customer_id = c.customer_id
+        join dim_products p on f.product_id = p.product_id
+        join dim_stores s on f.store_id = s.store_id""",
     "amounts": """
         select l_orderkey * 10 + l_linenumber as transaction_id, cast(l_shipdate as date) as txn_date,
                cast(case when l_returnflag = 'N' then l_extendedprice else -l_extendedprice end
@@ -73,20 +76,16 @@ ADAPTERS = {
                case when l_returnflag = 'N' then 'CREDIT' else 'DEBIT' end as type,
                nullif(p_type, 'ECONOMY') as category
         from lineitem left join part on l_partkey = p_partkey""",
-    "rules": """
-        select * from (values (1, 'red', 'Food'), (2, 'bolt', 'Shopping'), (3, 'old', 'Travel'),
-                              (4, 'gizmo', 'Entertainment'), (5, 'ring', 'Investment'))
-        as t(priority, word, found)""",
-    "categories": """
-        select description, min_by(found, priority) as found
-        from (select distinct description from transactions_raw) join rules
-          on contains(lower(description), word)
-        group by description""",
     "transactions": """
         select transaction_id, txn_date, description, amount, type,
-               coalesce(found, category) as category,
+               case when lower(description) like '%red%' then 'Food'
+                    when lower(description) like '%bolt%' then 'Shopping'
+                    when lower(description) like '%old%' then 'Travel'
+                    when lower(description) like '%gizmo%' then 'Entertainment'
+                    when lower(description) like '%ring%' then 'Investment'
+                    else category end as category,
                strftime(txn_date, '%b') as month_name, cast(year(txn_date) as int) as year
-        from transactions_raw left join categories using (description)""",
+        from transactions_raw""",
     "flows": """
         select txn_date, case when type = 'CREDIT' then amount else 0 end as income,
                case when type = 'DEBIT' then abs(amount) else 0 end as expense
@@ -125,24 +124,23 @@ ADAPTERS = {
     "farmer_data": """
         select c_custkey as farmer_id, c_name as name, n_name as district
         from customer join nation on c_nationkey = n_nationkey""",
-    # One row per combination of matches on every side, keyed by district (k) and year.
+    # One row per combination of matches on every side, by district and year.
     "agro_rows": """
-        from (select *, upper(district) as k from crop_data)
-        left join (select upper(district) as k, year, rainfall_mm from rainfall_data)
-          using (k, year)
-        left join (select upper(district) as k, ph_level from soil_data) using (k)
-        left join (select upper(district) as k, quantity_used_kg from fertilizer_data) using (k)
-        left join (select upper(district) as k, farmer_id from farmer_data) using (k)
-        select district, crop_name, production_tonnes, rainfall_mm, ph_level, quantity_used_kg,
-               farmer_id""",
+        select c.district, c.crop_name, c.production_tonnes, r.rainfall_mm, s.ph_level,
+               f.quantity_used_kg, m.farmer_id
+        from crop_data c
+        left join rainfall_data r on upper(c.district) = upper(r.district) and c.year = r.year
+        left join soil_data s on upper(c.district) = upper(s.district)
+        left join fertilizer_data f on upper(c.district) = upper(f.district)
+        left join farmer_data m on upper(c.district) = upper(m.district)""",
     "agro_rows_cs": """
-        from crop_data
-        left join (select district, year, rainfall_mm from rainfall_data) using (district, year)
-        left join (select district, ph_level from soil_data) using (district)
-        left join (select district, quantity_used_kg from fertilizer_data) using (district)
-        left join (select district, farmer_id from farmer_data) using (district)
-        select district, crop_name, production_tonnes, rainfall_mm, ph_level, quantity_used_kg,
-               farmer_id""",
+        select c.district, c.crop_name, c.production_tonnes, r.rainfall_mm, s.ph_level,
+               f.quantity_used_kg, m.farmer_id
+        from crop_data c
+        left join rainfall_data r on c.district = r.district and c.year = r.year
+        left join soil_data s on c.district = s.district
+        left join fertilizer_data f on c.district = f.district
+        left join farmer_data m on c.district = m.district""",
     "district_summary": f"{_SUMMARY} from agro_rows group by all",
     "district_summary_cs": f"{_SUMMARY} from agro_rows_cs group by all",
     "agri_kpi": """
@@ -275,9 +273,12 @@ _BODIES = {
                cast(order_date as varchar) as order_date from crm_orders""",
     "mask_amount_admin": f"select {_ORDERS} from crm_orders",
     "masked_customer_summary": """
-        select customer_id, name, city, total_orders,
-               cast(case when total_orders > 0 then 0 end as double) as total_spent
-        from spend""",
+        select c.customer_id, c.name, c.city, count(o.order_id) as total_orders,
+               cast(sum(o.amount) as double) as total_spent
+        from crm_customers c
+        join (select order_id, customer_id, 0 as amount from crm_orders) o
+          on c.customer_id = o.customer_id
+        group by c.customer_id, c.name, c.city""",
     "delete_where": f"""
         select {_ORDERS} from crm_orders where not coalesce(amount < 200000, false)""",
     # Agriculture.
@@ -373,16 +374,13 @@ _BODIES = {
         from new_state n left join old_state o on o.pk = n.pk
         where o.pk is null or n.val is distinct from o.val""",
     "cdc_net_row_changes": """
-        select pk, cast(floor(val) as bigint) as val,
-               case when sum(case when op = 'DELETE' then -1 else 1 end) > 0 then 'INSERT'
-                    else 'DELETE' end as action,
-               false as is_update,
-               cast(abs(sum(case when op = 'DELETE' then -1 else 1 end)) as bigint) as row_count
-        from changelog, (select max(seq) as since from changelog
-                         where op <> 'UPDATE' and commit_ts < timestamp '2024-01-11') p
-        where op <> 'UPDATE' and seq > p.since
-        group by pk, floor(val)
-        having sum(case when op = 'DELETE' then -1 else 1 end) <> 0""",
+        select pk, cast(val as double) as val,
+               case when sum(n) > 0 then 'INSERT' else 'DELETE' end as action,
+               false as is_update, cast(abs(sum(n)) as bigint) as row_count
+        from (select pk, val, -1 as n from old_state union all select pk, val, 1 from last_state)
+        group by pk, val having sum(n) <> 0""",
+    "mv_logged_sums": """
+        select pk % 10 as bucket, cast(sum(val) as double) as total from last_state group by pk % 10""",
     "cdc_apply_changes": "select pk, cast(val as double) as val from last_state",
     "cdc_pending_count": """
         select count(*) as pending_changes from changelog cross join positions where seq > since""",
@@ -420,10 +418,50 @@ _BODIES = {
             select 'raw_orders' as table_name, (select count(*) from order_log) as raw_rows,
                    (select count(*) from order_log where op <> 'DELETE') as staging_rows
             union all
-            select 'changelog', (select count(*) from changelog), (select count(*) from last_state)
-            union all
-            select 'crop_data', (select count(*) from crop_data), (select count(*) from crop_data))
+            select 'changelog', (select count(*) from changelog), (select count(*) from last_state))
         """,
+    "limit_sample_check": """
+        select cast(least(10, count(*)) as bigint) as sampled, cast(0 as bigint) as no_facts
+        from retail_lines""",
+    # Tables, tasks and files that the others do not reach.
+    "csv_null_tokens": """
+        select order_id, customer_id, case when order_id % 3 = 0 then null
+               else cast(amount as double) end as amount, cast(order_date as varchar) as order_date
+        from crm_orders""",
+    "csv_named_file": f"select {_ORDERS} from crm_orders where order_id % 2 = 0",
+    "csv_listed_files": "select 'day.csv' as drop_name, true as has_bytes union all select 'day.csv.old', true",
+    "table_created_like": f"""
+        select {_ORDERS} from crm_orders where amount >= 200000
+        union all select -1, 7, 250000.5, '2000-01-01'""",
+    "table_emptied": "select cast(0 as bigint) as rows_left, count(*) as rows_logged from crm_orders",
+    "cloned_tables": """
+        select 'crops' as table_name, count(*) as raw_rows, count(*) as staging_rows, 0 as diff from crop_data
+        union all select 'soil', count(*), count(*), 0 from soil_data""",
+    "masked_table_read": """
+        select customer_id, customer_name, '*****' as email, city from dim_customers""",
+    "task_run_history": """
+        select 'loader' as name, 'SUCCEEDED' as state, 1 as runs
+        union all select 'loader', 'SKIPPED', 1""",
+    "summary_appended_twice": """
+        select name, cast(2 * sum(total_spent) as double) as total_spent from spend group by name""",
+    "pipeline_listing": """
+        select 'orders' as name, 'TABLE' as kind union all select 'orders_view', 'VIEW'""",
+    "report_frame": """
+        select product_id, cast(sum(sales_amount) as double) as total_sales
+        from retail_lines group by product_id""",
+    "agri_kpi_refreshed": """
+        select district, cast(total_production as double) as total_production,
+               round(avg_rainfall, 6) as avg_rainfall,
+               cast(total_farmers as bigint) as total_farmers from agri_kpi""",
+    "mv_customer_stored": "select name, cast(total_spent as double) as total_spent from spend",
+    "ingest_two_checkpoints": f"select {_ORDERS} from crm_orders",
+    "reconcile_stored_copies": """
+        select 'crop_data' as table_name, count(*) as raw_rows, count(*) as staging_rows, 0 as diff
+        from crop_data
+        union all select 'rainfall_data', count(*), count(*), 0 from rainfall_data
+        union all select 'soil_data', count(*), count(*), 0 from soil_data
+        union all select 'fertilizer_data', count(*), count(*), 0 from fertilizer_data
+        union all select 'farmer_data', count(*), count(*), 0 from farmer_data""",
 }
 
 

@@ -175,6 +175,15 @@ def mask_email(spark: SparkSession, d: str) -> DataFrame:
     return mask(src.retail_customers(spark, d), {"email": EMAIL_MASK}, READER_ROLE)
 
 
+@register()
+def limit_sample_check(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of a sample, and how many of them are no facts."""
+    facts = _lines(spark, d)
+    sample = facts.limit(10).withColumn("n", F.lit(1))
+    found = sample.join(facts.distinct().withColumn("f", F.lit(1)), facts.columns, "left")
+    return found.agg(F.sum("n").alias("sampled"), F.sum(F.coalesce(F.lit(1) - F.col("f"), F.lit(1))).alias("no_facts"))
+
+
 @register()
 def limit_sample(spark: SparkSession, d: str) -> DataFrame:
     """Any ten facts."""
@@ -320,8 +329,7 @@ def _agro(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:
 
 
 def _districts(spark: SparkSession, d: str, ci: bool = True) -> DataFrame:
-    """Totals as doubles: the repetition of large tables takes them beyond 38 digits."""
-    return agriculture.district_summary(*_agro(spark, d), ci=ci, exact=False)
+    return agriculture.district_summary(*_agro(spark, d), ci=ci)
 
 
 @register(avg_rainfall=6)
@@ -433,11 +441,20 @@ def cdc_net_changes_from_base(spark: SparkSession, d: str) -> DataFrame:
 
 @register()
 def cdc_net_row_changes(spark: SparkSession, d: str) -> DataFrame:
-    """Net change without a key: sign-ups against errors per equal (pk, value) row."""
-    log = src.changelog(spark, d).where(F.col(cdc.OP) != cdc.UPDATE)
-    return cdc.net_row_changes(
-        log.withColumn("val", F.floor("val").cast("long")), cdc.position_at(log, CHANGES_SINCE)
-    )
+    """Net change per equal (pk, value) row, with updates told apart into the old and the new row."""
+    log = src.changelog(spark, d)
+    return cdc.net_row_changes(cdc.split_updates(log, "pk"), cdc.position_at(log, CHANGES_SINCE))
+
+
+@register()
+def mv_logged_sums(spark: SparkSession, d: str) -> DataFrame:
+    """Stored sums of a logged table up to a position, with the later updates and deletes merged in."""
+    log = src.changelog(spark, d)
+    since = cdc.position_at(log, CHANGES_SINCE)
+    rows = cdc.split_updates(log, "pk").withColumn("bucket", F.col("pk") % 10)
+    stored = partial_sums(rows.where(F.col(cdc.SEQ) <= since), "bucket", "val")
+    delta = partial_sums(cdc.changes(rows, since), "bucket", "val")
+    return read_sums(merge_sums(stored, delta, "bucket"), "bucket")
 
 
 @register()
@@ -472,7 +489,6 @@ def reconcile_counts(spark: SparkSession, d: str) -> DataFrame:
         [
             ("raw_orders", orders, retail.load_fact_sales(orders)),
             ("changelog", log, cdc.state_at(log, "pk")),
-            ("crop_data", src.crop_data(spark, d), src.crop_data(spark, d)),
         ]
     )
 

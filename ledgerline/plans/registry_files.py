@@ -6,6 +6,8 @@ the cluster's shared one.
 
 from __future__ import annotations
 
+import datetime
+import decimal
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,18 +15,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from ledgerline import schemas
+from ledgerline.functions.masking import EMAIL_MASK
 from ledgerline.operators import changes as cdc
-from ledgerline.plans import finance, retail
-from ledgerline.plans.registry import FACTS_SINCE, SALES_DAY, TEST_RULES, register
+from ledgerline.operators.counts import reconcile
+from ledgerline.plans import agriculture, customers, finance, retail
+from ledgerline.plans.registry import DELETE_BELOW, FACTS_SINCE, SALES_DAY, TEST_RULES, register
+from ledgerline.plans.report import CachedReport, to_report
 from ledgerline.session import fresh_dir, shared_dir
 from ledgerline.sources import testdata as src
-from ledgerline.sources.csv_files import CONTINUE, CsvFormat, Source, load_csv
+from ledgerline.sources import tables
+from ledgerline.sources.csv_files import CONTINUE, CsvFormat, Source, list_files, load_csv
 from ledgerline.sources.tables import create_layers, read_table, write_clustered
 from ledgerline.streaming.changelog import ChangeLog
 from ledgerline.streaming.ingest import csv_stream, ingest_stream
-from ledgerline.streaming.refresh import refresh_sums
+from ledgerline.streaming.refresh import refresh, refresh_sums
+from ledgerline.streaming.runlog import RunLog
 from ledgerline.streaming.sink import BatchSink
-from ledgerline.streaming.tasks import load_task
+from ledgerline.streaming.tasks import load_task, summary_task
 
 ORDERS = schemas.table(
     order_id=schemas.KEY,
@@ -156,3 +163,202 @@ def clustered_sales_on_date(spark: SparkSession, d: str) -> DataFrame:
     table = _scratch_table(spark, "fact_sales")
     write_clustered(retail.build_fact_sales(src.retail_orders(spark, d)), table, "order_date")
     return retail.sales_on(read_table(spark, table), SALES_DAY)
+
+
+def _scratch_schema(spark: SparkSession) -> str:
+    name = f"{SCRATCH}_{uuid.uuid4().hex}"
+    create_layers(spark, name, base=shared_dir(spark))
+    return name
+
+
+@register()
+def csv_null_tokens(spark: SparkSession, d: str) -> DataFrame:
+    """Amounts written as one of two NULL tokens, in padded fields, load as NULL."""
+    path = fresh_dir(spark, "csv-nulls")
+    key = F.col("order_id")
+    amount = F.when(key % 6 == 0, "NULL").when(key % 3 == 0, "null").otherwise(F.col("amount").cast("string"))
+    padded = [F.concat(F.lit("  "), c, F.lit(" ")) for c in (key.cast("string"), amount)]
+    orders = src.crm_orders(spark, d).select(
+        padded[0].alias("order_id"), "customer_id", padded[1].alias("amount"), "order_date"
+    )
+    spaces = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    orders.write.option("header", "true").options(**spaces).csv(path)
+    trimmed = CsvFormat(header=True, null_tokens=("NULL", "null"), trim=True)
+    return load_csv(spark, Source(path, trimmed), ORDERS).rows
+
+
+def _two_drops(spark: SparkSession, d: str) -> Source:
+    path = fresh_dir(spark, "csv-named")
+    orders, even = src.crm_orders(spark, d), F.col("order_id") % 2 == 0
+    _drop_csv(orders.where(even), f"{path}/day.csv")
+    _drop_csv(orders.where(~even), f"{path}/day.csv.old")
+    return Source(path, FORMAT)
+
+
+@register()
+def csv_named_file(spark: SparkSession, d: str) -> DataFrame:
+    """One of two drops, the name of which begins the other's."""
+    return load_csv(spark, _two_drops(spark, d), ORDERS, file="day.csv").rows
+
+
+@register()
+def csv_listed_files(spark: SparkSession, d: str) -> DataFrame:
+    """The drops whose name starts alike, as the listing of their files shows them."""
+    listed = list_files(spark, _two_drops(spark, d), prefix="day")
+    drop = F.regexp_extract("path", "/([^/]+)/[^/]+$", 1).alias("drop_name")
+    return listed.groupBy(drop).agg((F.sum("length") > 0).alias("has_bytes"))
+
+
+@register()
+def table_created_like(spark: SparkSession, d: str) -> DataFrame:
+    """A table like another one, filled from it, with a literal row inserted and rows deleted."""
+    schema = _scratch_schema(spark)
+    tables.create_table(spark, f"{schema}.raw", ORDERS)
+    tables.create_like(spark, f"{schema}.staging", f"{schema}.raw")
+    tables.append(src.crm_orders(spark, d).select(*ORDERS.fieldNames()), f"{schema}.raw")
+    tables.append(read_table(spark, f"{schema}.raw"), f"{schema}.staging")
+    row = (-1, 7, decimal.Decimal("250000.50"), datetime.date(2000, 1, 1))
+    tables.insert_rows(spark, f"{schema}.staging", [row])
+    tables.delete_where(spark, f"{schema}.staging", F.col("amount") < DELETE_BELOW)
+    return read_table(spark, f"{schema}.staging")
+
+
+@register()
+def table_emptied(spark: SparkSession, d: str) -> DataFrame:
+    """All rows deleted, with the deletes logged."""
+    schema = _scratch_schema(spark)
+    tables.materialize(src.crm_orders(spark, d), f"{schema}.orders")
+    log = ChangeLog(spark, fresh_dir(spark, "delete-log"), read_table(spark, f"{schema}.orders").schema)
+    tables.delete_where(spark, f"{schema}.orders", F.lit(True), log)
+    left = read_table(spark, f"{schema}.orders").agg(F.count("*").alias("rows_left"))
+    deleted = log.read().where(F.col(cdc.OP) == cdc.DELETE)
+    return left.crossJoin(deleted.agg(F.count("*").alias("rows_logged")))
+
+
+@register()
+def cloned_tables(spark: SparkSession, d: str) -> DataFrame:
+    """Row counts of a schema's tables and of their copies in a new schema."""
+    schema, copy = _scratch_schema(spark), f"{SCRATCH}_{uuid.uuid4().hex}"
+    tables.materialize(src.crop_data(spark, d), f"{schema}.crops")
+    tables.materialize(src.soil_data(spark, d), f"{schema}.soil")
+    names = tables.clone_tables(spark, schema, copy)
+    return reconcile([(n, read_table(spark, f"{schema}.{n}"), read_table(spark, f"{copy}.{n}")) for n in names])
+
+
+@register()
+def reconcile_stored_copies(spark: SparkSession, d: str) -> DataFrame:
+    """The raw tables of the agriculture project against their stored staging copies."""
+    schema = _scratch_schema(spark)
+    pairs = []
+    for build in (src.crop_data, src.rainfall_data, src.soil_data, src.fertilizer_data, src.farmer_data):
+        name = build.__name__
+        tables.materialize(build(spark, d), f"{schema}.raw_{name}")
+        tables.create_like(spark, f"{schema}.{name}", f"{schema}.raw_{name}")
+        tables.append(read_table(spark, f"{schema}.raw_{name}"), f"{schema}.{name}")
+        pairs.append((name, read_table(spark, f"{schema}.raw_{name}"), read_table(spark, f"{schema}.{name}")))
+    return reconcile(pairs)
+
+
+@register()
+def masked_table_read(spark: SparkSession, d: str) -> DataFrame:
+    """A table with a mask bound to a column, read without naming a role."""
+    table = f"{_scratch_schema(spark)}.customers"
+    tables.materialize(src.retail_customers(spark, d), table)
+    tables.bind_masks(spark, table, {"email": EMAIL_MASK})
+    return read_table(spark, table)
+
+
+@register()
+def task_run_history(spark: SparkSession, d: str) -> DataFrame:
+    """States of a task's runs: one with new rows, and one on a commit without any, which is skipped."""
+    base = fresh_dir(spark, "run-history")
+    orders, runs = src.crm_orders(spark, d), RunLog(spark, f"{base}/runs")
+    log = ChangeLog(spark, f"{base}/log", orders.schema)
+    target = BatchSink(spark, f"{base}/orders", orders.schema)
+    for commit in (orders, orders.limit(0)):
+        log.commit(commit, cdc.INSERT)
+        load_task("loader", log.stream(), target, f"{base}/checkpoint", skip_empty=True, run_log=runs).run()
+    return runs.history("loader").groupBy("name", "state").agg(F.count("*").cast("int").alias("runs"))
+
+
+@register()
+def summary_appended_twice(spark: SparkSession, d: str) -> DataFrame:
+    """A summary that a task appends in full at every run, summed by name."""
+    base = fresh_dir(spark, "summary")
+    orders = src.crm_orders(spark, d)
+    summary = customers.customer_summary(src.crm_customers(spark, d), orders)
+    log = ChangeLog(spark, f"{base}/log", orders.schema)
+    target = BatchSink(spark, f"{base}/summary", summary.schema)
+    early = F.col("order_date") < F.lit(FACTS_SINCE).cast("date")
+    for commit in (orders.where(early), cdc.keep_after_delete(orders, early)):
+        log.commit(commit, cdc.INSERT)
+        summary_task("summary", log.stream(), lambda: summary, target.append, f"{base}/checkpoint").run()
+    return customers.spend_by_name(target.read())
+
+
+@register()
+def pipeline_listing(spark: SparkSession, d: str) -> DataFrame:
+    """Tables and views of a schema."""
+    schema = _scratch_schema(spark)
+    tables.materialize(src.crm_orders(spark, d), f"{schema}.orders")
+    spark.sql(f"CREATE VIEW {schema}.orders_view AS SELECT * FROM {schema}.orders")
+    return tables.list_objects(spark, [schema]).where(F.col("kind") != "TASK").select("name", "kind")
+
+
+@register()
+def report_frame(spark: SparkSession, d: str) -> DataFrame:
+    """A cached report brought to the client, and made a frame again."""
+    lines = retail.build_fact_sales(src.retail_orders(spark, d, customer=False))
+    report = CachedReport(lambda: retail.sales_summary(lines))
+    frame = to_report(report.get())
+    schema = report.get().schema
+    report.clear()
+    return spark.createDataFrame(frame, schema)
+
+
+@register(avg_rainfall=6)
+def agri_kpi_refreshed(spark: SparkSession, d: str) -> DataFrame:
+    """The KPI table kept fresh over the stored district summary."""
+    schema, base = _scratch_schema(spark), fresh_dir(spark, "kpi")
+    crops = src.crop_data(spark, d)
+    sides = [f(spark, d) for f in (src.rainfall_data, src.soil_data, src.fertilizer_data, src.farmer_data)]
+    tables.materialize(agriculture.district_summary(crops, *sides), f"{schema}.district_summary")
+    log = ChangeLog(spark, f"{base}/log", crops.schema)
+    log.commit(crops, cdc.INSERT)
+
+    def build() -> DataFrame:
+        return agriculture.agri_kpi(read_table(spark, f"{schema}.district_summary"))
+
+    refresh("agri_kpi", log.stream(), build, f"{schema}.agri_kpi", f"{base}/checkpoint").run()
+    return read_table(spark, f"{schema}.agri_kpi")
+
+
+@register()
+def mv_customer_stored(spark: SparkSession, d: str) -> DataFrame:
+    """The customer view stored, and refreshed when orders come in."""
+    table, base = f"{_scratch_schema(spark)}.mv_customer", fresh_dir(spark, "mv-customer")
+    people, orders = src.crm_customers(spark, d), src.crm_orders(spark, d)
+    log = ChangeLog(spark, f"{base}/log", orders.schema)
+
+    def build() -> DataFrame:
+        return customers.mv_customer(customers.customer_summary(people, log.read().drop(*cdc.META)))
+
+    early = F.col("order_date") < F.lit(FACTS_SINCE).cast("date")
+    for commit in (orders.where(early), cdc.keep_after_delete(orders, early)):
+        log.commit(commit, cdc.INSERT)
+        refresh("mv_customer", log.stream(), build, table, f"{base}/checkpoint").run()
+    return read_table(spark, table)
+
+
+@register()
+def ingest_two_checkpoints(spark: SparkSession, d: str) -> DataFrame:
+    """Two locations loaded into one target by tasks of one name, each with a checkpoint of its own."""
+    base = fresh_dir(spark, "ingest-two")
+    target = BatchSink(spark, f"{base}/orders", ORDERS)
+    orders = src.crm_orders(spark, d)
+    early = F.col("order_date") < F.lit(FACTS_SINCE).cast("date")
+    for n, drop in enumerate((orders.where(early), cdc.keep_after_delete(orders, early))):
+        source = Source(f"{base}/drop-{n}", FORMAT)
+        _drop_csv(drop, source.path)
+        ingest_stream("ingest", csv_stream(spark, source, ORDERS), target, f"{base}/checkpoint-{n}").run()
+    return target.read()

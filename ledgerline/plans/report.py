@@ -10,11 +10,15 @@ from pyspark.sql import DataFrame
 
 # Fixed value: how long a report's result is reused, in seconds.
 REPORT_TTL_S = 60
-MAX_REPORT_ROWS = 100_000
 
 
-def to_report(df: DataFrame, max_rows: int = MAX_REPORT_ROWS) -> pd.DataFrame:
-    """A final aggregate as a pandas frame; a result too large for a report is refused, not cut."""
+def to_report(df: DataFrame, max_rows: int | None = None) -> pd.DataFrame:
+    """A final aggregate as a pandas frame, all of it.
+
+    With ``max_rows`` a result that is larger is refused, not cut.
+    """
+    if max_rows is None:
+        return df.toPandas()
     report = df.limit(max_rows + 1).toPandas()
     if len(report) > max_rows:
         raise ValueError(f"more than {max_rows} rows: aggregate further before reporting")

@@ -6,6 +6,7 @@ token and drops a row on its first unconvertible field without saying why.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 from typing import NamedTuple
@@ -67,6 +68,11 @@ class CsvFormat:
         }
 
 
+def _literal(name: str) -> str:
+    """A name in which no character has a meaning in path patterns."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", name)
+
+
 @dataclass(frozen=True)
 class Source:
     """A location and the format of the files below it."""
@@ -74,10 +80,17 @@ class Source:
     path: str
     fmt: CsvFormat = CsvFormat()
 
-    def files(self, prefix: str | None = None) -> str:
-        """Path of the whole location, or of everything whose name starts with ``prefix``."""
+    def files(self, file: str | None = None, prefix: str | None = None) -> str:
+        """Path of the whole location, of the one file ``file``, or of all whose name starts with ``prefix``.
+
+        Names are taken as they are: characters with a meaning in patterns stand for themselves.
+        """
         base = self.path.rstrip("/")
-        return base if prefix is None else f"{base}/{prefix.rstrip('/')}*"
+        if file is not None and prefix is not None:
+            raise ValueError("give a file or a prefix, not both")
+        if file is not None:
+            return f"{base}/{_literal(file.rstrip('/'))}"
+        return base if prefix is None else f"{base}/{_literal(prefix.rstrip('/'))}*"
 
 
 class Loaded(NamedTuple):
@@ -92,12 +105,14 @@ class LoadResult(NamedTuple):
     rows_rejected: int
 
 
-def list_files(spark: SparkSession, source: Source, prefix: str | None = None) -> DataFrame:
+def list_files(
+    spark: SparkSession, source: Source, file: str | None = None, prefix: str | None = None
+) -> DataFrame:
     """Path, size and time of the files of a location; their content is not read."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
-        .load(source.files(prefix))
+        .load(source.files(file, prefix))
         .select("path", "length", F.col("modificationTime").alias("last_modified"))
     )
 
@@ -176,8 +191,9 @@ def read_parsed(
     schema: StructType,
     file: str | None = None,
     numeric_scale: int | None = None,
+    prefix: str | None = None,
 ) -> DataFrame:
-    return _parse_paths(spark, source, schema, [source.files(file)], numeric_scale)
+    return _parse_paths(spark, source, schema, [source.files(file, prefix)], numeric_scale)
 
 
 def _parse_paths(
@@ -198,14 +214,15 @@ def load_csv(
     file: str | None = None,
     on_error: str = ABORT,
     numeric_scale: int | None = None,
+    prefix: str | None = None,
 ) -> Loaded:
-    """Rows of one file, of all files with a name prefix, or of the whole location.
+    """Rows of one ``file``, of all files whose name starts with ``prefix``, or of the whole location.
 
     ``abort`` fails the job that reads the rows when there is a bad one, so a load writes all rows or
     none; ``continue`` leaves bad rows out and offers them as ``rejects``. ``numeric_scale`` keeps
     that many digits in unscaled numbers, which otherwise round to whole ones.
     """
-    parsed = read_parsed(spark, source, schema, file, numeric_scale)
+    parsed = read_parsed(spark, source, schema, file, numeric_scale, prefix)
     return Loaded(good_rows(parsed, on_error), rejected_rows(parsed))
 
 
@@ -266,6 +283,7 @@ def copy_into(
     numeric_scale: int | None = None,
     rejects_path: str | None = None,
     history: LoadHistory | None = None,
+    prefix: str | None = None,
 ) -> LoadResult:
     """Appends the rows of a file set to a table, by position.
 
@@ -273,9 +291,9 @@ def copy_into(
     after the rows, so a crash in between repeats the load; the ingest stream has no such gap.
     """
     if history is None:
-        parsed = read_parsed(spark, source, schema, file, numeric_scale)
+        parsed = read_parsed(spark, source, schema, file, numeric_scale, prefix)
     else:
-        files = history.new_files(table, list_files(spark, source, file))
+        files = history.new_files(table, list_files(spark, source, file, prefix))
         if not files:
             return LoadResult(0, 0)
         paths = [f["path"] for f in files]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 from collections.abc import Iterable, Sequence
@@ -17,6 +18,9 @@ from ledgerline.schemas import frame_schema
 from ledgerline.streaming.changelog import ChangeLog
 
 _VERSION = "__at-"
+#: Start of the table properties that hold masks, and the role of a reader without one.
+_MASK = "mask."
+NO_ROLE = ""
 
 
 def create_layers(spark: SparkSession, *names: str, base: str | None = None) -> None:
@@ -26,24 +30,49 @@ def create_layers(spark: SparkSession, *names: str, base: str | None = None) ->
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}{location}")
 
 
+def stored_rows(spark: SparkSession, name: str) -> DataFrame:
+    """A table's present rows as they are stored, for the jobs that maintain it.
+
+    A session remembers where a table's files are; another one, such as that of a streaming task, may
+    have pointed the table at newer ones, so the memory is refreshed first.
+    """
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
+def bind_masks(spark: SparkSession, name: str, policies: dict[str, MaskPolicy]) -> None:
+    """Binds masks to columns of a table, which keeps them; every later :func:`read_table` applies them."""
+    unknown = set(policies) - set(spark.table(name).columns)
+    if unknown:
+        raise ValueError(f"masked columns not in the table: {sorted(unknown)}")
+    bound = ", ".join(
+        "'{}{}' = '{}'".format(_MASK, column, json.dumps([p.otherwise, p.role]).replace("\\", "\\\\").replace("'", "\\'"))
+        for column, p in policies.items()
+    )
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({bound})")
+
+
+def bound_masks(spark: SparkSession, name: str) -> dict[str, MaskPolicy]:
+    """The masks bound to a table's columns."""
+    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").where(F.col("key").startswith(_MASK)).collect()
+    return {r["key"].removeprefix(_MASK): MaskPolicy(*json.loads(r["value"])) for r in rows}
+
+
 def read_table(
     spark: SparkSession,
     name: str,
     policies: dict[str, MaskPolicy] | None = None,
     role: str | None = None,
 ) -> DataFrame:
-    """A table's present rows, as ``role`` sees them when masks are bound to its columns.
-
-    A session remembers where a table's files are; another one, such as that of a streaming task, may
-    have pointed the table at newer ones, so the memory is refreshed first.
-    """
-    spark.catalog.refreshTable(name)
-    df = spark.table(name)
-    if not policies:
+    """A table's present rows, as ``role`` sees them: masks bound to its columns always apply, and further
+    ``policies`` may be given. Who names no role sees masked values."""
+    df = stored_rows(spark, name)
+    masks = {**bound_masks(spark, name), **(policies or {})}
+    if not masks:
         return df
-    if role is None:
+    if role is None and policies:
         raise ValueError(f"{name} has masked columns, so a role is needed to read it")
-    return mask(df, policies, role)
+    return mask(df, masks, role or NO_ROLE)
 
 
 def create_table(
@@ -99,7 +128,7 @@ def delete_where(
     spark: SparkSession, name: str, condition: Column, log: ChangeLog | None = None
 ) -> None:
     """Deletes the rows for which ``condition`` is true; with ``F.lit(True)``, all of them."""
-    rows = read_table(spark, name)
+    rows = stored_rows(spark, name)
     path = _write_version(keep_after_delete(rows, condition), name)
     if log is not None:
         log.commit(rows.where(condition), DELETE)

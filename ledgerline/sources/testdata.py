@@ -103,18 +103,19 @@ def retail_orders(spark: SparkSession, sf_dir: str, customer: bool = True) -> Da
 
 
 def retail_order_log(spark: SparkSession, sf_dir: str, customer: bool = True) -> DataFrame:
-    """A change log of raw orders: the line items in order-key order, committed when shipped."""
+    """A change log of raw orders: one commit per shipping day, its lines in order-key order."""
     flag = F.col("l_returnflag")
     logged = table(spark, sf_dir, "lineitem").select(
         *_line_columns(),
         F.when(flag == "R", "DELETE").when(flag == "A", "UPDATE").otherwise("INSERT").alias("op"),
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"),
+        F.datediff(F.to_date("l_shipdate"), F.lit("1970-01-01").cast("date")).cast("long").alias("seq"),
         F.col("l_shipdate").alias("commit_ts"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_no"),
     )
     if not customer:
         return logged
     return with_customer(logged, table(spark, sf_dir, "orders")).select(
-        *RAW_ORDER_COLUMNS, "op", "seq", "commit_ts"
+        *RAW_ORDER_COLUMNS, "op", "seq", "commit_ts", "row_no"
     )
 
 

@@ -15,17 +15,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
-from ledgerline.operators.changes import COMMIT_TS, META, OP, SEQ
+from ledgerline.operators.changes import COMMIT_TS, META, OP, ROW, SEQ
 from ledgerline.schemas import frame_schema
 
 _WRITER = "writer"
-_SUCCESS = "_SUCCESS"
+#: Below a log or sink; names with an underscore are passed over by every reader.
+_UNFINISHED = "_unfinished"
+
+
+def _on(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def committed(spark: SparkSession, path: str) -> bool:
-    """Whether a write to this folder ran to its end."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_SUCCESS}")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+    """Whether a folder was published; only complete ones ever are."""
+    place, fs = _on(spark, path)
+    return fs.exists(place)
+
+
+def publish(rows: DataFrame, base: str, folder: str) -> None:
+    """Writes rows aside and then renames them to ``folder`` below ``base``, in one step.
+
+    So batch readers and streams see the whole folder or nothing, and a crash leaves at most an
+    unfinished folder that nobody reads. The store must rename folders atomically, as HDFS does.
+    """
+    spark = rows.sparkSession
+    aside = f"{base}/{_UNFINISHED}/{uuid.uuid4().hex}"
+    rows.write.parquet(aside)
+    target, fs = _on(spark, folder)
+    fs.mkdirs(target.getParent())
+    if not fs.exists(target) and not fs.rename(_on(spark, aside)[0], target):
+        raise OSError(f"could not publish {folder}")
 
 
 def folders(spark: SparkSession, pattern: str) -> list[str]:
@@ -45,6 +66,7 @@ class ChangeLog:
             StructField(OP, StringType()),
             StructField(COMMIT_TS, TimestampType()),
             StructField(SEQ, LongType()),
+            StructField(ROW, LongType()),
             StructField(_WRITER, StringType()),
         ]
         self.schema = StructType(self.rows.fields + meta)
@@ -82,8 +104,11 @@ class ChangeLog:
         """Adds rows as one commit and returns its position.
 
         ``op`` applies to all rows; without it they carry an ``op`` column. A repeated ``writer``
-        label is the retry of an earlier commit: it keeps that position and, if the first attempt was
-        complete, writes nothing, so a reader never sees a commit twice.
+        label is the retry of an earlier commit: it keeps that position and writes nothing. A commit
+        is published whole or not at all, so a reader never sees half of one, or one twice.
+
+        Rows of one commit are applied in the order of their ``row_no``. Without such a column they are
+        numbered in the order of the frame; give one when a key changes more than once in a commit.
         """
         label = writer or uuid.uuid4().hex
         commits = self._commits()
@@ -93,11 +118,14 @@ class ChangeLog:
         folder = self._folder(seq, label)
         if not committed(self.spark, folder):
             when = F.current_timestamp() if commit_ts is None else F.lit(commit_ts)
-            rows.select(
+            number = F.col(ROW) if ROW in rows.columns else F.monotonically_increasing_id()
+            image = rows.select(
                 *[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.rows],
                 (F.col(OP) if op is None else F.lit(op)).alias(OP),
                 when.cast("timestamp").alias(COMMIT_TS),
-            ).write.mode("overwrite").parquet(folder)
+                number.alias(ROW),
+            )
+            publish(image, self.path, folder)
         return seq
 
     def _columns(self) -> Sequence[str]:

@@ -26,12 +26,13 @@ def csv_stream(
     file: str | None = None,
     numeric_scale: int | None = None,
     max_files: int | None = None,
+    prefix: str | None = None,
 ) -> DataFrame:
     """Parsed rows of new files, with the reason where a row is bad."""
     reader = configure(spark.readStream, source, schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return parse(reader.csv(source.files(file)), schema, source.fmt, numeric_scale)
+    return parse(reader.csv(source.files(file, prefix)), schema, source.fmt, numeric_scale)
 
 
 def ingest_stream(
@@ -46,7 +47,7 @@ def ingest_stream(
 ) -> Task:
     """A task that loads each new file of :func:`csv_stream` once.
 
-    The checkpoint remembers the files seen. Without ``every`` it catches up with the files present
+    The number of rejected rows goes to the run log, if there is one. The checkpoint remembers the files seen. Without ``every`` it catches up with the files present
     and ends. Into a :class:`ChangeLog` the rows go as inserts, so that further tasks can follow them.
     """
 
@@ -56,7 +57,7 @@ def ingest_stream(
         else:
             target.append(rows, label)
 
-    def work(batch: DataFrame, label: str) -> None:
+    def work(batch: DataFrame, label: str) -> str | None:
         def put_aside(rejects: DataFrame) -> None:
             if rejects_path is not None:
                 rejects.write.mode("overwrite").parquet(f"{rejects_path}/{BATCH}={label}")
@@ -64,7 +65,11 @@ def ingest_stream(
         if target.has(label):
             # The retry of a batch that failed after its good rows were complete.
             put_aside(rejected_rows(batch))
-        else:
-            write_parsed(batch, lambda rows: write(rows, label), on_error, put_aside)
+            return None
+        result = write_parsed(batch, lambda rows: write(rows, label), on_error, put_aside)
+        if not result.rows_rejected:
+            return None
+        kept = "" if rejects_path is not None else ", not kept: there is no rejects path"
+        return f"{result.rows_rejected} rows rejected{kept}"
 
     return Task(name, parsed, work, checkpoint, every, **{"skip_empty": True, **options})

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 
 from ledgerline.operators.changes import apply_changes
 from ledgerline.operators.stored_sums import merge_sums, partial_sums
-from ledgerline.sources.tables import materialize, read_table, stored_version
+from ledgerline.sources.tables import materialize, stored_rows, stored_version
 from ledgerline.streaming.tasks import Task
 
 
@@ -78,7 +78,7 @@ def fold_task(
         spark = batch.sparkSession
         if stored_version(spark, table) == label:
             return
-        stored = read_table(spark, table) if spark.catalog.tableExists(table) else None
+        stored = stored_rows(spark, table) if spark.catalog.tableExists(table) else None
         materialize(step(stored, batch), table, replace=True, version=label)
 
     return Task(name, changes, work, checkpoint, lag, **options)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ledgerline.streaming.changelog import committed
+from ledgerline.streaming.changelog import committed, publish
 
 BATCH = "_batch"
 
@@ -13,9 +13,9 @@ BATCH = "_batch"
 class BatchSink:
     """A parquet folder that several tasks and loads append to.
 
-    Rows land in ``<path>/_batch=<label>/``. Streaming retries a micro-batch under the same id after
-    a failure; its folder is then replaced, or left alone if it was complete, so no row is appended
-    twice.
+    Rows land in ``<path>/_batch=<label>/``, published whole. Streaming retries a micro-batch under the
+    same label after a failure; a folder that is there is complete and left alone, so no row is
+    appended twice and readers never see part of a batch.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: StructType):
@@ -33,7 +33,7 @@ class BatchSink:
     def append(self, rows: DataFrame, label: str) -> None:
         if not self.has(label):
             columns = self.schema.fieldNames()
-            rows.select(*columns).write.mode("overwrite").parquet(self._folder(label))
+            publish(rows.select(*columns), self.path, self._folder(label))
 
     def read(self) -> DataFrame:
         schema = StructType([*self.schema.fields, StructField(BATCH, StringType())])

@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.operators.changes import META
 from ledgerline.streaming.runlog import FAILED, SKIPPED, SUCCEEDED, RunLog
 from ledgerline.streaming.sink import BatchSink
 
-Work = Callable[[DataFrame, str], None]
+#: Gives None, or a remark for the run log.
+Work = Callable[[DataFrame, str], str | None]
 
 
 class Task:
@@ -20,7 +22,8 @@ class Task:
 
     The checkpoint holds the position: it advances once per micro-batch, after the work is done, and
     a restarted task goes on from there. ``work`` gets the new rows and a label that is the same when
-    a batch is retried, to make its writes repeatable.
+    a batch is retried, to make its writes repeatable. The label names the checkpoint's own id, so the
+    batches of a task with a new checkpoint are never taken for retries of the old one's.
 
     ``every`` is a period such as ``"5 minutes"``; without one the task runs on what is there and
     ends. No batch comes without new files; with ``skip_empty`` files without rows are passed over as
@@ -47,6 +50,14 @@ class Task:
         self.run_log = run_log
         self.output_mode = output_mode
         self.query: StreamingQuery | None = None
+        self._id: str | None = None
+
+    def _checkpoint_id(self, spark: SparkSession) -> str:
+        """The id that Spark gave the checkpoint when it was made; it is kept there over restarts."""
+        if self._id is None:
+            line = spark.read.text(f"{self.checkpoint.rstrip('/')}/metadata").first()[0]
+            self._id = json.loads(line)["id"]
+        return self._id
 
     def start(self) -> StreamingQuery:
         """Starts or resumes the task."""
@@ -77,16 +88,16 @@ class Task:
 
     def _run(self, batch: DataFrame, batch_id: int) -> None:
         started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        label = f"{self.name}-{batch_id}"
+        label = f"{self.name}-{self._checkpoint_id(batch.sparkSession)}-{batch_id}"
         try:
             if self.skip_empty and batch.isEmpty():
                 self._record(SKIPPED, started, label)
                 return
-            self.work(batch, label)
+            note = self.work(batch, label)
         except Exception as error:
             self._record(FAILED, started, label, str(error))
             raise
-        self._record(SUCCEEDED, started, label)
+        self._record(SUCCEEDED, started, label, note)
 
     def _record(
         self, state: str, started: dt.datetime, label: str, error: str | None = None

@@ -140,7 +140,7 @@ def test_prefix_and_whole_location(spark, tmp_path):
     write(folder, "orders_2.csv", "id,name,day\n2,a,2025-01-02\n")
     write(folder / "orders", "part.csv", "id,name,day\n3,a,2025-01-02\n")
     write(folder, "stores.csv", "id,name,day\n4,a,2025-01-02\n")
-    ids = lambda file: {r[0] for r in load_csv(spark, src, SCHEMA, file).rows.collect()}
+    ids = lambda file: {r[0] for r in load_csv(spark, src, SCHEMA, prefix=file).rows.collect()}
     assert ids("orders") == {1, 2, 3}
     assert ids("orders_2.csv") == {2}
     assert ids(None) == {1, 2, 3, 4}
@@ -168,7 +168,7 @@ def test_history_passes_over_loaded_files(spark, tmp_path, schema):
     history = LoadHistory(spark, str(tmp_path / "history"))
 
     def load(table=name):
-        return copy_into(spark, src, SCHEMA, table, file="orders", history=history)
+        return copy_into(spark, src, SCHEMA, table, prefix="orders", history=history)
 
     assert load() == (1, 0)
     assert load() == (0, 0)

@@ -146,7 +146,7 @@ def test_retail(spark, tmp_path, schema, rows):
     for name, text in texts.items():
         (drop / f"{name}.csv").write_text(text)
         tables.create_table(spark, f"{schema}.raw_{name}", declared[name])
-        copy_into(spark, source, declared[name], f"{schema}.raw_{name}", file=name)
+        copy_into(spark, source, declared[name], f"{schema}.raw_{name}", prefix=name)
     raw = {n: tables.read_table(spark, f"{schema}.raw_{n}") for n in texts}
     for name in ("customers", "products", "stores"):
         tables.materialize(retail.build_dim(raw[name]), f"{schema}.dim_{name}")
