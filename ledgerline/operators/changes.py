@@ -110,12 +110,19 @@ def as_of(
     key: str | Sequence[str],
     ts: dt.datetime | str | None = None,
     offset_s: int = 0,
+    base: DataFrame | None = None,
+    since: int = -1,
 ) -> DataFrame:
-    """The logged table as it was ``offset_s`` seconds before ``ts`` (default: now)."""
+    """The logged table as it was ``offset_s`` seconds before ``ts`` (default: now).
+
+    With ``base``, the stored rows at an earlier position ``since``, only the changes after it are read
+    and applied to them; without one the log is replayed from its start.
+    """
     dtype = log.schema[COMMIT_TS].dataType
     now = F.current_timestamp().cast(dtype) if ts is None else _timestamp(log, ts)
     cut = F.timestamp_add("SECOND", F.lit(-offset_s), now)
-    return _live_rows(log.where(F.col(COMMIT_TS) <= cut), key)
+    known = log.where(F.col(COMMIT_TS) <= cut)
+    return _live_rows(known, key) if base is None else apply_changes(base, changes(known, since), key)
 
 
 def net_changes(

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,18 +46,3 @@ def aggregate_by_lookup(
         .groupBy(*by)
         .agg(*[F.sum(name).alias(name) for name in measures])
     )
-
-
-def case_insensitive_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
-) -> DataFrame:
-    """Join on ``UPPER(left.key) = UPPER(right.key)``; the result keeps the left spelling.
-
-    It stays a hash or sort-merge equi-join on the computed keys.
-    """
-    taken = {f"_r_{key}": F.upper(F.col(key)) for key in keys}
-    slim = right.withColumns(taken).drop(*keys)
-    condition = reduce(
-        lambda a, b: a & b, [F.upper(left[key]) == slim[f"_r_{key}"] for key in keys]
-    )
-    return left.join(slim, condition, how).drop(*taken)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import re
 import uuid
@@ -148,16 +149,40 @@ def replace_contents(df: DataFrame, name: str, version: str | None = None) -> No
     _switch(spark, name, _write_version(typed, name, version))
 
 
+def _table_location(spark: SparkSession, name: str) -> str:
+    described = spark.sql(f"DESCRIBE FORMATTED {name}")
+    return described.where("col_name = 'Location'").first()["data_type"]
+
+
 def stored_version(spark: SparkSession, name: str) -> str | None:
     """The label of the state a table holds; None without a table or label."""
     if not spark.catalog.tableExists(name):
         return None
-    described = spark.sql(f"DESCRIBE FORMATTED {name}")
-    location = described.where("col_name = 'Location'").first()["data_type"]
-    found = re.search(rf"{_VERSION}([^/]*)/?$", location)
+    found = re.search(rf"{_VERSION}([^/]*)/?$", _table_location(spark, name))
     return found.group(1) if found else None
 
 
+def drop_old_versions(spark: SparkSession, name: str, older_than: dt.timedelta) -> int:
+    """Removes replaced folders of a table that are older than ``older_than``; gives their number.
+
+    Replacing a table leaves its former folder to running readers. Run this from time to time with an
+    age that no reader exceeds; the folder the table points at stays whatever its age.
+    """
+    present = _table_location(spark, name).rstrip("/").rsplit("/", 1)[1]
+    base = _new_path(spark, name).rsplit("__", 1)[0]
+    own = re.compile(rf"{re.escape(base.rsplit('/', 1)[1])}__[0-9a-f]{{32}}({_VERSION}.*)?")
+    glob = spark._jvm.org.apache.hadoop.fs.Path(f"{base}__*")
+    fs = glob.getFileSystem(spark._jsc.hadoopConfiguration())
+    before = (dt.datetime.now(dt.timezone.utc) - older_than).timestamp() * 1000
+    removed = 0
+    for status in fs.globStatus(glob) or []:
+        folder = status.getPath()
+        version = own.fullmatch(folder.getName())
+        if version and folder.getName() != present and status.getModificationTime() < before:
+            removed += fs.delete(folder, True)
+    return removed
+
+
 def clone_tables(spark: SparkSession, source: str, target: str) -> list[str]:
     """Copies every table of a schema into a new one; returns their names. The copies are full."""
     spark.sql(f"CREATE SCHEMA {target}")

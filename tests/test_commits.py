@@ -1,5 +1,7 @@
 """What must not get lost, be seen half, or be taken twice: labels, commits, changes within a commit."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -141,3 +143,32 @@ def test_rejected_rows_show_in_the_run_log(spark, tmp_path):
     ingest_stream("load", stream, target, str(tmp_path / "cp"), run_log=runs).run()
     run = runs.history("load").first()
     assert run["state"] == "SUCCEEDED" and run["error_message"].startswith("2 rows rejected, not kept")
+
+
+def test_old_versions_go_and_the_present_one_stays(spark, schema):
+    name, other = f"{schema}.t", f"{schema}.t_2"
+    for table in (name, other):
+        tables.materialize(frame(spark, (1, 1), (2, 2), (3, 3)), table)
+        for key in (1, 2):
+            tables.delete_where(spark, table, F.col("id") == key)
+    assert tables.drop_old_versions(spark, name, dt.timedelta(days=1)) == 0
+    assert tables.drop_old_versions(spark, name, dt.timedelta(0)) == 2
+    assert tables.drop_old_versions(spark, name, dt.timedelta(0)) == 0
+    for table in (name, other):
+        assert [r["id"] for r in tables.read_table(spark, table).collect()] == [3]
+    assert tables.drop_old_versions(spark, other, dt.timedelta(0)) == 2
+
+
+def test_a_past_state_from_a_snapshot(spark):
+    noon = dt.datetime(2026, 1, 1, 12)
+    steps = [(1, 1, "INSERT"), (2, 2, "INSERT"), (1, 5, "UPDATE"), (2, 2, "DELETE"), (3, 3, "INSERT"), (1, 9, "UPDATE")]
+    log = spark.createDataFrame(
+        [(*s, n, noon + dt.timedelta(minutes=n)) for n, s in enumerate(steps)],
+        "id long, v long, op string, seq long, commit_ts timestamp",
+    )
+    for at in range(6):
+        ts = noon + dt.timedelta(minutes=at)
+        whole = sorted(tuple(r) for r in cdc.as_of(log, "id", ts).collect())
+        for since in range(at + 1):
+            base = cdc.state_at(log, "id", since)
+            assert sorted(tuple(r) for r in cdc.as_of(log, "id", ts, base=base, since=since).collect()) == whole
