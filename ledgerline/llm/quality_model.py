@@ -41,7 +41,7 @@ class Ftrl:
     l2: float = 0.02
     epochs: int = 3
     scale: float = 60.0
-    max_labels: int = 10_000
+    max_labels: int = 5_000
 
 
 _KIND = np.zeros(256, np.uint8)  # 0: white space, 1: part of a run, 2: a token of its own
