@@ -48,6 +48,7 @@ MEASURES = (
     Measure("marks", "n_marks", "n_words", 1000, 200),
     Measure("dup_lines", "n_dup_lines", "n_lines", 1000, 500),
     Measure("repeats", "n_repeat_words", "n_words", 1000, 280),
+    Measure("echoes", "n_echoes", "n_words", 1000, 200),
     Measure("word_length", "word_chars", "n_words", 100, 250, low=True),
 )
 
@@ -114,6 +115,8 @@ def with_counts(docs: DataFrame, name: str) -> DataFrame:
         F.size(starts) > 0,
         F.lit(WINDOW) + F.aggregate(steps, F.lit(0), lambda total, step: total + step),
     ).otherwise(0)
+    rest = F.greatest(F.size(split) - 1, F.lit(0))
+    echoes = F.zip_with(F.slice(split, 1, rest), F.slice(split, 2, rest), lambda a, b: a == b)
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     length = F.char_length(text)
     counts = {
@@ -125,6 +128,7 @@ def with_counts(docs: DataFrame, name: str) -> DataFrame:
         "n_lines": F.size(lines),
         "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
         "n_repeat_words": covered,
+        "n_echoes": F.size(F.filter(echoes, lambda same: same)),
     }
     return df.select(*keep, F.struct(*[c.cast("long").alias(n) for n, c in counts.items()]).alias(name))
 
@@ -279,7 +283,8 @@ counts as (
         length(regexp_replace(t, '[^A-Z]', '', 'g'))::bigint as n_upper,
         length(regexp_replace(t, '[^!]', '', 'g'))::bigint as n_marks,
         len(l)::bigint as n_lines, (len(l) - len(list_distinct(l)))::bigint as n_dup_lines,
-        coalesce(r.n, 0)::bigint as n_repeat_words
+        coalesce(r.n, 0)::bigint as n_repeat_words,
+        len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1]))::bigint as n_echoes
     from words d left join repeats r on d.doc_id = r.doc_id
 ),
 judged as (
@@ -295,6 +300,7 @@ measures as (
         {'m': 'marks', 'v': 1000 * n_marks // greatest(n_words, 1)},
         {'m': 'dup_lines', 'v': 1000 * n_dup_lines // greatest(n_lines, 1)},
         {'m': 'repeats', 'v': 1000 * n_repeat_words // greatest(n_words, 1)},
+        {'m': 'echoes', 'v': 1000 * n_echoes // greatest(n_words, 1)},
         {'m': 'word_length', 'v': 100 * word_chars // greatest(n_words, 1)}]) as mv
     from judged
 ),
@@ -319,7 +325,7 @@ quartiles as (
     from ranked group by all
 ),
 margins(m, margin) as (
-    values ('symbols', 150), ('upper', 200), ('marks', 200), ('dup_lines', 500), ('repeats', 280),
+    values ('symbols', 150), ('upper', 200), ('marks', 200), ('dup_lines', 500), ('repeats', 280), ('echoes', 200),
         ('word_length', 250)
 ),
 fences as (
