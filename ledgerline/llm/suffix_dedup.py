@@ -10,7 +10,8 @@ share is one fragment per block.
 A shard sorts the suffixes of its fragments by external induced sorting, with common prefixes; suffixes
 next to each other that share ``width`` bytes are one string, and the smallest id among them tells each
 block which of its strings start in an earlier document. An anchor whose fragments are all equal needs no
-sorting: its strings are as equal as the fragments. The answer is one bit per string.
+sorting: its strings are as equal as the fragments. Anchors are sorted in portions of a shard; only one
+anchor that is larger than a portion makes a larger one. The answer is one bit per string.
 
 Texts are UTF-8 bytes, strings never cross documents, and all are judged on the input. Defined results: a
 null text is empty; a null id comes after all others; rows with equal ids are not before each other; an
@@ -43,6 +44,8 @@ from ledgerline.llm.text_arrays import byte_hashes, chunks, mixed, texts
 WIDTH = 50
 #: Bytes of the short strings whose least hash is a string's anchor.
 SHORT = 16
+#: Fragments of different anchors share no string, so a shard is sorted in portions of about this size.
+SORT_BYTES = 1 << 20
 
 _ANCHORS = "bucket long, block long, high binary, low binary, flags binary"
 _FRAGMENTS = "bucket long, block long, kind int, keys binary, sizes binary, data binary, ids binary"
@@ -207,6 +210,17 @@ def least_ids(fragments: list[bytes], ids: np.ndarray, width: int) -> list[np.nd
     return [least[a : a + size - width + 1] for a, size in zip(starts[:-1], sizes)]
 
 
+def _portions(differ: np.ndarray, anchor: np.ndarray, fragments: list[bytes]):
+    """Fragments to be sorted together: those of one anchor always, in portions of about ``SORT_BYTES``."""
+    differ = differ[np.argsort(anchor[differ], kind="stable")]
+    if not len(differ):
+        return
+    before = np.cumsum([0, *(len(fragments[i]) + 1 for i in differ[:-1])])
+    first = np.append(True, anchor[differ][1:] != anchor[differ][:-1])
+    portion = np.maximum.accumulate(np.where(first, before // SORT_BYTES, 0))
+    yield from np.split(differ, np.flatnonzero(np.diff(portion)) + 1)
+
+
 def _answer_fragments(width: int):
     def run(cells: pa.Table) -> pa.Table:
         asked = cells.filter(pc.equal(cells.column("kind"), 0))
@@ -231,8 +245,8 @@ def _answer_fragments(width: int):
         _, where, sizes = np.unique(key_of, return_inverse=True, return_counts=True)
         differ = np.flatnonzero(sizes[where] > 1)  # fragments that others of their anchor differ from
         least = {}
-        if len(differ):
-            least = dict(zip(differ.tolist(), least_ids([fragments[i] for i in differ], least_id[differ], width)))
+        for part in _portions(differ, where, fragments):
+            least |= zip(part.tolist(), least_ids([fragments[i] for i in part], least_id[part], width))
         bits = []
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
             flags = [np.zeros(0, bool)]
