@@ -105,9 +105,11 @@ def _names(text: np.ndarray, at: np.ndarray, n_symbols: int) -> np.ndarray:
         part = np.maximum.accumulate(np.where(new_part, index, 0))
         rank[active] = old + part - group
         starts = np.flatnonzero(new_part)
-        many = np.repeat(np.diff(np.append(starts, len(active))) > 1, np.diff(np.append(starts, len(active))))
+        sizes = np.diff(np.append(starts, len(active)))
         shift += width
-        active = active[many & (length[active] > shift)]
+        # A substring that ends here still has to go behind the longer ones it ties with.
+        open_ = (sizes > 1) & (np.maximum.reduceat(length[active], starts) > shift)
+        active = active[np.repeat(open_, sizes)]
     return np.unique(rank, return_inverse=True)[1]
 
 
@@ -202,12 +204,12 @@ class _Pass:
             frontier = np.arange(old, len(position))
 
 
-def _lanes(text: np.ndarray, n_symbols: int) -> tuple[np.ndarray, np.ndarray]:
+def _lanes(text: np.ndarray, n_symbols: int, memory: int) -> tuple[np.ndarray, np.ndarray]:
     """The lane of every symbol, and whether the lane has that symbol alone."""
     if n_symbols <= 2 * _LANES:
         return np.arange(n_symbols), np.ones(n_symbols, bool)
     counts = np.bincount(text, minlength=n_symbols)
-    most = max(1, len(text) // _LANES)
+    most = max(1, len(text) // _LANES, min(_BATCH, memory) // 4)
     hot = counts > most
     step = np.cumsum(counts) // most
     new = hot | np.append(True, hot[:-1]) | np.append(True, step[1:] != step[:-1])
@@ -244,7 +246,7 @@ def sort_suffixes(text: np.ndarray, n_symbols: int, with_prefix: bool = True, me
     order = np.argsort(names) if n_names == len(seeds) else sort_suffixes(names, n_names, False, memory)[0]
     seeds = seeds[order]
     seed_prefix = _seed_prefix(text, seeds) if with_prefix else np.zeros(len(seeds), np.uint8)
-    lane_of, single = _lanes(text, n_symbols)
+    lane_of, single = _lanes(text, n_symbols, memory)
     n_lanes = len(single)
     seed_edges = np.searchsorted(lane_of[text[seeds]], np.arange(n_lanes + 1))
 

@@ -147,6 +147,24 @@ def test_suffixes_are_sorted_with_their_common_prefixes(seed):
                 assert c == induced_sort.CLIP or suffixes[a][: c + 1] != suffixes[b][: c + 1]
 
 
+@pytest.mark.parametrize("memory", [1 << 20, 300])
+def test_repeated_prose_is_sorted(memory):
+    """Texts with long equal parts, so that substrings between seeds tie at every length."""
+    rnd = random.Random(memory)
+    for _ in range(4):
+        vocabulary = ["".join(rnd.choice("abcdeno ") for _ in range(rnd.randrange(1, 12))) for _ in range(60)]
+        parts = [" ".join(rnd.choice(vocabulary) for _ in range(rnd.randrange(5, 60))) for _ in range(8)]
+        data = ".".join(rnd.choice(parts) for _ in range(30)).encode()
+        data += bytes(rnd.randrange(97, 123) for _ in range(3000)) + data[: len(data) // 2]
+        text = np.append(np.frombuffer(data, np.uint8).astype(np.int64) + 2, 0)
+        order, common = induced_sort.sort_suffixes(text, 258, True, memory)
+        expected = [len(data), *sorted(range(len(data)), key=lambda i: data[i:])]
+        assert order.tolist() == expected
+        for a, b, c in zip(expected, expected[1:], common.tolist()[1:]):
+            assert data[a : a + c] == data[b : b + c]
+            assert c == induced_sort.CLIP or data[a : a + c + 1] != data[b : b + c + 1]
+
+
 def test_queue_gives_back_what_went_to_disk():
     queue = induced_sort.Queue(3, memory=10)
     pushed = {0: [], 1: [], 2: []}
