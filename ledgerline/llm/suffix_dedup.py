@@ -45,7 +45,7 @@ WIDTH = 50
 #: Bytes of the short strings whose least hash is a string's anchor.
 SHORT = 16
 #: Fragments of different anchors share no string, so a shard is sorted in portions of about this size.
-SORT_BYTES = 1 << 20
+SORT_BYTES = 1 << 21
 
 _ANCHORS = "bucket long, block long, high binary, low binary, flags binary"
 _FRAGMENTS = "bucket long, block long, kind int, keys binary, sizes binary, data binary, ids binary"
@@ -76,7 +76,6 @@ def _runs(block: pa.Table, width: int):
             least = np.minimum(least[: len(least) - reach], least[reach:])
             reach *= 2
         least = np.minimum(least[: len(least) - (span - reach)], least[span - reach :])
-        least &= _ANCHOR_MASK
         n = len(part) - width + 1
         inside = np.zeros(n + 1, np.int8)
         first, last = at[:-1], at[1:] - width + 1
@@ -92,7 +91,8 @@ def _runs(block: pa.Table, width: int):
         end[:-1] &= new[1:] | ~inside[1:]
         begin, stop = np.flatnonzero(new), np.flatnonzero(end) + 1
         row = np.searchsorted(at, begin, "right") - 1
-        yield part, at, a, row + a, begin, stop - begin, least[begin]
+        # Least hashes are small numbers; mixed again, they spread evenly over the ranges.
+        yield part, at, a, row + a, begin, stop - begin, mixed(least[begin]) & _ANCHOR_MASK
 
 
 def _ask_anchors(n: int, width: int):
