@@ -209,7 +209,7 @@ def _lanes(text: np.ndarray, n_symbols: int, memory: int) -> tuple[np.ndarray, n
     if n_symbols <= 2 * _LANES:
         return np.arange(n_symbols), np.ones(n_symbols, bool)
     counts = np.bincount(text, minlength=n_symbols)
-    most = max(1, len(text) // _LANES, min(_BATCH, memory) // 4)
+    most = max(1, len(text) // _LANES, min(_BATCH, memory) // 128)
     hot = counts > most
     step = np.cumsum(counts) // most
     new = hot | np.append(True, hot[:-1]) | np.append(True, step[1:] != step[:-1])
