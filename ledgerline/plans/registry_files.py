@@ -230,9 +230,11 @@ def table_emptied(spark: SparkSession, d: str) -> DataFrame:
     tables.materialize(src.crm_orders(spark, d), f"{schema}.orders")
     log = ChangeLog(spark, fresh_dir(spark, "delete-log"), read_table(spark, f"{schema}.orders").schema)
     tables.delete_where(spark, f"{schema}.orders", F.lit(True), log)
-    left = read_table(spark, f"{schema}.orders").agg(F.count("*").alias("rows_left"))
+    none, n = F.lit(0).cast("long"), F.count("*")
+    left = read_table(spark, f"{schema}.orders").agg(n.alias("rows_left"), none.alias("rows_logged"))
     deleted = log.read().where(F.col(cdc.OP) == cdc.DELETE)
-    return left.crossJoin(deleted.agg(F.count("*").alias("rows_logged")))
+    both = left.union(deleted.agg(none, n))
+    return both.agg(F.sum("rows_left").alias("rows_left"), F.sum("rows_logged").alias("rows_logged"))
 
 
 @register()
@@ -298,11 +300,11 @@ def summary_appended_twice(spark: SparkSession, d: str) -> DataFrame:
 
 @register()
 def pipeline_listing(spark: SparkSession, d: str) -> DataFrame:
-    """Tables and views of a schema."""
+    """Tables and views of a schema, without the session's temporary ones."""
     schema = _scratch_schema(spark)
     tables.materialize(src.crm_orders(spark, d), f"{schema}.orders")
     spark.sql(f"CREATE VIEW {schema}.orders_view AS SELECT * FROM {schema}.orders")
-    return tables.list_objects(spark, [schema]).where(F.col("kind") != "TASK").select("name", "kind")
+    return tables.list_objects(spark, [schema]).where(F.col("schema") == schema).select("name", "kind")
 
 
 @register()

@@ -210,7 +210,7 @@ def write_clustered(
 def list_objects(spark: SparkSession, schemas: Sequence[str]) -> DataFrame:
     """Tables and views of the given schemas and the running streaming queries."""
     found = [
-        (schema, t.name, "VIEW" if t.tableType in ("VIEW", "TEMPORARY") else "TABLE", "")
+        ("" if t.isTemporary else schema, t.name, "VIEW" if t.tableType in ("VIEW", "TEMPORARY") else "TABLE", "")
         for schema in schemas
         for t in spark.catalog.listTables(schema)
     ]

@@ -6,12 +6,14 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from ledgerline.plans import registry
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
+QUERIES = registry.queries()
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not present")
 
+#: Running totals over daily sums, and the row before an update, found per key.
+WINDOWS = {"usage_quota_breach", "cdc_net_row_changes", "mv_logged_sums"}
 WRITES_FILES = {
     "csv_load_orders",
     "csv_load_rejects",
@@ -36,8 +38,7 @@ def test_no_cross_join_and_no_python_in_the_plan(spark, name):
     text = plan(QUERIES[name](spark, SF_DIR))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert "Python" not in text and "InPandas" not in text
-    # A window is only used over daily sums.
-    assert ("Window" in text) == (name == "usage_quota_breach")
+    assert ("Window" in text) == (name in WINDOWS)
 
 
 def test_filters_reach_the_scan(spark):
