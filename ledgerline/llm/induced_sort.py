@@ -38,13 +38,15 @@ class Queue:
     def __init__(self, n_lanes: int, memory: int):
         self.held = [[] for _ in range(n_lanes)]
         self.size = [0] * n_lanes
+        self.total = 0
         self.files: dict[int, list] = {}
         self.memory = memory
 
     def push(self, lane: int, position: np.ndarray, prefix: np.ndarray) -> None:
         self.held[lane].append((position, prefix))
         self.size[lane] += len(position)
-        if sum(self.size) > self.memory:
+        self.total += len(position)
+        if self.total > self.memory:
             self._spill(max(range(len(self.size)), key=self.size.__getitem__))
 
     def _spill(self, lane: int) -> None:
@@ -53,17 +55,32 @@ class Queue:
             file.write(position.astype(np.int64).tobytes())
             file.write(prefix.astype(np.uint8).tobytes())
             runs.append(len(position))
+        self.total -= self.size[lane]
         self.held[lane], self.size[lane] = [], 0
 
     def pop(self, lane: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """All tuples of a lane, in runs."""
-        held, self.held[lane], self.size[lane] = self.held[lane], [], 0
+        """All tuples of a lane, in runs; pushes of a few tuples are joined to larger runs."""
+        held = _joined(self.held[lane])
+        self.total -= self.size[lane]
+        self.held[lane], self.size[lane] = [], 0
         if lane not in self.files:
             return held
         file, runs = self.files.pop(lane)
         file.seek(0)
         back = [(np.frombuffer(file.read(8 * n), np.int64), np.frombuffer(file.read(n), np.uint8)) for n in runs]
-        return back + held
+        return _joined(back) + held
+
+
+def _joined(runs: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The same tuples in runs of at least ``_BATCH``, but for the last."""
+    out, part, size = [], [], 0
+    for i, run in enumerate(runs):
+        part.append(run)
+        size += len(run[0])
+        if size >= _BATCH or i == len(runs) - 1:
+            out.append(part[0] if len(part) == 1 else tuple(np.concatenate(x) for x in zip(*part)))
+            part, size = [], 0
+    return out
 
 
 def _rises(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
