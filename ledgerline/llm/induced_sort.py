@@ -18,7 +18,7 @@ import tempfile
 
 import numpy as np
 
-#: Common prefixes are cut off here.
+#: Common prefixes are cut off here, unless the caller names another length.
 CLIP = 200
 #: Tuples a queue, and elements an array, may hold in memory.
 MEMORY = 1 << 22
@@ -87,7 +87,7 @@ def _rises(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Whether the suffix at each position is smaller than the next one, and how long its symbol runs."""
     n = len(text)
     change = np.flatnonzero(text[:-1] != text[1:])
-    following = np.searchsorted(change, np.arange(n - 1))
+    following = np.repeat(np.arange(len(change)), np.diff(change, prepend=-1))
     rise = np.ones(n, bool)
     rise[:-1] = (text[change] < text[change + 1])[following]
     run = np.ones(n, np.int64)
@@ -155,9 +155,9 @@ class _Least:
 class _Pass:
     """One induction pass over lanes; ``wanted`` tells which suffixes it places."""
 
-    def __init__(self, text, wanted, lane_of, single, with_prefix, memory, sign):
+    def __init__(self, text, wanted, lane_of, single, clip, memory, sign):
         self.text, self.wanted, self.lane_of, self.single = text, wanted, lane_of, single
-        self.with_prefix, self.sign = with_prefix, sign
+        self.clip, self.sign = clip, sign
         self.queue = Queue(len(single), memory)
         self.least = np.zeros(len(single), np.uint8)  # since the last push, into each lane
         self.fresh = np.ones(len(single), bool)
@@ -179,12 +179,12 @@ class _Pass:
             common = np.zeros(len(index), np.uint8)
             starts = np.flatnonzero(first)
             touched = lanes[starts]
-            if self.with_prefix:
+            if self.clip:
                 table = _Least(least)
                 since = np.where(first, 0, np.append(-1, index[:-1])[: len(index)] + 1)
                 common = table(since, index)
                 common[starts] = np.minimum(common[starts], self.least[touched])
-                common = np.minimum(common.astype(np.int64) + 1, CLIP).astype(np.uint8)
+                common = np.minimum(common.astype(np.int64) + 1, self.clip).astype(np.uint8)
                 common[starts[self.fresh[touched]]] = 0
                 self.fresh[touched] = False
                 self.least = np.minimum(self.least, least.min())
@@ -234,14 +234,14 @@ def _lanes(text: np.ndarray, n_symbols: int, memory: int) -> tuple[np.ndarray, n
     return lane, np.bincount(lane) == 1
 
 
-def _seed_prefix(text: np.ndarray, position: np.ndarray) -> np.ndarray:
+def _seed_prefix(text: np.ndarray, position: np.ndarray, clip: int) -> np.ndarray:
     """The common prefix of each sorted seed with the one before."""
     common = np.zeros(len(position), np.uint8)
     if len(position) < 2:
         return common
     a, b, on = position[:-1], position[1:], np.arange(len(position) - 1)
     depth = 0
-    while len(on) and depth < CLIP:
+    while len(on) and depth < clip:
         inside = (np.maximum(a[on], b[on]) + depth) < len(text)
         on = on[inside]
         on = on[text[a[on] + depth] == text[b[on] + depth]]
@@ -250,9 +250,10 @@ def _seed_prefix(text: np.ndarray, position: np.ndarray) -> np.ndarray:
     return common
 
 
-def sort_suffixes(text: np.ndarray, n_symbols: int, with_prefix: bool = True, memory: int = MEMORY):
+def sort_suffixes(text: np.ndarray, n_symbols: int, clip: int = CLIP, memory: int = MEMORY):
     """All positions of ``text`` in the order of their suffixes, and each one's common prefix with the one
-    before, cut off at ``CLIP``. The last symbol must be 0 and occur nowhere else."""
+    before, cut off at ``clip``, 254 at most; with 0 it is not worked out. The last symbol must be 0 and
+    occur nowhere else."""
     n = len(text)
     rise, run = _rises(text)
     seeds = np.flatnonzero(rise[1:] & ~rise[:-1]) + 1
@@ -260,18 +261,18 @@ def sort_suffixes(text: np.ndarray, n_symbols: int, with_prefix: bool = True, me
         return np.zeros(1, np.int64), np.zeros(1, np.uint8)
     names = _names(text, seeds, n_symbols)
     n_names = int(names.max()) + 1
-    order = np.argsort(names) if n_names == len(seeds) else sort_suffixes(names, n_names, False, memory)[0]
+    order = np.argsort(names) if n_names == len(seeds) else sort_suffixes(names, n_names, 0, memory)[0]
     seeds = seeds[order]
-    seed_prefix = _seed_prefix(text, seeds) if with_prefix else np.zeros(len(seeds), np.uint8)
+    seed_prefix = _seed_prefix(text, seeds, clip)
     lane_of, single = _lanes(text, n_symbols, memory)
     n_lanes = len(single)
     seed_edges = np.searchsorted(lane_of[text[seeds]], np.arange(n_lanes + 1))
 
     def meet(a: int, b: int) -> int:
         """The common prefix of a falling and a rising suffix of one symbol."""
-        return min(int(run[a]), int(run[b]), CLIP) if text[a] == text[b] else 0
+        return min(int(run[a]), int(run[b]), clip) if text[a] == text[b] else 0
 
-    up = _Pass(text, ~rise, lane_of, single, with_prefix, memory, 1)
+    up = _Pass(text, ~rise, lane_of, single, clip, memory, 1)
     falling = Queue(n_lanes, memory)
     for lane in range(n_lanes):
         own, own_prefix = (x[seed_edges[lane] : seed_edges[lane + 1]] for x in (seeds, seed_prefix))
@@ -293,7 +294,7 @@ def sort_suffixes(text: np.ndarray, n_symbols: int, with_prefix: bool = True, me
             up.scan(position, np.zeros(len(position), np.uint8), lane)
             falling.push(lane, position[placed], np.zeros(int(placed.sum()), np.uint8))
 
-    down = _Pass(text, rise, lane_of, single, with_prefix, memory, -1)
+    down = _Pass(text, rise, lane_of, single, clip, memory, -1)
     order, common = _array(n, np.int64, memory), _array(n, np.uint8, memory)
     end = n
     for lane in range(n_lanes - 1, -1, -1):

@@ -66,7 +66,7 @@ def _runs(block: pa.Table, width: int):
     """Runs of strings with one anchor: row, first string's place in its chunk, number of strings, anchor;
     by chunk, with the bytes of the chunk and where its texts begin."""
     raw, offsets = texts(block.column("text"))
-    for a, b in chunks(offsets, 1 << 21):
+    for a, b in chunks(offsets, 1 << 20):
         part, at = raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
         if len(part) < width:
             continue
@@ -201,7 +201,7 @@ def least_ids(fragments: list[bytes], ids: np.ndarray, width: int) -> list[np.nd
     text[: len(raw)] = raw.astype(np.int32) + 2
     text[starts[1:] - 1] = 1
     text[-1] = 0
-    order, common = induced_sort.sort_suffixes(text, 258)
+    order, common = induced_sort.sort_suffixes(text, 258, width, induced_sort.MEMORY)
     group = np.flatnonzero(np.append(True, common[1:] < width))
     owner = np.searchsorted(starts, order, "right") - 1
     of = np.append(ids, np.iinfo(np.int64).max)[np.minimum(owner, len(ids))]
@@ -324,8 +324,8 @@ def _remove(n: int, width: int):
 
 def without_repeated_strings(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """One row per document: its bytes, the spans removed, and the bytes kept."""
-    if width < 2 * SHORT:
-        raise ValueError(f"the width must be at least {2 * SHORT} bytes")
+    if not 2 * SHORT <= width <= 254:
+        raise ValueError(f"the width must be from {2 * SHORT} to 254 bytes")
     texts_, n = in_blocks(docs)
     by_block = texts_.groupBy("block")
     hits = answered(by_block.applyInArrow(_ask_anchors(n, width), _ANCHORS), _answer_anchors)

@@ -137,7 +137,7 @@ def test_suffixes_are_sorted_with_their_common_prefixes(seed):
         n_symbols = int(rnd.choice([3, 5, 258, 900]))
         text = rnd.integers(1, n_symbols, int(rnd.integers(1, 90)))
         text = np.append(np.tile(text, int(rnd.integers(1, 4))), 0)
-        order, common = induced_sort.sort_suffixes(text, n_symbols, True, 1 << 20 if round_ % 2 else 40)
+        order, common = induced_sort.sort_suffixes(text, n_symbols, induced_sort.CLIP, 1 << 20 if round_ % 2 else 40)
         suffixes = [tuple(text[i:].tolist()) for i in range(len(text))]
         expected = sorted(range(len(text)), key=suffixes.__getitem__)
         assert order.tolist() == expected
@@ -157,7 +157,7 @@ def test_repeated_prose_is_sorted(memory):
         data = ".".join(rnd.choice(parts) for _ in range(30)).encode()
         data += bytes(rnd.randrange(97, 123) for _ in range(3000)) + data[: len(data) // 2]
         text = np.append(np.frombuffer(data, np.uint8).astype(np.int64) + 2, 0)
-        order, common = induced_sort.sort_suffixes(text, 258, True, memory)
+        order, common = induced_sort.sort_suffixes(text, 258, induced_sort.CLIP, memory)
         expected = [len(data), *sorted(range(len(data)), key=lambda i: data[i:])]
         assert order.tolist() == expected
         for a, b, c in zip(expected, expected[1:], common.tolist()[1:]):
