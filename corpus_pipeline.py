@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerline.llm import decontaminate, mixing, quality_rules, sharding, simhash
 from ledgerline.llm.common import stored, table
 
+#: Share of the tokens that mixing keeps at least.
+LEAST_KEPT = 0.6
+
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops what the fixed rules and the adaptive thresholds reject."""
@@ -29,8 +32,11 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Samples documents so that sources, languages and topics have their target weights."""
-    return mixing.mixed_sample(docs)
+    """Samples documents so that sources, languages and topics have their target weights.
+
+    Values too small for their target are kept whole, so that they do not set the size of the sample.
+    """
+    return mixing.mixed_sample(docs, mixing.Mix(least_kept=LEAST_KEPT))
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

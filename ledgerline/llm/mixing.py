@@ -5,6 +5,12 @@ the target shares of all three margins. A document is then kept with the probabi
 raked tokens have against its tokens, at the largest scale at which no probability exceeds one. So the
 expected tokens of the sample have the target shares in every margin.
 
+That scale is set by the cell that is shortest of its target, however small. ``least_kept`` bounds this: if
+the sample would have less than this share of the tokens, it is given that share, cells that are short of
+their target are kept whole, and the others are raked anew to what is left of the targets. Then a value all
+of whose documents are kept falls short of its target, and the values of its dimension that are not keep
+their targets' proportions.
+
 Topics come from ordered patterns over the text. Targets are shares by value, or an exponent: shares in
 proportion to a power of the shares found, which lifts small values and lowers large ones. A value
 without a target gets nothing and is never kept; a target without documents is left out and the others
@@ -50,6 +56,8 @@ class Mix:
     sweeps: int = 20
     tolerance: float = 1e-12
     seed: int = 17
+    #: Least share of the tokens with a target that the sample has; 0 keeps the targets at any price.
+    least_kept: float = 0.0
 
 
 def topic(text: Column) -> Column:
@@ -107,13 +115,72 @@ def raked(found: DataFrame, mix: Mix) -> DataFrame:
     return now
 
 
+def _filled(cells_: DataFrame, amount: Column, most: Column, total: Column, by: list[str], name: str) -> DataFrame:
+    """Adds the factor ``name`` per group at which the sum of ``amount`` times it, cut at ``most``, is ``total``.
+
+    A row is at its most if the sum at the factor that just fills it is within the total. If all are, the
+    factor is the largest of those.
+    """
+    rows = cells_.withColumn("_most", most).withColumn("_amount", amount).withColumn("_total", total)
+    rows = rows.withColumn("_full", F.when(F.col("_amount") > 0, F.col("_most") / F.col("_amount")))
+    group = Window.partitionBy(*by)
+    upto = group.orderBy(F.col("_full").asc_nulls_last()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    usable = F.col("_full").isNotNull()
+    filled = F.sum(F.when(usable, F.col("_most"))).over(upto)
+    open_ = F.sum("_amount").over(group) - F.sum("_amount").over(upto)
+    rows = rows.withColumn("_whole", usable & (filled + F.col("_full") * F.greatest(open_, F.lit(0.0)) <= F.col("_total")))
+    left = F.col("_total") - F.sum(F.when(F.col("_whole"), F.col("_most")).otherwise(0.0)).over(group)
+    part = F.sum(F.when(F.col("_whole"), 0.0).otherwise(F.col("_amount"))).over(group)
+    factor = F.when(part > 0, left / part).otherwise(F.max("_full").over(group))
+    return rows.withColumn(name, F.coalesce(factor, F.lit(0.0))).drop("_most", "_amount", "_total", "_full", "_whole")
+
+
+def bounded(fitted: DataFrame, mix: Mix, total: float) -> DataFrame:
+    """``fitted`` raked anew to ``total`` tokens, of no cell more than it has; ``weight`` is in tokens.
+
+    Each cell's weight is its tokens times one factor per source, language and topic, cut at its tokens. A
+    margin gets its share of the total, or all it has and the other values the rest.
+    """
+    now = fitted.withColumn("weight", F.col("weight") * total)
+    for d in DIMENSIONS:
+        able = F.sum(F.when(F.col("weight") > 0, F.col("tokens")).otherwise(0)).cast("double")
+        margin = fitted.groupBy(d).agg(able.alias("able"), F.max(f"{d}_share").alias("share"))
+        margin = _filled(margin, F.col("share"), F.col("able"), F.lit(total), [], "factor")
+        goal = F.least("able", F.col("share") * F.col("factor"))
+        goals = stored(margin.select(F.col(d).alias("value"), goal.alias(f"{d}_goal")), "mixing-goals")
+        now = now.join(goals, F.col(d).eqNullSafe(F.col("value"))).drop("value")
+    now = stored(now, "mixing-cells")
+    first, most = DIMENSIONS[0], F.col("tokens").cast("double")
+    for _ in range(mix.sweeps):
+        for d in DIMENSIONS:
+            now = _filled(now, F.col("weight"), most, F.col(f"{d}_goal"), [d], "factor")
+            now = now.withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
+        now = stored(now, "mixing-cells")
+        miss = now.groupBy(first).agg(F.abs(F.sum(F.least("weight", most)) - F.max(f"{first}_goal")).alias("m"))
+        if (miss.agg(F.max("m")).first()[0] or 0.0) <= 1e-6 * total:
+            break
+    return now.withColumn("weight", F.least("weight", most))
+
+
 def probabilities(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """Each cell with the probability at which its documents are kept."""
     found = stored(cells(docs), "mixing-found")
-    fitted = raked(found, mix).withColumn("ratio", F.col("weight") / F.col("tokens"))
+    fitted = raked(found, mix)
+    if mix.least_kept > 0:
+        usable = fitted.where("weight > 0")
+        high, able = usable.agg(F.max(F.col("weight") / F.col("tokens")), F.sum("tokens").cast("double")).first()
+        if high and 1 / high < mix.least_kept * able:
+            fitted = bounded(fitted, mix, mix.least_kept * able)
+            share = F.least(F.lit(1.0), F.col("weight") / F.col("tokens"))
+            return _with_idle(fitted.select(*DIMENSIONS, share.alias("probability")), found)
+    fitted = fitted.withColumn("ratio", F.col("weight") / F.col("tokens"))
     top = fitted.agg(F.max("ratio").alias("top"))
     probability = F.when(F.col("top") > 0, F.col("ratio") / F.col("top")).otherwise(0.0)
-    known = fitted.join(top, F.lit(True)).select(*DIMENSIONS, probability.alias("probability"))
+    return _with_idle(fitted.join(top, F.lit(True)).select(*DIMENSIONS, probability.alias("probability")), found)
+
+
+def _with_idle(known: DataFrame, found: DataFrame) -> DataFrame:
+    """``known`` and the cells without tokens, which are kept whole."""
     idle = found.where("tokens = 0").select(*DIMENSIONS, F.lit(1.0).alias("probability"))
     return stored(known.union(idle), "mixing-probabilities")
 

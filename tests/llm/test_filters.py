@@ -232,6 +232,44 @@ def test_values_without_a_target_are_left_out(docs):
     assert {r.source for r in mixing.mixed_sample(docs(rows), mix).collect()} == {"a"}
 
 
+def kept_share(frame, mix):
+    """Expected share of the tokens in the sample, and the tokens by source."""
+    found = mixing.cells(frame).collect()
+    p = {tuple(r[d] for d in mixing.DIMENSIONS): r.probability for r in mixing.probabilities(frame, mix).collect()}
+    assert all(0 <= x <= 1 for x in p.values())
+    by = Counter()
+    for r in found:
+        by[r.source] += r.tokens * p[r.source, r.lang, r.topic]
+    return sum(by.values()) / sum(r.tokens for r in found), by
+
+
+def test_a_source_of_one_document_does_not_shrink_the_sample(docs):
+    rnd = random.Random(5)
+    rows = [(i, "w " * rnd.randrange(20, 90), rnd.choice(["en", "de", None]), rnd.choice("aaab")) for i in range(900)]
+    tiny = [(1000, "ten words " * 5, "en", "tiny")]
+    mix = mixing.Mix(least_kept=0.6)
+    before, _ = kept_share(docs(rows), mix)
+    after, by = kept_share(docs(rows + tiny), mix)
+    assert kept_share(docs(rows + tiny), mixing.Mix())[0] < 0.4
+    assert before >= 0.6 - 1e-6 and after >= 0.6 - 1e-6
+    # The tiny source is kept whole; the others have their targets' proportions.
+    assert by["tiny"] == pytest.approx(10)
+    words_of = Counter()
+    for _, text, _, source in rows:
+        words_of[source] += len(text.split())
+    assert by["a"] / by["b"] == pytest.approx((words_of["a"] / words_of["b"]) ** 0.8, rel=1e-4)
+
+
+def test_bounded_cells_meet_every_margin_that_can_be_met(docs):
+    rows = [(i, "w " * 50, "en", "a") for i in range(900)] + [(1000 + i, "w " * 50, "de", "b") for i in range(60)]
+    rows += [(2000 + i, "w " * 50, "de", "a") for i in range(240)] + [(3000 + i, "w " * 5, "en", f"t{i}") for i in range(40)]
+    rows += [(4000, None, "en", "a"), (4001, "w", None, None)]
+    mix = mixing.Mix(targets={"source": 0.8, "lang": {"en": 0.5, "de": 0.5, None: 0.0}, "topic": 1.0}, least_kept=0.4)
+    share, by = kept_share(docs(rows), mix)
+    assert share == pytest.approx(0.4, abs=1e-4) and by[None] == 0
+    assert by["t0"] == pytest.approx(5) and by["a"] > by["b"] > 0
+
+
 def test_mixing_edge_cases(hard, empty):
     report = mixing.mix_report(hard).collect()
     assert len(report) == hard.count()
