@@ -1,38 +1,49 @@
 """Benchmark decontamination by spaced-seed hashing.
 
-A token is a run of letters, digits and non-ASCII characters of the lower-cased text, so case and punctuation
-do not matter. A seed is a mask over consecutive tokens that ignores some of them; two places at which
+A token is a run of letters and digits of the lower-cased text, so case and punctuation, also beyond ASCII,
+do not matter; in scripts without blanks between words every character is a token. A seed is a mask over consecutive tokens that ignores some of them; two places at which
 all other tokens agree have equal hashes. The hashes of all seeds of the benchmark are joined with those
 of all documents; around every hit, document and item are laid side by side and compared token by token.
 An overlap counts if, of ``window`` tokens side by side (or of a whole shorter item), at least
-``least_equal`` are equal. So substituted tokens are tolerated wherever they fall.
+``least_equal`` are equal. So substituted tokens are tolerated wherever they fall. Where the start or end
+of the document cuts off a part, fewer tokens lie side by side, of which as many must be equal.
+
+The masks are chosen by the length of the item, such that every pattern of equal tokens that the default
+rule accepts holds one of them; the tests go through all patterns.
 
 Nearly all hashes of documents have no partner. A bitmap of fixed size with the benchmark's hashes
 keeps them out of the shuffle: it only ever lets too many through, so results do not depend on its
 size, and a large benchmark is joined by a shuffle like any other table.
 
-Items of fewer than the shortest mask's tokens are hashed whole, by length; items of fewer than
-``MIN_TOKENS`` tokens show no leak and are left out. Defined results: null texts have no tokens and
+Items of fewer than ``MIN_TOKENS`` tokens show no leak and are left out, and so do documents with fewer
+tokens than must be equal. Defined results: null texts have no tokens and
 match nothing; repeated rows and items give one pair each; empty tables give an empty result.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import free_name, stored, table
 from ledgerline.llm.quality_model import _KIND
 from ledgerline.llm.text_arrays import byte_hashes, chunks, mixed, texts
 
-#: Tokens with 1 are compared, those with 0 are not.
-MASKS = ("110110011", "1110010101", "1011100011", "1101001011")
-MIN_TOKENS = 5
+#: Masks by the least tokens of the items they are for. Tokens with 1 are compared, those with 0 are not.
+MASKS = {
+    5: ("11011", "1111", "1100011", "11101", "10111"),
+    9: ("111011", "110100011", "1001111", "111000101", "110111"),
+    16: ("110110011", "1110010101", "1011100011", "1101001011", "110100000111", "1110111", "111000100101"),
+}
+MIN_TOKENS = min(MASKS)
+#: Characters of scripts that put no blanks between words, with their marks.
+_UNSPACED = r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]\p{M}*)"
 BITMAP_BITS = 24
 
 
@@ -43,9 +54,21 @@ class Overlap:
     margin: int = 32
 
 
-def all_masks() -> list[str]:
-    """The spaced masks, and for short items a full mask of each length."""
-    return [*MASKS, *("1" * n for n in range(MIN_TOKENS, min(map(len, MASKS))))]
+def size_class(n: int) -> int:
+    """The key of the masks for items of ``n`` tokens; 0 for none."""
+    return max((least for least in MASKS if least <= n), default=0)
+
+
+def all_masks() -> list[tuple[int, int, str]]:
+    """Number, size class and pattern of every mask."""
+    return [(number, *pair) for number, pair in enumerate((c, m) for c, masks in MASKS.items() for m in masks)]
+
+
+def plain(text: str) -> Column:
+    """The lower-cased text, with blanks for what is no letter, mark or digit beyond ASCII."""
+    lower = F.lower(text)
+    letters = F.regexp_replace(lower, r"[^\x00-\x7F\p{L}\p{M}\p{N}]+", " ")
+    return F.when(lower.rlike(r"[^\x00-\x7F]"), F.regexp_replace(letters, _UNSPACED, " $1 ")).otherwise(lower)
 
 
 def tokens(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -92,14 +115,13 @@ def _item_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    shortest = min(map(len, MASKS))
     for batch in batches:
         out = [[], [], []]
         for item, listed in zip(batch.column("item_id"), batch.column("tokens")):
             token = np.array(listed.values, np.int64).view(np.uint64)
             one = np.zeros(len(token), np.int64)
-            for number, mask in enumerate(all_masks()):
-                if (number < len(MASKS)) if len(token) >= shortest else len(mask) == len(token):
+            for number, size, mask in all_masks():
+                if size == size_class(len(token)):
                     at, h = seed_hashes(token, one, number, mask)
                     out[0] += h.view(np.int64).tolist()
                     out[1] += [item.as_py()] * len(at)
@@ -121,9 +143,9 @@ def _bitmap(seeds: DataFrame) -> np.ndarray:
     return bitmap.view(np.uint8)
 
 
-def _regions(shared, margin: int, short: tuple[int, ...]):
+def _regions(shared, margin: int, sizes: tuple[int, ...]):
     """The parts of each document that have hashes of the bitmap, with their tokens and hits."""
-    masks = [(i, m) for i, m in enumerate(all_masks()) if i < len(MASKS) or len(m) in short]
+    masks = [(number, mask) for number, size, mask in all_masks() if size in sizes]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = shared.value
@@ -132,7 +154,7 @@ def _regions(shared, margin: int, short: tuple[int, ...]):
             keys = batch.column("key")
             for a, b in chunks(offsets):
                 token, doc = tokens(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                found = []
+                found = [(np.zeros(0, np.int64), np.zeros(0, np.uint64))]
                 for number, mask in masks:
                     at, h = seed_hashes(token, doc, number, mask)
                     hit = np.ones(len(at), bool)
@@ -164,18 +186,19 @@ def _regions(shared, margin: int, short: tuple[int, ...]):
 def _verified(rule: Overlap):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            equal, width = [], []
+            equal, width, least = [], [], []
             for ours, theirs, shift in zip(batch.column("tokens"), batch.column("item_tokens"), batch.column("shift")):
                 a, b, d = np.array(ours.values), np.array(theirs.values), shift.as_py()
                 first, last = max(0, d), min(len(a), d + len(b))
-                w = min(rule.window, len(b))
+                w = min(rule.window, last - first)
                 same = np.concatenate([[0], np.cumsum(a[first:last] == b[first - d : last - d])])
                 best = int((same[w:] - same[:-w]).max()) if len(same) > w else 0
                 equal.append(best)
                 width.append(w)
+                least.append(math.ceil(rule.least_equal * min(rule.window, len(b))))
+            numbers = [pa.array(column, pa.int64()) for column in (equal, width, least)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), batch.column("item_id"), pa.array(equal, pa.int64()), pa.array(width, pa.int64())],
-                ["key", "item_id", "n_equal", "n_window"],
+                [batch.column("key"), batch.column("item_id"), *numbers], ["key", "item_id", "n_equal", "n_window", "n_least"]
             )
 
     return run
@@ -187,15 +210,17 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, rule: Overlap = Overlap()) -
     id_type = benchmark.schema["item_id"].dataType.simpleString()
     key_type = docs.schema["key"].dataType.simpleString()
     items = stored(
-        benchmark.select("item_id", F.lower("text").alias("text")).mapInArrow(_item_tokens, f"item_id {id_type}, tokens array<long>"), "bench-items"
+        benchmark.select("item_id", plain("text").alias("text")).mapInArrow(_item_tokens, f"item_id {id_type}, tokens array<long>"), "bench-items"
     )
     seeds = stored(items.mapInArrow(_item_seeds, f"h long, item_id {id_type}, item_at long"), "bench-seeds")
-    shortest = min(map(len, MASKS))
-    sizes = items.select(F.size("tokens").alias("n")).where(F.col("n").between(MIN_TOKENS, shortest - 1)).distinct()
-    short = tuple(r["n"] for r in sizes.collect())  # a handful of lengths
+    n = F.size("tokens")
+    of_size = F.lit(0)
+    for least in sorted(MASKS):
+        of_size = F.when(n >= least, F.lit(least)).otherwise(of_size)
+    sizes = tuple(r["size"] for r in items.select(of_size.alias("size")).distinct().collect())  # a handful
     shared = spark.sparkContext.broadcast(_bitmap(seeds))
-    regions = docs.select("key", F.lower("text").alias("text")).mapInArrow(
-        _regions(shared, rule.margin, short), f"key {key_type}, tokens array<long>, hits array<struct<h:bigint,at:bigint>>"
+    regions = docs.select("key", plain("text").alias("text")).mapInArrow(
+        _regions(shared, rule.margin, sizes), f"key {key_type}, tokens array<long>, hits array<struct<h:bigint,at:bigint>>"
     )
     regions = stored(regions.withColumn("part", F.md5(F.to_json(F.struct("key", "tokens")))), "bench-regions")
     met = (
@@ -210,8 +235,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, rule: Overlap = Overlap()) -
         .join(items.select(F.col("item_id").alias("item"), F.col("tokens").alias("item_tokens")), F.col("item").eqNullSafe(F.col("item_id")))
         .select("key", "item_id", "shift", "tokens", "item_tokens")
     )
-    compared = sides.mapInArrow(_verified(rule), f"key {key_type}, item_id {id_type}, n_equal long, n_window long")
-    enough = F.col("n_equal") >= F.ceil(F.lit(rule.least_equal) * F.col("n_window"))
+    compared = sides.mapInArrow(_verified(rule), f"key {key_type}, item_id {id_type}, n_equal long, n_window long, n_least long")
+    enough = F.col("n_equal") >= F.col("n_least")
     return compared.where(enough).groupBy("key", "item_id").agg(F.max("n_equal").alias("n_equal"), F.max("n_window").alias("n_window"))
 
 

@@ -1,5 +1,6 @@
 """Quality rules, quality model, URL filter, decontamination, mixing, token counts and sharding."""
 
+import itertools
 import random
 import re
 import zlib
@@ -183,6 +184,60 @@ def test_leaks_are_found_with_substitutions_and_clean_texts_are_not(spark, docs)
     assert kept == {i for i, _ in rows} - {*planted, 300}
 
 
+def accepted_patterns(n):
+    """Which tokens are equal, for all that the rule accepts of an item of ``n`` tokens, whole or cut off by a document's edge."""
+    least = -(-3 * n // 4)
+    for length in range(least, n + 1):
+        for other in itertools.combinations(range(length), length - least):
+            yield [i not in other for i in range(length)]
+
+
+def test_every_accepted_pattern_holds_a_mask():
+    for n in range(5, 17):
+        masks = [[i for i, c in enumerate(m) if c == "1"] for _, size, m in decontaminate.all_masks() if size == decontaminate.size_class(n)]
+        for equal in accepted_patterns(n):
+            places = [(mask, at) for mask in masks for at in range(len(equal) - mask[-1])]
+            assert any(all(equal[at + i] for i in mask) for mask, at in places), (n, equal)
+
+
+def test_every_accepted_pattern_is_reported(spark, docs):
+    """Also those cut off by the document's start or end, which are a part of the item."""
+    items = [(n, [f"t{n}x{i}" for i in range(n)]) for n in range(5, 17)]
+    rows, expected = [], set()
+    for n, words in items:
+        for equal in accepted_patterns(n):
+            own = [w if same else f"o{len(rows)}x{i}" for i, (w, same) in enumerate(zip(words, equal))]
+            around = ["before"] * 40, ["after"] * 40
+            # A whole item stands amid other words; a part of it starts the document, as the item's end.
+            shown = [*around[0], *own, *around[1]] if len(own) == n else own + around[1]
+            if len(own) < n:
+                shown = [w if same else f"o{len(rows)}x{i}" for i, (w, same) in enumerate(zip(words[n - len(own) :], equal))] + around[1]
+            rows.append((len(rows), " ".join(shown)))
+            expected.add((len(rows) - 1, n))
+    bench = spark.createDataFrame([(n, " ".join(words)) for n, words in items], "item_id long, text string")
+    found = {(r.key, r.item_id) for r in decontaminate.overlaps(docs(rows).select(F.col("doc_id").alias("key"), "text"), bench).collect()}
+    assert expected - found == set() and found == expected
+
+
+def test_parts_of_a_longer_item_at_a_documents_edge(spark, docs):
+    item = [f"w{i}" for i in range(40)]
+    part = lambda a, b: " ".join(item[a:b])
+    rows = [(1, part(10, 22)), (2, part(10, 25)), (3, "x " * 50 + part(0, 12)), (4, part(28, 40) + " y" * 50)]
+    rows += [(5, part(10, 21)), (6, "x " * 50 + part(0, 11)), (7, part(29, 40) + " y" * 50), (8, "x " * 50 + part(0, 12) + " y" * 50)]
+    bench = spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")
+    found = decontaminate.overlaps(docs(rows).select(F.col("doc_id").alias("key"), "text"), bench).collect()
+    assert {r.key: r.n_equal for r in found} == {1: 12, 2: 15, 3: 12, 4: 12, 8: 12}
+
+
+def test_tokens_beyond_ascii(spark, docs):
+    han = "天地玄黄宇宙洪荒日月盈昃辰宿列張寒來暑往"
+    words = [f"höhe{i}" for i in range(20)]
+    bench = spark.createDataFrame([(0, han), (1, " ".join(words))], "item_id long, text string")
+    rows = [(0, "話" * 30 + han[:15] + "、" + han[15:] + "話" * 30), (1, "”“ — ".join(f"“{w.upper()}”" for w in words)), (2, "話" * 60)]
+    found = decontaminate.overlaps(docs(rows).select(F.col("doc_id").alias("key"), "text"), bench).collect()
+    assert {(r.key, r.item_id) for r in found} == {(0, 0), (1, 1)}
+
+
 def test_decontamination_edge_cases(spark, hard, empty):
     bench = spark.createDataFrame([(1, "One two three four five SIX seven eight nine ten"), (None, "one two three four five"), (2, None)], "item_id long, text string")
     kept = decontaminate.without_leaks(hard, bench)
