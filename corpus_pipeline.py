@@ -17,8 +17,8 @@ LEAST_KEPT = 0.6
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops what the fixed rules and the adaptive thresholds reject."""
-    return quality_rules.keep_good(docs)
+    """Drops what the fixed rules and the adaptive thresholds reject, by fences that a poor third of a source cannot move."""
+    return quality_rules.keep_good(docs, quality_rules.Rules(by_median=True))
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,9 @@ lies outside a fence around the middle half of its group.
 
 The sketch of a measure is a histogram over values cut to three significant digits, so a quantile is
 off by 1 % at most, the sketch of a group has a bounded number of buckets, and sketches merge by adding
-counts. Groups with few documents use the merged sketch of their language, or that of all documents.
+counts. With ``by_median`` a fence is no farther than the median and the half of the group on its other side
+allow, so poor rows cannot move it as long as they are fewer than half of the group; without it, a quarter can.
+Groups with few documents use the merged sketch of their language, or that of all documents.
 
 Defined results: a null text counts as empty and fails the fixed rule; null languages and sources form
 groups of their own; repeated rows are judged alike, row by row; an empty table gives an empty result.
@@ -56,12 +58,13 @@ MEASURES = (
 @dataclass(frozen=True)
 class Rules:
     """``spread`` times the distance between the quartiles is the least distance of a fence from them;
-    groups of fewer than ``min_group`` documents use wider sketches."""
+    groups of fewer than ``min_group`` documents use wider sketches; ``by_median`` holds fences by the median."""
 
     min_words: int = 20
     max_repeat_percent: int = 30
     spread: int = 3
     min_group: int = 200
+    by_median: bool = False
     measures: tuple[Measure, ...] = MEASURES
 
 
@@ -174,15 +177,22 @@ def _fences(sketch: DataFrame, keys: list[str], rules: Rules) -> DataFrame:
     quartiles = ranked.groupBy(*keys, "measure").agg(
         F.max("total").alias("n_docs"),
         F.min(F.when(4 * F.col("upto") >= F.col("total"), F.col("bucket"))).alias("q1"),
+        F.min(F.when(2 * F.col("upto") >= F.col("total"), F.col("bucket"))).alias("q2"),
         F.min(F.when(4 * F.col("upto") >= 3 * F.col("total"), F.col("bucket"))).alias("q3"),
     )
     bounds = []
     for m in rules.measures:
         margin = F.greatest(rules.spread * (F.col("q3") - F.col("q1")), F.lit(m.margin))
         own = F.col("measure") == m.name
-        bounds.append(F.max(F.when(own, F.col("q3") + margin)).alias(f"{m.name}_high"))
+        high, low = F.col("q3") + margin, F.col("q1") - margin
+        if rules.by_median:
+            # Twice the distance of a quartile from the median stands for that between the quartiles.
+            above = F.greatest(2 * rules.spread * (F.col("q2") - F.col("q1")), F.lit(m.margin))
+            below = F.greatest(2 * rules.spread * (F.col("q3") - F.col("q2")), F.lit(m.margin))
+            high, low = F.least(high, F.col("q2") + above), F.greatest(low, F.col("q2") - below)
+        bounds.append(F.max(F.when(own, high)).alias(f"{m.name}_high"))
         if m.low:
-            bounds.append(F.max(F.when(own, F.col("q1") - margin)).alias(f"{m.name}_low"))
+            bounds.append(F.max(F.when(own, low)).alias(f"{m.name}_low"))
     return quartiles.groupBy(*keys).agg(F.max("n_docs").alias("n_docs"), F.struct(*bounds).alias("fence"))
 
 

@@ -68,6 +68,23 @@ def test_thresholds_follow_the_source(docs):
     assert kept == {*range(300), *range(2000, 2300)}
 
 
+def test_a_poor_third_of_a_source_is_rejected(docs):
+    """35 % of a hot source's rows are poor in one measure each; the others are kept, as is a source that is all alike."""
+    rnd = random.Random(14)
+    poor = [
+        lambda: " ".join(w + "##" for w in prose(rnd, 60).split()),
+        lambda: prose(rnd, 60).upper(),
+        lambda: " ".join(w + "!" for w in prose(rnd, 60).split()),
+        lambda: " ".join(w * 9 for w in prose(rnd, 60).split()),
+        lambda: " ".join(f"{w} {w}" for w in prose(rnd, 30).split()),
+    ]
+    for make in poor:
+        rows = [(i, prose(rnd, 60), "en", "hot") for i in range(260)] + [(1000 + i, make(), "en", "hot") for i in range(140)]
+        rows += [(2000 + i, make(), "en", "alike") for i in range(220)]
+        kept = {r.doc_id for r in quality_rules.keep_good(docs(rows), quality_rules.Rules(by_median=True)).collect()}
+        assert kept == {*range(260), *range(2000, 2220)}
+
+
 def test_quality_edge_cases(hard, empty):
     assert quality_rules.keep_good(hard).columns == hard.columns
     assert quality_rules.quality_report(hard).count() == hard.count()
