@@ -5,6 +5,7 @@ from __future__ import annotations
 from ledgerline.llm import (
     decontaminate,
     mixing,
+    piece_codec,
     quality_model,
     quality_rules,
     sharding,
@@ -28,6 +29,7 @@ QUERIES = {
         decontaminate.op8_decontamination,
         quality_rules.op9_quality_rules,
         url_filter.op10_url_filter,
+        piece_codec.op12_sentencepiece,
     )
 }
 
