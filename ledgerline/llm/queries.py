@@ -5,6 +5,7 @@ from __future__ import annotations
 from ledgerline.llm import (
     decontaminate,
     mixing,
+    periodic_runs,
     piece_codec,
     quality_model,
     quality_rules,
@@ -30,6 +31,7 @@ QUERIES = {
         quality_rules.op9_quality_rules,
         url_filter.op10_url_filter,
         piece_codec.op12_sentencepiece,
+        periodic_runs.op13_periodic_runs,
     )
 }
 
