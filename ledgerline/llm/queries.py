@@ -11,6 +11,7 @@ from ledgerline.llm import (
     quality_rules,
     sharding,
     simhash,
+    spelling,
     substring_dedup,
     suffix_dedup,
     token_counts,
@@ -30,6 +31,7 @@ QUERIES = {
         decontaminate.op8_decontamination,
         quality_rules.op9_quality_rules,
         url_filter.op10_url_filter,
+        spelling.op11_spelling,
         piece_codec.op12_sentencepiece,
         periodic_runs.op13_periodic_runs,
     )
