@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import mul
 
@@ -84,7 +85,11 @@ def _crops_with_rain(crops: DataFrame, rainfall: DataFrame, ci: bool) -> DataFra
         F.count("*").cast("decimal(38,0)").alias("crop_rows"),
         F.sum("production_tonnes").alias("production"),
     )
-    rain = _rain_per_year(rainfall, ci)
+    return beside_rain(yearly, _rain_per_year(rainfall, ci), ci)
+
+
+def beside_rain(yearly: DataFrame, rain: DataFrame, ci: bool) -> DataFrame:
+    """Crops by district, crop and year beside the rainfall of that district and year."""
     same = (_join_key(ci) == rain["k"]) & (F.col("year") == F.col("rain_year"))
     return yearly.join(rain, same, "left").drop("k", "rain_year")
 
@@ -92,8 +97,12 @@ def _crops_with_rain(crops: DataFrame, rainfall: DataFrame, ci: bool) -> DataFra
 def _with_district_sides(
     by_crop: DataFrame, soil: DataFrame, fertilizer: DataFrame, farmers: DataFrame, ci: bool
 ) -> DataFrame:
+    return _beside_sides(by_crop, (_soil(soil, ci), _fertilizer(fertilizer, ci), _farmers(farmers, ci)), ci)
+
+
+def _beside_sides(by_crop: DataFrame, sides: Sequence[DataFrame], ci: bool) -> DataFrame:
     keyed = by_crop.withColumn("k", _join_key(ci))
-    for side in (_soil(soil, ci), _fertilizer(fertilizer, ci), _farmers(farmers, ci)):
+    for side in sides:
         keyed = keyed.join(side, "k", "left")
     return keyed
 
@@ -128,8 +137,14 @@ def district_summary(
     Totals are decimals at every size, and one beyond 38 digits raises, as it does in the declared
     number type; :func:`district_summary_deduplicated` has the totals without the repetition.
     """
+    sides = (_soil(soil, ci), _fertilizer(fertilizer, ci), _farmers(farmers, ci))
+    return summary_of_sides(_crops_with_rain(crops, rainfall, ci), sides, ci)
+
+
+def summary_of_sides(with_rain: DataFrame, sides: Sequence[DataFrame], ci: bool = True) -> DataFrame:
+    """:func:`district_summary` from tables that are reduced to one row per join key."""
     by_crop = (
-        _crops_with_rain(crops, rainfall, ci)
+        with_rain
         .groupBy("district", "crop_name")
         .agg(
             F.sum(F.col("production") * _copies("rain_rows")).alias("production"),
@@ -138,7 +153,7 @@ def district_summary(
             F.sum(F.col("crop_rows") * F.col("rain_values")).alias("rain_values"),
         )
     )
-    keyed = _with_district_sides(by_crop, soil, fertilizer, farmers, ci)
+    keyed = _beside_sides(by_crop, sides, ci)
     # Soil, fertilizer and farmer matches are the same for all rows of a group: they cancel in the
     # averages and are plain factors in the sums.
     return keyed.select(

@@ -481,6 +481,8 @@ def _with_adapters(body: str) -> str:
 
 
 _BODIES["cdc_net_changes_from_base"] = _BODIES["cdc_net_changes"]
+_BODIES["district_summary_maintained"] = _BODIES["district_summary"]
+_BODIES["agri_kpi_maintained"] = _BODIES["agri_kpi"]
 
 
 def oracle_sql() -> dict[str, str]:

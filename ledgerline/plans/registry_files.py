@@ -19,6 +19,7 @@ from ledgerline.functions.masking import EMAIL_MASK
 from ledgerline.operators import changes as cdc
 from ledgerline.operators.counts import reconcile
 from ledgerline.plans import agriculture, customers, finance, retail
+from ledgerline.plans.district_state import CROPS, RAINFALL, SIDES, SOIL, DistrictState, maintain_districts
 from ledgerline.plans.registry import DELETE_BELOW, FACTS_SINCE, SALES_DAY, TEST_RULES, register
 from ledgerline.plans.report import CachedReport, to_report
 from ledgerline.session import fresh_dir, shared_dir
@@ -335,6 +336,55 @@ def agri_kpi_refreshed(spark: SparkSession, d: str) -> DataFrame:
     return read_table(spark, f"{schema}.agri_kpi")
 
 
+def _district_batches(spark: SparkSession, d: str) -> list[dict[str, DataFrame]]:
+    """All five tables of the agriculture project in three batches of inserts and deletes.
+
+    The first has a third of the rows, and another third with wrong measures and farmers; the second puts those of
+    crops, rainfall and soil right; the third does so for the others and adds the last third of all.
+    """
+    frames = dict(zip(SIDES, (f(spark, d) for f in (src.crop_data, src.rainfall_data, src.soil_data, src.fertilizer_data, src.farmer_data))))
+    batches: list[dict[str, DataFrame]] = [{}, {}, {}]
+    for side, rows in frames.items():
+        part = F.pmod(F.xxhash64(*rows.columns), F.lit(3))
+        measure = SIDES[side][0] or "farmer_id"
+        insert, delete = F.lit(cdc.INSERT).alias(cdc.OP), F.lit(cdc.DELETE).alias(cdc.OP)
+        of = lambda n, rows=rows, part=part: rows.where(part == n)
+        wrong = of(1).withColumn(measure, (F.col(measure) + 1).cast(rows.schema[measure].dataType))
+        batches[0][side] = of(0).unionByName(wrong).select("*", insert)
+        mended = wrong.select("*", delete).unionByName(of(1).select("*", insert))
+        last = of(2).select("*", insert)
+        if side in (CROPS, RAINFALL, SOIL):
+            batches[1][side], batches[2][side] = mended, last
+        else:
+            batches[2][side] = mended.unionByName(last)
+    return batches
+
+
+def _maintained_districts(spark: SparkSession, d: str) -> DistrictState:
+    base, state = fresh_dir(spark, "districts"), DistrictState(spark, _scratch_schema(spark), count=4)
+    state.create()
+    batches = _district_batches(spark, d)
+    logs = {side: ChangeLog(spark, f"{base}/{side}", rows.drop(cdc.OP).schema) for side, rows in batches[0].items()}
+    for batch in batches:
+        for side, rows in batch.items():
+            logs[side].commit(rows)
+        streams = {side: log.stream() for side, log in logs.items()}
+        maintain_districts("districts", state, streams, f"{base}/checkpoint").run()
+    return state
+
+
+@register(avg_rainfall=6, avg_ph=6)
+def district_summary_maintained(spark: SparkSession, d: str) -> DataFrame:
+    """The district summary after three batches of changes to all five tables, each folded into stored states."""
+    return _maintained_districts(spark, d).summary()
+
+
+@register(avg_rainfall=6)
+def agri_kpi_maintained(spark: SparkSession, d: str) -> DataFrame:
+    """The KPI table after the same batches, worked out again for touched districts only."""
+    return _maintained_districts(spark, d).kpi()
+
+
 @register()
 def mv_customer_stored(spark: SparkSession, d: str) -> DataFrame:
     """The customer view stored, and refreshed when orders come in."""

@@ -6,7 +6,7 @@ import math
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings every job is designed for. AQE splits skewed join partitions, turns a sort-merge join into
 #: a broadcast join when the measured side is small, and coalesces small shuffle partitions. It measures
@@ -74,3 +74,10 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A not yet existing path below :func:`shared_dir`, different on every call."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read again, so that it is computed once whatever happens to executors."""
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,7 +6,7 @@ import datetime as dt
 import json
 import re
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 from ledgerline.functions.masking import MaskPolicy, mask
 from ledgerline.operators.changes import DELETE, INSERT, keep_after_delete
 from ledgerline.schemas import frame_schema
+from ledgerline.sources import buckets
 from ledgerline.streaming.changelog import ChangeLog
 
 _VERSION = "__at-"
@@ -38,7 +39,7 @@ def stored_rows(spark: SparkSession, name: str) -> DataFrame:
     have pointed the table at newer ones, so the memory is refreshed first.
     """
     spark.catalog.refreshTable(name)
-    return spark.table(name)
+    return spark.table(name).drop(buckets.BUCKET)
 
 
 def bind_masks(spark: SparkSession, name: str, policies: dict[str, MaskPolicy]) -> None:
@@ -93,6 +94,36 @@ def create_like(spark: SparkSession, name: str, source: str, replace: bool = Fal
     spark.sql(f"CREATE TABLE {name} LIKE {source} USING parquet{_location(spark, name)}")
 
 
+def create_in_buckets(
+    spark: SparkSession, name: str, schema: StructType, keys: Sequence[str], count: int = buckets.BUCKETS
+) -> None:
+    """An empty table of which later folds by ``keys`` rewrite only the buckets they touch."""
+    buckets.create_bucketed(spark, name, schema, keys, _new_path(spark, name), count)
+
+
+def materialize_in_buckets(df: DataFrame, name: str, keys: Sequence[str], count: int = buckets.BUCKETS) -> None:
+    """Stores a query's result as a new bucketed table."""
+    create_in_buckets(df.sparkSession, name, df.schema, keys, count)
+    fold_table(df.sparkSession, name, None, lambda _: df, uuid.uuid4().hex)
+
+
+def fold_table(
+    spark: SparkSession, name: str, changed: DataFrame | None, step: Callable[[DataFrame], DataFrame], label: str
+) -> list[int]:
+    """Replaces the rows of a bucketed table that share a bucket with a key of ``changed`` by ``step(rows)``.
+
+    Without ``changed`` all buckets are replaced. Gives the buckets; repeating a label changes nothing.
+    """
+    how = buckets.layout(spark, name)
+    if how is None:
+        raise ValueError(f"{name} is not bucketed")
+
+    def touched() -> Sequence[int]:
+        return range(how.count) if changed is None else buckets.touched_buckets(changed, how)
+
+    return buckets.fold_buckets(spark, name, touched, step, label)
+
+
 def materialize(
     df: DataFrame, name: str, replace: bool = False, version: str | None = None
 ) -> None:
@@ -128,8 +159,17 @@ def insert_rows(
 def delete_where(
     spark: SparkSession, name: str, condition: Column, log: ChangeLog | None = None
 ) -> None:
-    """Deletes the rows for which ``condition`` is true; with ``F.lit(True)``, all of them."""
+    """Deletes the rows for which ``condition`` is true; with ``F.lit(True)``, all of them.
+
+    Of a bucketed table only the buckets that hold such rows are rewritten.
+    """
     rows = stored_rows(spark, name)
+    if buckets.layout(spark, name) is not None:
+        label = f"delete-{uuid.uuid4().hex}"
+        if log is not None:
+            log.commit(rows.where(condition), DELETE, writer=label)
+        fold_table(spark, name, rows.where(condition), lambda kept: keep_after_delete(kept, condition), label)
+        return
     path = _write_version(keep_after_delete(rows, condition), name)
     if log is not None:
         log.commit(rows.where(condition), DELETE)
@@ -158,6 +198,9 @@ def stored_version(spark: SparkSession, name: str) -> str | None:
     """The label of the state a table holds; None without a table or label."""
     if not spark.catalog.tableExists(name):
         return None
+    bucketed = buckets.layout(spark, name)
+    if bucketed is not None:
+        return bucketed.label
     found = re.search(rf"{_VERSION}([^/]*)/?$", _table_location(spark, name))
     return found.group(1) if found else None
 

@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ledgerline.operators.changes import apply_changes
 from ledgerline.operators.stored_sums import merge_sums, partial_sums
-from ledgerline.sources.tables import materialize, stored_rows, stored_version
+from ledgerline.session import stored
+from ledgerline.sources.buckets import layout
+from ledgerline.sources.tables import create_in_buckets, fold_table, materialize, stored_rows, stored_version
 from ledgerline.streaming.tasks import Task
 
 
@@ -42,11 +47,20 @@ def refresh_sums(
     """A grouped aggregate of an append-only stream, kept in the streaming state.
 
     Each refresh reads only the new rows; they are combined per key on the map side before they reach
-    the state, and the table is replaced by the whole result.
+    the state. Only the keys that changed come out of it, and only the buckets they are in are rewritten.
     """
 
-    def work(result: DataFrame, label: str) -> None:
-        materialize(result, table, replace=True)
+    def work(changed: DataFrame, label: str) -> None:
+        spark = changed.sparkSession
+        if stored_version(spark, table) == label:
+            return
+        now = stored(changed, "changed-sums")
+        if not spark.catalog.tableExists(table):
+            create_in_buckets(spark, table, now.schema, keys)
+        same = reduce(and_, [F.col(f"old.{k}").eqNullSafe(F.col(f"now.{k}")) for k in keys])
+        fold_table(
+            spark, table, now, lambda rows: rows.alias("old").join(now.alias("now"), same, "left_anti").unionByName(now), label
+        )
 
     return Task(
         name,
@@ -54,49 +68,31 @@ def refresh_sums(
         work,
         checkpoint,
         lag,
-        output_mode="complete",
+        output_mode="update",
         **options,
     )
 
 
-def fold_task(
-    name: str,
-    changes: DataFrame,
-    step: Callable[[DataFrame | None, DataFrame], DataFrame],
-    table: str,
-    checkpoint: str,
-    lag: str | None = None,
-    **options,
+def maintain_sums(
+    name: str, changes: DataFrame, key: str, measure: str, table: str, checkpoint: str, **options
 ) -> Task:
-    """Brings a table to ``step(present rows or None, new changes)`` for each range of changes.
+    """Keeps partial sums per key up to date from logged inserts and deletes.
 
-    The stored state is labelled with the batch it includes and both become visible at once, so the
-    retry of a batch that was already folded in does nothing.
+    The table is made in buckets by the key, and each batch rewrites only the buckets its keys are in. Read the
+    sums with :func:`ledgerline.operators.stored_sums.read_sums`.
     """
 
     def work(batch: DataFrame, label: str) -> None:
         spark = batch.sparkSession
         if stored_version(spark, table) == label:
             return
-        stored = stored_rows(spark, table) if spark.catalog.tableExists(table) else None
-        materialize(step(stored, batch), table, replace=True, version=label)
-
-    return Task(name, changes, work, checkpoint, lag, **options)
-
-
-def maintain_sums(
-    name: str, changes: DataFrame, key: str, measure: str, table: str, checkpoint: str, **options
-) -> Task:
-    """Keeps partial sums per key up to date from logged inserts and deletes.
-
-    Read the sums with :func:`ledgerline.operators.stored_sums.read_sums`.
-    """
-
-    def step(stored: DataFrame | None, batch: DataFrame) -> DataFrame:
-        delta = partial_sums(batch, key, measure)
-        return delta if stored is None else merge_sums(stored, delta, key)
+        # One row per changed key, kept for the two passes over it.
+        delta = stored(partial_sums(batch, key, measure), "sums-delta")
+        if not spark.catalog.tableExists(table):
+            create_in_buckets(spark, table, delta.schema, [key])
+        fold_table(spark, table, delta, lambda rows: merge_sums(rows, delta, key), label)
 
-    return fold_task(name, changes, step, table, checkpoint, **options)
+    return Task(name, changes, work, checkpoint, **options)
 
 
 def apply_task(
@@ -107,11 +103,26 @@ def apply_task(
     checkpoint: str,
     **options,
 ) -> Task:
-    """Keeps an existing table equal to the logged one: updated, inserted and deleted by key."""
+    """Keeps an existing table equal to the logged one: updated, inserted and deleted by key.
 
-    def step(stored: DataFrame | None, batch: DataFrame) -> DataFrame:
-        if stored is None:
-            raise ValueError(f"create {table} before changes are applied to it")
-        return apply_changes(stored, batch, key)
+    Of a table that is bucketed by the key or a part of it, only the buckets of changed keys are rewritten; any
+    other table is rewritten whole.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
 
-    return fold_task(name, changes, step, table, checkpoint, **options)
+    def work(batch: DataFrame, label: str) -> None:
+        spark = batch.sparkSession
+        if not spark.catalog.tableExists(table):
+            raise ValueError(f"create {table} before changes are applied to it")
+        if stored_version(spark, table) == label:
+            return
+        how = layout(spark, table)
+        if how is None or not set(how.keys) <= set(keys):
+            rows = apply_changes(stored_rows(spark, table), batch, key)
+            if how is None:
+                materialize(rows, table, replace=True, version=label)
+                return
+            raise ValueError(f"{table} is bucketed by {how.keys}, not by the key {keys}")
+        fold_table(spark, table, batch, lambda rows: apply_changes(rows, batch, key), label)
+
+    return Task(name, changes, work, checkpoint, **options)

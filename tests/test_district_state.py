@@ -1,0 +1,126 @@
+"""The maintained district summary against the one computed anew."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline.plans import agriculture
+from ledgerline.plans.district_state import FARMERS, SIDES, DistrictState, maintain_districts, side_changes
+from ledgerline.sources import buckets
+from ledgerline.streaming.changelog import ChangeLog
+
+AMOUNT = "decimal(18,2)"
+SCHEMAS = {
+    "crops": f"crop_id long, crop_name string, district string, year int, production_tonnes {AMOUNT}",
+    "rainfall": f"record_id long, district string, year int, rainfall_mm {AMOUNT}",
+    "soil": f"soil_id long, district string, ph_level {AMOUNT}",
+    "fertilizer": f"district string, fertilizer_type string, quantity_used_kg {AMOUNT}",
+    "farmers": "farmer_id long, name string, district string",
+}
+DISTRICTS = ["North", "NORTH", "north", "South", "Éast", None, "hot", "hot", "hot"]
+
+
+def random_row(rnd, side):
+    district, year = rnd.choice(DISTRICTS), rnd.choice([2001, 2002, None])
+    number = rnd.choice([None, rnd.randrange(1000)])
+    return {
+        "crops": (rnd.randrange(99), rnd.choice(["rice", "corn", None]), district, year, number),
+        "rainfall": (rnd.randrange(99), district, year, number),
+        "soil": (rnd.randrange(99), district, number),
+        "fertilizer": (district, rnd.choice("ab"), number),
+        "farmers": (rnd.choice([None, *range(12)]), "x", district),
+    }[side]
+
+
+def frame(spark, side, rows, op=None):
+    number = {"crops": 4, "rainfall": 3, "soil": 2, "fertilizer": 2}.get(side)
+    plain = SCHEMAS[side].replace(AMOUNT, "long")
+    if op is not None:
+        plain += ", op string"
+        rows = [(*r, o) for r, o in rows]
+    made = spark.createDataFrame(rows, plain)
+    return made if number is None else made.withColumn(SIDES[side][0], F.col(SIDES[side][0]).cast(AMOUNT))
+
+
+def check(spark, state, present, ci):
+    frames = [frame(spark, side, present[side]) for side in SIDES]
+    wanted = agriculture.district_summary(*frames, ci=ci)
+    shown = lambda df: sorted((tuple(r) for r in df.select(*agriculture.SUMMARY_COLUMNS).collect()), key=repr)
+    assert shown(state.summary()) == shown(wanted)
+    kpis = lambda df: sorted(((r[0], r[1], r[2] and round(r[2], 9), r[3]) for r in df.collect()), key=repr)
+    assert kpis(state.kpi()) == kpis(agriculture.agri_kpi(wanted))
+
+
+@pytest.mark.parametrize("ci", [True, False])
+def test_random_changes_of_all_sides(spark, schema, ci):
+    rnd = random.Random(int(ci))
+    state = DistrictState(spark, schema, ci=ci, count=3)
+    state.create()
+    present = {side: [] for side in SIDES}
+    for step, sides in enumerate([list(SIDES), ["soil"], ["farmers", "crops"], list(SIDES)]):
+        batch = None
+        for side in sides:
+            gone = rnd.sample(present[side], len(present[side]) // (1 if step == 2 and side == FARMERS else 3))
+            new = [random_row(rnd, side) for _ in range(rnd.randrange(8, 25))] if step != 2 else []
+            for row in gone:
+                present[side].remove(row)
+            present[side] += new
+            rows = [(r, "DELETE") for r in gone] + [(r, "INSERT") for r in new]
+            made = side_changes(side, frame(spark, side, rows, op=True))
+            batch = made if batch is None else batch.unionByName(made)
+        for _ in range(2 if step == 3 else 1):  # the last batch comes twice
+            state.apply(batch, f"batch-{step}")
+        check(spark, state, present, ci)
+
+
+def versions(spark, schema, name):
+    return buckets.layout(spark, f"{schema}.{name}").label
+
+
+def test_unchanged_sides_are_not_written_and_their_tables_not_read(spark, schema, tmp_path):
+    logs = {side: ChangeLog(spark, str(tmp_path / side), frame(spark, side, []).schema) for side in SIDES}
+    state = DistrictState(spark, schema, count=3)
+    state.create()
+    rnd = random.Random(5)
+    present = {side: [random_row(rnd, side) for _ in range(30)] for side in SIDES}
+
+    def run():
+        streams = {side: log.stream() for side, log in logs.items()}
+        maintain_districts("districts", state, streams, str(tmp_path / "cp")).run()
+
+    for side, log in logs.items():
+        log.commit(frame(spark, side, present[side]), "INSERT")
+    run()
+    check(spark, state, present, True)
+    before = {side: versions(spark, schema, f"state_{side}") for side in SIDES}
+    logs["soil"].commit(frame(spark, "soil", [(1, "north", 7), (2, "hot", 9)]), "INSERT")
+    present["soil"] += [(1, "north", 7), (2, "hot", 9)]
+    run()
+    check(spark, state, present, True)
+    after = {side: versions(spark, schema, f"state_{side}") for side in SIDES}
+    assert {side for side in SIDES if before[side] != after[side]} == {"soil"}
+    run()  # nothing new
+    assert {side: versions(spark, schema, f"state_{side}") for side in SIDES} == after
+
+
+def test_the_farmers_of_a_large_district_are_spread(spark, schema):
+    state = DistrictState(spark, schema, count=8)
+    state.create()
+    rows = spark.range(4000).select(F.col("id").alias("farmer_id"), F.lit("x").alias("name"), F.lit("big").alias("district"), F.lit("INSERT").alias("op"))
+    crop = frame(spark, "crops", [((1, "rice", "Big", 2001, 10), "INSERT")], op=True)
+    state.apply(side_changes(FARMERS, rows).unionByName(side_changes("crops", crop)), "a")
+    parts = spark.table(f"{schema}.state_farmers").groupBy(buckets.BUCKET).count().collect()
+    assert len(parts) == 8 and max(r["count"] for r in parts) < 700
+    assert [r.total_farmers for r in state.summary().collect()] == [4000]
+    assert spark.table(f"{schema}.state_farmer_counts").count() == 8
+    one = side_changes(FARMERS, rows.where("farmer_id = 17").withColumn("op", F.lit("DELETE")))
+    state.apply(one, "b")
+    assert [r.total_farmers for r in state.summary().collect()] == [3999]
+
+
+def test_updates_without_an_old_image_are_refused(spark, schema):
+    state = DistrictState(spark, schema, count=2)
+    state.create()
+    with pytest.raises(Exception, match="no old image"):
+        state.apply(side_changes("soil", frame(spark, "soil", [((1, "a", 2), "UPDATE")], op=True)), "u")
