@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ledgerline.session import stored
+
 OP, SEQ, COMMIT_TS, ROW = "op", "seq", "commit_ts", "row_no"
 META = (OP, SEQ, COMMIT_TS, ROW)
 INSERT, UPDATE, DELETE = "INSERT", "UPDATE", "DELETE"
@@ -196,21 +198,39 @@ def _differences(both: DataFrame, keys: Sequence[str], payload: Sequence[str]) -
     )
 
 
-def split_updates(log: DataFrame, key: str | Sequence[str]) -> DataFrame:
+#: The number of a log's range, as :func:`split_updates` keeps it, and the row before it of the same key.
+_RANGE, _OLD = "_range", "_old"
+
+
+def split_updates(log: DataFrame, key: str | Sequence[str], ranges: int | None = None) -> DataFrame:
     """The log with every update as a DELETE of the key's row before and an INSERT of the new one.
 
     Inserts of a key that is there count as updates, and deletes of one that is not as nothing, so sums
-    over the result follow the table. It takes the changes of a key in order, in one window per key; a
-    writer that knows the old image does better to log both.
+    over the result follow the table. A writer that knows the old image does better to log both.
+
+    The log is cut into ``ranges`` by key and position and kept so in the shared folder. A key with a third of
+    all changes goes over many ranges, and each range is put in order by itself. What a range does not have, the row
+    before its first one, is the last row of the nearest range before it, if that is of the same key; so one row
+    for each range is carried over, whatever the number of changes.
     """
     keys = _keys(key)
     rest = [c for c in payload_columns(log) if c not in keys]
     extra = [c for c in META if c in log.columns and c != OP]
+    order = [c for c in (SEQ, ROW) if c in log.columns]
+    spark = log.sparkSession
+    count = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cut = log.repartitionByRange(count, *keys, *order).withColumn(_RANGE, F.spark_partition_id())
+    cut = stored(cut, "log-ranges")
     image = F.struct((F.col(OP) != DELETE).alias(LIVE), *rest)
-    before = F.lag(image).over(Window.partitionBy(*keys).orderBy(_order(log)))
-    with_old = log.withColumn("_old", before)
-    was = F.coalesce(F.col(f"_old.{LIVE}"), F.lit(False))
-    old = F.struct(F.lit(DELETE).alias(OP), *[F.col(f"_old.{c}").alias(c) for c in rest])
+    in_range = Window.partitionBy(_RANGE, *keys).orderBy(*order)
+    told = cut.withColumn(_OLD, F.lag(image).over(in_range)).withColumn("_first", F.row_number().over(in_range) == 1)
+    carried = _carried(cut, keys, order, image)
+    same = reduce(lambda a, b: a & b, [told[k].eqNullSafe(carried[f"_c_{k}"]) for k in keys])
+    before = (told[_RANGE] == carried["_c_range"]) & told["_first"] & same
+    # At most one row for each range: Spark broadcasts it, as it sees by its size.
+    with_old = told.join(carried, before, "left").withColumn(_OLD, F.coalesce(_OLD, "_c_image"))
+    was = F.coalesce(F.col(f"{_OLD}.{LIVE}"), F.lit(False))
+    old = F.struct(F.lit(DELETE).alias(OP), *[F.col(f"{_OLD}.{c}").alias(c) for c in rest])
     new = F.struct(F.lit(INSERT).alias(OP), *rest)
     pair = F.filter(
         F.array(F.when(was, old), F.when(F.col(OP) != DELETE, new)), lambda row: row.isNotNull()
@@ -220,6 +240,18 @@ def split_updates(log: DataFrame, key: str | Sequence[str]) -> DataFrame:
     )
 
 
+def _carried(cut: DataFrame, keys: list[str], order: list[str], image: Column) -> DataFrame:
+    """For each range its ``_c_range``, with the last row of the nearest range before it that has any."""
+    place = F.struct(*keys, *order)
+    last = cut.groupBy(_RANGE).agg(F.max_by(F.struct(*keys, image.alias("image")), place).alias("last"))
+    last = stored(last, "log-range-ends")
+    # One row a range: the pairs of ranges in order are as many as there are ranges.
+    earlier = last.select(F.col(_RANGE).alias("_c_range"), F.lag("last").over(Window.partitionBy(F.lit(0)).orderBy(_RANGE)).alias("before"))
+    return earlier.where("before is not null").select(
+        "_c_range", *[F.col(f"before.{k}").alias(f"_c_{k}") for k in keys], F.col("before.image").alias("_c_image")
+    )
+
+
 def net_row_changes(log: DataFrame, since: int, until: int | None = None) -> DataFrame:
     """Net change of a table without a key, from a log that holds only INSERT and DELETE images.
 

@@ -18,6 +18,7 @@ a batch rewrites only the buckets it touches. Every step is repeatable under the
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -122,13 +123,8 @@ class DistrictState:
         """Brings all tables up to date with changes as :func:`side_changes` gives them."""
         delta = stored(signed(changes, self.ci), "district-delta")
         sides = [r[0] for r in delta.select(SIDE).distinct().collect()]  # five at most
-        for side in sorted(sides):
-            own = delta.where(F.col(SIDE) == side).select(*self._keys(side), ROWS, VALUES, TOTAL)
-            parts = fold_table(
-                self.spark, self._table(side), own, lambda rows, own=own, side=side: _added(rows, own, self._keys(side)), label
-            )
-            if side == FARMERS:
-                self._count_farmers(own, parts, label)
+        with ThreadPoolExecutor(len(SIDES)) as jobs:  # the sides' tables have nothing to do with each other
+            list(jobs.map(lambda side: self._fold_side(side, delta.where(F.col(SIDE) == side), label), sorted(sides)))
         touched = delta.select(KEY).distinct()
         if touched.isEmpty():
             return
@@ -142,6 +138,12 @@ class DistrictState:
         fold_table(self.spark, self._table(SUMMARY), touched, lambda _: self._summary(state), label)
         fold_table(self.spark, self._table(KPI), touched, lambda _: self._kpi(state(SUMMARY)), label)
 
+    def _fold_side(self, side: str, delta: DataFrame, label: str) -> None:
+        own = delta.select(*self._keys(side), ROWS, VALUES, TOTAL)
+        parts = fold_table(self.spark, self._table(side), own, lambda rows: _added(rows, own, self._keys(side)), label)
+        if side == FARMERS:
+            self._count_farmers(own, parts, label)
+
     def _count_farmers(self, delta: DataFrame, parts: list[int], label: str) -> None:
         """Counts farmers again in the touched parts of the changed districts."""
         changed = delta.select(KEY).distinct()

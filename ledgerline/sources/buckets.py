@@ -77,9 +77,20 @@ def in_buckets(spark: SparkSession, name: str, buckets: Sequence[int]) -> DataFr
     return rows.where(F.col(BUCKET).isin(*buckets) if buckets else F.lit(False)).drop(BUCKET)
 
 
-def _complete(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+def _on(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place, fs = _on(spark, path)
+    return fs.exists(place)
+
+
+def _noted(spark: SparkSession, path: str) -> list[int]:
+    """The buckets of a fold, from the names of empty folders."""
+    place, fs = _on(spark, path)
+    return sorted(int(status.getPath().getName()) for status in fs.listStatus(place))
 
 
 def fold_buckets(
@@ -87,35 +98,39 @@ def fold_buckets(
 ) -> list[int]:
     """Replaces the rows of the touched buckets by ``step(rows)``; gives the buckets.
 
-    ``step`` must leave each row in its bucket's set of keys. A label that was folded last is not folded again; one
-    that was interrupted goes on from the rows written aside.
+    ``step`` must give rows of those buckets only. A label that was folded last is not folded again; one that was
+    interrupted goes on from the rows written aside.
     """
     spark.catalog.refreshTable(name)
     how = layout(spark, name)
     if how is None:
         raise ValueError(f"{name} is not bucketed")
     aside = f"{how.aside}/{label}"
-    if not _complete(spark, f"{aside}/rows"):
+    if not _exists(spark, f"{aside}/rows/_SUCCESS"):
         if how.label == label:
             return []
-        buckets = list(touched())
-        spark.createDataFrame([(b,) for b in buckets], "bucket int").write.mode("overwrite").parquet(f"{aside}/buckets")
-        now = step(in_buckets(spark, name, buckets))
+        numbers = list(touched())
+        _forget(spark, f"{aside}/touched")
+        for number in numbers:
+            place, fs = _on(spark, f"{aside}/touched/{number}")
+            fs.mkdirs(place)
+        now = step(in_buckets(spark, name, numbers))
         now = now.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in how.schema]).withColumn(BUCKET, how.bucket())
         # Rows of a bucket lie together in few files; a bucket that holds much is split over several tasks.
-        now.hint("rebalance", BUCKET).write.mode("overwrite").parquet(f"{aside}/rows")
-    buckets = sorted(r[0] for r in spark.read.schema("bucket int").parquet(f"{aside}/buckets").collect())
+        now.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{aside}/rows")
+    numbers = _noted(spark, f"{aside}/touched")
     if how.label != label:
-        now = spark.read.schema(spark.table(name).schema).parquet(f"{aside}/rows")
-        left = {r[0] for r in now.select(BUCKET).distinct().collect()}
-        now.hint("rebalance", BUCKET).write.insertInto(name, overwrite=True)
-        for bucket in sorted(set(buckets) - left):
-            _drop_bucket(spark, name, bucket)
+        left = [n for n in numbers if _exists(spark, f"{aside}/rows/{BUCKET}={n}")]
+        if left:
+            now = spark.read.schema(spark.table(name).schema).parquet(f"{aside}/rows")
+            now.hint("rebalance", BUCKET).write.insertInto(name, overwrite=True)
+        for number in sorted(set(numbers) - set(left)):
+            _drop_bucket(spark, name, number)
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_LABEL}' = '{label}')")
         spark.catalog.refreshTable(name)
         if how.label is not None:
             _forget(spark, f"{how.aside}/{how.label}")
-    return buckets
+    return numbers
 
 
 def _drop_bucket(spark: SparkSession, name: str, bucket: int) -> None:
@@ -126,5 +141,5 @@ def _drop_bucket(spark: SparkSession, name: str, bucket: int) -> None:
 
 
 def _forget(spark: SparkSession, path: str) -> None:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    place, fs = _on(spark, path)
+    fs.delete(place, True)

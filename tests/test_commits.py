@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,6 +105,33 @@ def test_updates_are_split_or_refused(spark):
     assert {(r["id"], r["v"], r["action"], r["row_count"]) for r in net} == {(1, 10, "DELETE", 1), (1, 15, "INSERT", 1), (4, None, "INSERT", 1)}
 
 
+def brute_split(rows):
+    """Every change of a key in order, an update as the row before and the new one."""
+    out, present = [], {}
+    for key, value, op, seq, row_no in sorted(rows, key=lambda r: (r[3], r[4])):
+        if key in present:
+            out.append((key, present.pop(key), "DELETE", seq, row_no))
+        if op != "DELETE":
+            present[key] = value
+            out.append((key, value, "INSERT", seq, row_no))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("ranges", [1, 7, 40])
+def test_split_updates_over_many_ranges(spark, ranges):
+    """A key with half of all changes lies in many ranges; nulls are a key and a value like others."""
+    rnd = random.Random(ranges)
+    rows = []
+    for i in range(400):
+        key = 7 if rnd.random() < 0.5 else rnd.choice([None, *range(60)])
+        rows.append((key, rnd.choice([None, i]), rnd.choice(["INSERT", "UPDATE", "UPDATE", "DELETE"]), i // 5, i))
+    log = spark.createDataFrame(rows, "id long, v long, op string, seq long, row_no long").repartition(5)
+    split = cdc.split_updates(log, "id", ranges)
+    assert split.columns == log.columns
+    assert sorted((tuple(r) for r in split.collect()), key=repr) == brute_split(rows)
+    assert cdc.split_updates(log.limit(0), "id", ranges).count() == 0
+
+
 def test_a_file_is_that_file_alone(spark, tmp_path):
     for name, key in (("crop.csv", 1), ("crop.csv.old", 2), ("a[1]*.csv", 3), ("a1x.csv", 4)):
         (tmp_path / name).write_text(f"{key},1\n")

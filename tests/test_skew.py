@@ -1,12 +1,14 @@
 """A key that owns a third of all rows must not put them into one task."""
 
+import re
 from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.operators.changes import apply_changes, latest_images
+from ledgerline.operators.changes import apply_changes, latest_images, split_updates
 from ledgerline.plans import customers, retail
+from ledgerline.session import shared_dir
 from ledgerline.sources import testdata as src
 
 ROWS = 120_000
@@ -157,3 +159,19 @@ def test_recent_sales_spread_a_hot_date(spark, facts):
         finally:
             spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert max(r["count"] for r in sizes) < ROWS / 4
+
+
+def test_changes_of_a_hot_key_are_put_in_order_by_many_tasks(spark):
+    """A third of all changes belong to one key: no range, and so no window, has much more than its share of them."""
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).alias("key"),
+        F.col("id").alias("v"), F.lit("UPDATE").alias("op"), F.col("id").alias("seq"),
+    )
+    split = split_updates(rows, "key", 16)
+    plan = split._jdf.queryExecution().analyzed().toString()
+    path = re.search(r"log-ranges-[0-9a-f]+", " ".join(split.inputFiles())).group(0)
+    sizes = spark.read.parquet(f"{shared_dir(spark)}/{path}").groupBy("_range").count().collect()
+    assert len(sizes) == 16 and max(r["count"] for r in sizes) < 2 * 30_000 / 16
+    assert "windowspecdefinition(_range" in plan
+    own = rows.where("key = 7").count()
+    assert own > 10_000 and split.where("key = 7").count() == 2 * own - 1
