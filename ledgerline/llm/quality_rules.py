@@ -2,13 +2,16 @@
 
 Every document gets counts of simple signs of poor text. Fixed rules (too few words, too much of the
 text repeated) come first. All other limits come from the data: for each language and source a
-mergeable quantile sketch of every measure is kept, and a document is rejected if one of its measures
-lies outside a fence around the middle half of its group.
+mergeable quantile sketch of every measure is kept, and a document is rejected if one of its measures lies
+beyond a fence of its group.
 
 The sketch of a measure is a histogram over values cut to three significant digits, so a quantile is
 off by 1 % at most, the sketch of a group has a bounded number of buckets, and sketches merge by adding
-counts. With ``by_median`` a fence is no farther than the median and the half of the group on its other side
-allow, so poor rows cannot move it as long as they are fewer than half of the group; without it, a quarter can.
+counts. A fence lies at a distance from the group's median that is the larger of two: some times the spread of the
+half of the group on the median's other side, which poor rows cannot move as long as they are fewer than half; and
+the distance of a far quantile of the language, in which every source counts alike, so that one large source cannot
+move it much. The second one goes no farther than ``most``, for languages in which many sources are poor. A count
+may be some occurrences beyond its fence, as a short text with one of them is not a poor one.
 Groups with few documents use the merged sketch of their language, or that of all documents.
 
 Defined results: a null text counts as empty and fails the fixed rule; null languages and sources form
@@ -33,14 +36,15 @@ WINDOW = 8
 
 @dataclass(frozen=True)
 class Measure:
-    """``scale * over / under``, cut to a whole number, with the least distance of its fence from the
-    middle half; ``low`` also sets a lower fence."""
+    """``scale * over / under``, cut to a whole number; ``most`` is how far from the median the language may put the
+    fence, ``slack`` how many occurrences beyond it are let pass; ``low`` also sets a lower fence."""
 
     name: str
     over: str
     under: str
     scale: int
-    margin: int
+    most: int
+    slack: int = 2
     low: bool = False
 
 
@@ -51,20 +55,21 @@ MEASURES = (
     Measure("dup_lines", "n_dup_lines", "n_lines", 1000, 500),
     Measure("repeats", "n_repeat_words", "n_words", 1000, 280),
     Measure("echoes", "n_echoes", "n_words", 1000, 200),
-    Measure("word_length", "word_chars", "n_words", 100, 250, low=True),
+    Measure("word_length", "word_chars", "n_words", 100, 250, slack=0, low=True),
 )
 
 
 @dataclass(frozen=True)
 class Rules:
-    """``spread`` times the distance between the quartiles is the least distance of a fence from them;
-    groups of fewer than ``min_group`` documents use wider sketches; ``by_median`` holds fences by the median."""
+    """``spread`` times the distance between median and quartile is the least distance of a fence; one in ``rare``
+    documents of a language lies beyond its far quantiles; groups of fewer than ``min_group`` documents use wider
+    sketches."""
 
     min_words: int = 20
     max_repeat_percent: int = 30
-    spread: int = 3
+    spread: int = 10
+    rare: int = 200
     min_group: int = 200
-    by_median: bool = False
     measures: tuple[Measure, ...] = MEASURES
 
 
@@ -142,8 +147,9 @@ def base_failed(counts: str, rules: Rules) -> Column:
     return (n < rules.min_words) | repeated
 
 
-def _value(counts: str, measure: Measure) -> Column:
-    return F.expr(f"{measure.scale} * {counts}.{measure.over} div greatest({counts}.{measure.under}, 1)")
+def _value(counts: str, measure: Measure, slack: int = 0) -> Column:
+    over = f"greatest({counts}.{measure.over} - {slack}, 0)"
+    return F.expr(f"{measure.scale} * {over} div greatest({counts}.{measure.under}, 1)")
 
 
 def _bucket(value: Column) -> Column:
@@ -168,72 +174,94 @@ def sketches(counted: DataFrame, counts: str, rules: Rules) -> DataFrame:
     )
 
 
-def _fences(sketch: DataFrame, keys: list[str], rules: Rules) -> DataFrame:
-    """Per group ``n_docs`` and the fences of each measure, from merged sketches."""
+#: What the buckets of one source sum to where every source counts alike.
+_SHARES = 1_000_000
+
+
+def _quartiles(sketch: DataFrame, keys: list[str], prefix: str) -> DataFrame:
+    """Documents, quartiles and median of each measure, by group."""
     merged = sketch.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*keys, "measure")
-    upto = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = merged.withColumn("upto", F.sum("n").over(upto)).withColumn("total", F.sum("n").over(group))
-    quartiles = ranked.groupBy(*keys, "measure").agg(
-        F.max("total").alias("n_docs"),
-        F.min(F.when(4 * F.col("upto") >= F.col("total"), F.col("bucket"))).alias("q1"),
-        F.min(F.when(2 * F.col("upto") >= F.col("total"), F.col("bucket"))).alias("q2"),
-        F.min(F.when(4 * F.col("upto") >= 3 * F.col("total"), F.col("bucket"))).alias("q3"),
+    upto = F.sum("n").over(group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = merged.withColumn("upto", 4 * upto).withColumn("total", F.sum("n").over(group))
+    at = lambda k: F.min(F.when(F.col("upto") >= k * F.col("total"), F.col("bucket")))
+    return ranked.groupBy(*keys, "measure").agg(
+        F.struct(F.max("total").alias("docs"), at(1).alias("q1"), at(2).alias("q2"), at(3).alias("q3")).alias(prefix)
     )
-    bounds = []
+
+
+def _tails(sketch: DataFrame, keys: list[str], rules: Rules, prefix: str) -> DataFrame:
+    """The far quantiles of each measure, where every source of the group counts alike."""
+    source = Window.partitionBy("lang", "source", "measure")
+    share = F.floor(F.col("n") * _SHARES / F.sum("n").over(source)).cast("long")
+    merged = sketch.withColumn("share", share).groupBy(*keys, "measure", "bucket").agg(F.sum("share").alias("share"))
+    group = Window.partitionBy(*keys, "measure")
+    upto = F.sum("share").over(group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = merged.withColumn("upto", rules.rare * upto).withColumn("total", F.sum("share").over(group))
+    at = lambda k: F.min(F.when(F.col("upto") >= k * F.col("total"), F.col("bucket")))
+    return ranked.groupBy(*keys, "measure").agg(F.struct(at(1).alias("low"), at(rules.rare - 1).alias("high")).alias(prefix))
+
+
+def fences(sketch: DataFrame, rules: Rules) -> DataFrame:
+    """By language, source and measure, ``high`` and ``low`` and whether ``most`` set them, ``high_cut`` and ``low_cut``."""
+    by_lang = _quartiles(sketch, ["lang"], "of_lang").join(_tails(sketch, ["lang"], rules, "lang_tail"), ["lang", "measure"])
+    by_lang = by_lang.withColumnRenamed("lang", "lang_").withColumnRenamed("measure", "measure_")
+    overall = _quartiles(sketch, [], "of_all").join(_tails(sketch, [], rules, "all_tail"), "measure")
+    joined = (
+        _quartiles(sketch, ["lang", "source"], "own")
+        .join(by_lang, F.col("lang").eqNullSafe(F.col("lang_")) & (F.col("measure") == F.col("measure_")), "left")
+        .join(overall, "measure", "left")
+    )
+    many = lambda group: F.col(f"{group}.docs") >= rules.min_group
+    chosen = F.when(many("own"), F.col("own")).when(many("of_lang"), F.col("of_lang")).otherwise(F.col("of_all"))
+    tail = F.when(many("of_lang"), F.col("lang_tail")).otherwise(F.col("all_tail"))
+    most = F.when(F.lit(False), F.lit(0))
     for m in rules.measures:
-        margin = F.greatest(rules.spread * (F.col("q3") - F.col("q1")), F.lit(m.margin))
-        own = F.col("measure") == m.name
-        high, low = F.col("q3") + margin, F.col("q1") - margin
-        if rules.by_median:
-            # Twice the distance of a quartile from the median stands for that between the quartiles.
-            above = F.greatest(2 * rules.spread * (F.col("q2") - F.col("q1")), F.lit(m.margin))
-            below = F.greatest(2 * rules.spread * (F.col("q3") - F.col("q2")), F.lit(m.margin))
-            high, low = F.least(high, F.col("q2") + above), F.greatest(low, F.col("q2") - below)
-        bounds.append(F.max(F.when(own, high)).alias(f"{m.name}_high"))
-        if m.low:
-            bounds.append(F.max(F.when(own, low)).alias(f"{m.name}_low"))
-    return quartiles.groupBy(*keys).agg(F.max("n_docs").alias("n_docs"), F.struct(*bounds).alias("fence"))
+        most = most.when(F.col("measure") == m.name, F.lit(m.most))
+    far = joined.select("lang", "source", "measure", chosen.alias("q"), tail.alias("tail"), most.alias("most")).select(
+        "lang", "source", "measure", "most", "q",
+        (rules.spread * (F.col("q.q2") - F.col("q.q1"))).alias("above"),
+        (rules.spread * (F.col("q.q3") - F.col("q.q2"))).alias("below"),
+        (F.col("tail.high") - F.col("q.q2")).alias("far_above"),
+        (F.col("q.q2") - F.col("tail.low")).alias("far_below"),
+    )
+    return far.select(
+        "lang", "source", "measure",
+        (F.col("q.q2") + F.greatest("above", F.least("far_above", "most"))).alias("high"),
+        (F.col("q.q2") - F.greatest("below", F.least("far_below", "most"))).alias("low"),
+        ((F.col("far_above") > F.col("most")) & (F.col("above") < F.col("most"))).alias("high_cut"),
+        ((F.col("far_below") > F.col("most")) & (F.col("below") < F.col("most"))).alias("low_cut"),
+    )
 
 
 def thresholds(counted: DataFrame, counts: str, rules: Rules) -> DataFrame:
-    """Fences for every language and source among ``counted``."""
+    """Fences for every language and source among ``counted``, one row each."""
     sketch = stored(sketches(counted, counts, rules), "quality-sketches")
-    own = _fences(sketch, ["lang", "source"], rules)
-    by_lang = _fences(sketch, ["lang"], rules).select(
-        F.col("lang").alias("lang_"), F.col("n_docs").alias("n_lang"), F.col("fence").alias("lang_fence")
-    )
-    overall = _fences(sketch, [], rules).select(F.col("fence").alias("all_fence"))
-    enough = F.lit(rules.min_group)
-    chosen = (
-        F.when(F.col("n_docs") >= enough, F.col("fence"))
-        .when(F.col("n_lang") >= enough, F.col("lang_fence"))
-        .otherwise(F.col("all_fence"))
-    )
-    fences = (
-        own.join(by_lang, F.col("lang").eqNullSafe(F.col("lang_")), "left")
-        .join(overall, F.lit(True), "left")
-        .select("lang", "source", chosen.alias("fence"))
-    )
-    return stored(fences, "quality-thresholds")
+    bounds = []
+    for m in rules.measures:
+        own = F.col("measure") == m.name
+        bounds.append(F.max(F.when(own, F.col("high"))).alias(f"{m.name}_high"))
+        if m.low:
+            bounds.append(F.max(F.when(own, F.col("low"))).alias(f"{m.name}_low"))
+    wide = fences(sketch, rules).groupBy("lang", "source").agg(F.struct(*bounds).alias("fence"))
+    return stored(wide, "quality-thresholds")
 
 
-def judged(counted: DataFrame, counts: str, fences: DataFrame, rules: Rules, name: str) -> DataFrame:
+def judged(counted: DataFrame, counts: str, limits: DataFrame, rules: Rules, name: str) -> DataFrame:
     """Adds the boolean ``name``: whether the document passes the fixed rules and its group's fences.
 
     A document without fences failed the fixed rules, as did all of its group.
     """
     lang, source, fence = (free_name(counted, n) for n in ("fence_lang", "fence_source", "fence"))
-    limits = fences.select(F.col("lang").alias(lang), F.col("source").alias(source), F.col("fence").alias(fence))
+    limits = limits.select(F.col("lang").alias(lang), F.col("source").alias(source), F.col("fence").alias(fence))
     joined = counted.join(
         limits, F.col("lang").eqNullSafe(F.col(lang)) & F.col("source").eqNullSafe(F.col(source)), "left"
     )
     inside = F.lit(True)
     for m in rules.measures:
-        value = _value(counts, m)
-        inside = inside & (value <= F.col(f"{fence}.{m.name}_high"))
+        inside = inside & (_value(counts, m, m.slack) <= F.col(f"{fence}.{m.name}_high"))
         if m.low:
-            inside = inside & (value >= F.col(f"{fence}.{m.name}_low"))
+            inside = inside & (_value(counts, m) >= F.col(f"{fence}.{m.name}_low"))
     # One expression: a condition on the counts alone would be pushed below the columns they come from,
     # and each of them would be worked out again wherever the condition names it.
     verdict = F.when(inside.isNull() | base_failed(counts, rules), F.lit(False)).otherwise(inside)
@@ -257,9 +285,9 @@ def quality_report(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 def keep_good(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The documents that the rules keep, with the columns they came with."""
     counts, kept = free_name(docs, "quality_counts"), free_name(docs, "quality_kept")
-    light = stored(with_counts(docs.select("text", "lang", "source"), counts).drop("text"), "quality-counts")
-    fences = thresholds(light, counts, rules)
-    verdicts = judged(with_counts(docs, counts), counts, fences, rules, kept)
+    # Counting costs far more than writing, so the documents are kept beside their counts for the second pass.
+    counted = stored(with_counts(docs, counts), "quality-counts")
+    verdicts = judged(counted, counts, thresholds(counted, counts, rules), rules, kept)
     return verdicts.where(F.col(kept)).select(*docs.columns)
 
 
@@ -304,19 +332,21 @@ judged as (
 
 _FENCES_SQL = """
 measures as (
-    select doc_id, lang, source, base_failed, unnest([
-        {'m': 'symbols', 'v': 1000 * n_symbols // greatest(n_words, 1)},
-        {'m': 'upper', 'v': 1000 * n_upper // greatest(word_chars, 1)},
-        {'m': 'marks', 'v': 1000 * n_marks // greatest(n_words, 1)},
-        {'m': 'dup_lines', 'v': 1000 * n_dup_lines // greatest(n_lines, 1)},
-        {'m': 'repeats', 'v': 1000 * n_repeat_words // greatest(n_words, 1)},
-        {'m': 'echoes', 'v': 1000 * n_echoes // greatest(n_words, 1)},
-        {'m': 'word_length', 'v': 100 * word_chars // greatest(n_words, 1)}]) as mv
-    from judged
+    select doc_id, lang, source, base_failed, mv.m as m, mv.scale * mv.n // greatest(mv.of, 1) as v,
+        mv.scale * greatest(mv.n - mv.slack, 0) // greatest(mv.of, 1) as beyond
+    from (
+        select doc_id, lang, source, base_failed, unnest([
+            {'m': 'symbols', 'n': n_symbols, 'of': n_words, 'scale': 1000, 'slack': 2},
+            {'m': 'upper', 'n': n_upper, 'of': word_chars, 'scale': 1000, 'slack': 2},
+            {'m': 'marks', 'n': n_marks, 'of': n_words, 'scale': 1000, 'slack': 2},
+            {'m': 'dup_lines', 'n': n_dup_lines, 'of': n_lines, 'scale': 1000, 'slack': 2},
+            {'m': 'repeats', 'n': n_repeat_words, 'of': n_words, 'scale': 1000, 'slack': 2},
+            {'m': 'echoes', 'n': n_echoes, 'of': n_words, 'scale': 1000, 'slack': 2},
+            {'m': 'word_length', 'n': word_chars, 'of': n_words, 'scale': 100, 'slack': 0}]) as mv
+        from judged)
 ),
 sketch as (
-    select lang, source, mv.m as m, mv.v - mv.v % (10 ** greatest(length(mv.v::varchar) - 3, 0))::bigint as b,
-        count(*) as n
+    select lang, source, m, v - v % (10 ** greatest(length(v::varchar) - 3, 0))::bigint as b, count(*) as n
     from measures where not base_failed group by all
 ),
 levels as (
@@ -331,29 +361,50 @@ ranked as (
 ),
 quartiles as (
     select level, lang, source, m, max(total) as n_docs, min(b) filter (4 * upto >= total) as q1,
-        min(b) filter (4 * upto >= 3 * total) as q3
+        min(b) filter (2 * upto >= total) as q2, min(b) filter (4 * upto >= 3 * total) as q3
     from ranked group by all
 ),
-margins(m, margin) as (
+shares as (
+    select lang, m, b, floor(n * 1000000 / sum(n) over (partition by lang, source, m))::bigint as n from sketch
+),
+tail_levels as (
+    select 2 as level, lang, m, b, sum(n) as n from shares group by lang, m, b
+    union all select 1, null, m, b, sum(n) from shares group by m, b
+),
+tail_ranked as (
+    select *, sum(n) over (partition by level, lang, m order by b) as upto, sum(n) over (partition by level, lang, m) as total
+    from tail_levels
+),
+tails as (
+    select level, lang, m, min(b) filter (200 * upto >= total) as t_low, min(b) filter (200 * upto >= 199 * total) as t_high
+    from tail_ranked group by all
+),
+mosts(m, most) as (
     values ('symbols', 150), ('upper', 200), ('marks', 200), ('dup_lines', 500), ('repeats', 280), ('echoes', 200),
         ('word_length', 250)
 ),
-fences as (
-    select level, lang, source, m, n_docs, q3 + greatest(3 * (q3 - q1), margin) as high,
-        case when m = 'word_length' then q1 - greatest(3 * (q3 - q1), margin) end as low
-    from quartiles join margins using (m)
+groups as (
+    select o.lang, o.source, o.m, most,
+        case when o.n_docs >= 200 then o.q1 when l.n_docs >= 200 then l.q1 else a.q1 end as q1,
+        case when o.n_docs >= 200 then o.q2 when l.n_docs >= 200 then l.q2 else a.q2 end as q2,
+        case when o.n_docs >= 200 then o.q3 when l.n_docs >= 200 then l.q3 else a.q3 end as q3,
+        case when l.n_docs >= 200 then lt.t_low else t.t_low end as t_low,
+        case when l.n_docs >= 200 then lt.t_high else t.t_high end as t_high
+    from (select * from quartiles where level = 3) o
+    join (select * from quartiles where level = 2) l on l.m = o.m and l.lang is not distinct from o.lang
+    join (select * from quartiles where level = 1) a on a.m = o.m
+    join (select * from tails where level = 2) lt on lt.m = o.m and lt.lang is not distinct from o.lang
+    join (select * from tails where level = 1) t on t.m = o.m
+    join mosts on mosts.m = o.m
 ),
 chosen as (
-    select o.lang, o.source, o.m,
-        case when o.n_docs >= 200 then o.high when l.n_docs >= 200 then l.high else a.high end as high,
-        case when o.n_docs >= 200 then o.low when l.n_docs >= 200 then l.low else a.low end as low
-    from (select * from fences where level = 3) o
-    join (select * from fences where level = 2) l on l.m = o.m and l.lang is not distinct from o.lang
-    join (select * from fences where level = 1) a on a.m = o.m
+    select lang, source, m, q2 + greatest(10 * (q2 - q1), least(t_high - q2, most)) as high,
+        case when m = 'word_length' then q2 - greatest(10 * (q3 - q2), least(q2 - t_low, most)) end as low
+    from groups
 ),
 outside as (
-    select v.doc_id, bool_or(mv.v > high or coalesce(mv.v < low, false)) as bad
-    from measures v join chosen c on c.m = v.mv.m and c.lang is not distinct from v.lang
+    select v.doc_id, bool_or(beyond > high or coalesce(v.v < low, false)) as bad
+    from measures v join chosen c on c.m = v.m and c.lang is not distinct from v.lang
         and c.source is not distinct from v.source
     group by v.doc_id
 )

@@ -81,10 +81,34 @@ def test_a_poor_third_of_a_source_is_rejected(docs):
     for make in poor:
         rows = [(i, prose(rnd, 60), "en", "hot") for i in range(260)] + [(1000 + i, make(), "en", "hot") for i in range(140)]
         rows += [(2000 + i, make(), "en", "alike") for i in range(220)]
-        kept = {r.doc_id for r in quality_rules.keep_good(docs(rows), quality_rules.Rules(by_median=True)).collect()}
+        kept = {r.doc_id for r in quality_rules.keep_good(docs(rows)).collect()}
         assert kept == {*range(260), *range(2000, 2220)}
 
 
+def test_fences_are_set_by_the_data(spark):
+    """Over half of all fences lie where the sketches put them, not where the bound for poor languages cuts them off."""
+    rules = quality_rules.Rules()
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    counted = quality_rules.stored(quality_rules.with_counts(docs, "counts"), "test-counts")
+    sketch = quality_rules.stored(quality_rules.sketches(counted, "counts", rules), "test-sketch")
+    found = quality_rules.fences(sketch, rules).collect()
+    cut = [r.high_cut for r in found] + [r.low_cut for r in found if r.measure == "word_length"]
+    assert len(cut) > 500 and sum(cut) < len(cut) / 2
+    most = {m.name: m.most for m in quality_rules.MEASURES}
+    assert len({(r.measure, r.high) for r in found}) > len(most)  # groups differ
+
+
+def test_a_fence_follows_the_spread_of_its_own_group(docs):
+    """A source of widely varying symbols keeps its upper half; one poor source does not move the language's tail."""
+    rnd = random.Random(21)
+    code = lambda k: " ".join(w + "#" * (i < k) for i, w in enumerate(prose(rnd, 60).split()))
+    rows = [(i, code(rnd.randrange(10, 50)), "en", "code") for i in range(250)]
+    rows += [(1000 + i, prose(rnd, 60), "en", f"s{i % 40}") for i in range(800)]
+    rows += [(3000 + i, code(58), "en", "s7") for i in range(8)]
+    kept = {r.doc_id for r in quality_rules.keep_good(docs(rows)).collect()}
+    assert kept == {*range(250), *range(1000, 1800)}
+
+
 def test_quality_edge_cases(hard, empty):
     assert quality_rules.keep_good(hard).columns == hard.columns
     assert quality_rules.quality_report(hard).count() == hard.count()
