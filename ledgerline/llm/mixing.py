@@ -5,11 +5,11 @@ the target shares of all three margins. A document is then kept with the probabi
 raked tokens have against its tokens, at the largest scale at which no probability exceeds one. So the
 expected tokens of the sample have the target shares in every margin.
 
-That scale is set by the cell that is shortest of its target, however small. ``least_kept`` bounds this: if
-the sample would have less than this share of the tokens, it is given that share, cells that are short of
-their target are kept whole, and the others are raked anew to what is left of the targets. Then a value all
-of whose documents are kept falls short of its target, and the values of its dimension that are not keep
-their targets' proportions.
+That scale is set by the cell that is shortest of its target, however small. With ``least_kept`` the sample has
+that share of the tokens instead: cells that are short of their target for it are kept whole, and the others are raked
+anew to what is left of the targets. Then a value all of whose documents are kept falls short of its target, and the
+values of its dimension that are not keep their targets' proportions. So one small source changes next to nothing.
+The query and the pipeline both use ``PRODUCTION``, which is so.
 
 Topics come from ordered patterns over the text. Targets are shares by value, or an exponent: shares in
 proportion to a power of the shares found, which lifts small values and lowers large ones. A value
@@ -17,7 +17,8 @@ without a target gets nothing and is never kept; a target without documents is l
 are scaled to fill it.
 
 The raking runs on the table of cells, in DataFrame steps of which each sweep is cut off by a
-checkpoint; only one number, the largest miss, comes to the driver. All is DataFrame functions.
+checkpoint; only single numbers come to the driver. If the sweeps end with a margin farther from its goal than
+``warn_at`` of all tokens, a warning tells so. All is DataFrame functions.
 
 Defined results: null languages and sources are values of their own, a null text has no tokens; such
 documents are judged by their cell like any other, and a cell without tokens is kept whole; rows with equal ids and
@@ -26,6 +27,7 @@ texts are kept or left together; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -56,8 +58,14 @@ class Mix:
     sweeps: int = 20
     tolerance: float = 1e-12
     seed: int = 17
-    #: Least share of the tokens with a target that the sample has; 0 keeps the targets at any price.
+    #: Share of the tokens with a target that the sample has; 0 keeps the targets, whatever is left then.
     least_kept: float = 0.0
+    #: Miss of a margin, as a share of all tokens, from which on a warning is given.
+    warn_at: float = 0.001
+
+
+#: The rule of the query and of the pipeline.
+PRODUCTION = Mix(least_kept=0.6)
 
 
 def topic(text: Column) -> Column:
@@ -110,11 +118,39 @@ def raked(found: DataFrame, mix: Mix) -> DataFrame:
         # After a sweep the last margin fits; the first is off by as much as the sweeps still move.
         first = DIMENSIONS[0]
         miss = now.groupBy(first).agg(F.abs(F.sum("weight") - F.max(f"{first}_share")).alias("m"))
-        if (miss.agg(F.max("m")).first()[0] or 0.0) <= mix.tolerance:
-            break
+        missed = miss.agg(F.max("m")).first()[0] or 0.0
+        if missed <= mix.tolerance:
+            return now
+    return _told(now, missed, mix)
+
+
+def _told(now: DataFrame, missed: float, mix: Mix) -> DataFrame:
+    if missed > mix.warn_at:
+        warnings.warn(f"mixing: after {mix.sweeps} sweeps a margin is still off by {missed:.2%} of the tokens", stacklevel=2)
     return now
 
 
+def _level(margin: DataFrame, total: float) -> float:
+    """The factor at which the sum of the values' shares times it, each cut at what it is able to give, is ``total``.
+
+    Each step takes the values that are cut at the last factor as given and solves for the others; more and more are
+    cut, so the steps end. Two sums come to the driver, whatever the number of values.
+    """
+    factor = total
+    while True:
+        cut = F.col("able") <= F.col("share") * F.lit(factor)
+        given, open_, most = margin.agg(
+            F.sum(F.when(cut, F.col("able"))), F.sum(F.when(~cut, F.col("share"))),
+            F.max(F.when(F.col("share") > 0, F.col("able") / F.col("share"))),
+        ).first()
+        if not open_:
+            return most or 0.0
+        later = (total - (given or 0.0)) / open_
+        if later <= factor * (1 + 1e-15):
+            return later
+        factor = later
+
+
 def _filled(cells_: DataFrame, amount: Column, most: Column, total: Column, by: list[str], name: str) -> DataFrame:
     """Adds the factor ``name`` per group at which the sum of ``amount`` times it, cut at ``most``, is ``total``.
 
@@ -145,21 +181,24 @@ def bounded(fitted: DataFrame, mix: Mix, total: float) -> DataFrame:
     for d in DIMENSIONS:
         able = F.sum(F.when(F.col("weight") > 0, F.col("tokens")).otherwise(0)).cast("double")
         margin = fitted.groupBy(d).agg(able.alias("able"), F.max(f"{d}_share").alias("share"))
-        margin = _filled(margin, F.col("share"), F.col("able"), F.lit(total), [], "factor")
-        goal = F.least("able", F.col("share") * F.col("factor"))
+        margin = stored(margin, "mixing-margin")
+        goal = F.least(F.col("able"), F.col("share") * F.lit(_level(margin, total)))
         goals = stored(margin.select(F.col(d).alias("value"), goal.alias(f"{d}_goal")), "mixing-goals")
         now = now.join(goals, F.col(d).eqNullSafe(F.col("value"))).drop("value")
     now = stored(now, "mixing-cells")
     first, most = DIMENSIONS[0], F.col("tokens").cast("double")
-    for _ in range(mix.sweeps):
+    for sweep in range(mix.sweeps):
         for d in DIMENSIONS:
             now = _filled(now, F.col("weight"), most, F.col(f"{d}_goal"), [d], "factor")
             now = now.withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
+        if sweep % 2 == 0 and sweep + 1 < mix.sweeps:
+            continue  # two sweeps to a table
         now = stored(now, "mixing-cells")
         miss = now.groupBy(first).agg(F.abs(F.sum(F.least("weight", most)) - F.max(f"{first}_goal")).alias("m"))
-        if (miss.agg(F.max("m")).first()[0] or 0.0) <= 1e-6 * total:
+        missed = (miss.agg(F.max("m")).first()[0] or 0.0) / total
+        if missed <= 1e-9:
             break
-    return now.withColumn("weight", F.least("weight", most))
+    return _told(now, missed, mix).withColumn("weight", F.least("weight", most))
 
 
 def probabilities(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
@@ -168,8 +207,8 @@ def probabilities(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     fitted = raked(found, mix)
     if mix.least_kept > 0:
         usable = fitted.where("weight > 0")
-        high, able = usable.agg(F.max(F.col("weight") / F.col("tokens")), F.sum("tokens").cast("double")).first()
-        if high and 1 / high < mix.least_kept * able:
+        able = usable.agg(F.sum("tokens").cast("double")).first()[0]
+        if able:
             fitted = bounded(fitted, mix, mix.least_kept * able)
             share = F.least(F.lit(1.0), F.col("weight") / F.col("tokens"))
             return _with_idle(fitted.select(*DIMENSIONS, share.alias("probability")), found)
@@ -224,7 +263,7 @@ def mixed_sample(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_report(table(spark, sf_dir, "documents"))
+    return mix_report(table(spark, sf_dir, "documents"), PRODUCTION)
 
 
 def _sweep_sql(sweeps: int) -> str:
@@ -237,7 +276,54 @@ def _sweep_sql(sweeps: int) -> str:
                 f"weight * {d}_share / sum(weight) over (partition by {d}) as weight from {last})"
             )
             last = name
-    return ",\n".join([*steps, f"fitted as (select *, weight / tokens as ratio from {last})"])
+    return ",\n".join([*steps, f"fitted as materialized (select *, weight / tokens as ratio from {last})"])
+
+
+def _filled_sql(name: str, start: str, amount: str, most: str, total: str, by: str) -> str:
+    """``start`` with ``factor``: what fills each group's ``amount``, no row beyond ``most``, up to ``total``."""
+    upto = f"over ({by} order by full_ nulls last range between unbounded preceding and current row)"
+    return f"""
+{name}_a as (select *, case when {amount} > 0 then {most} / {amount} end as full_ from {start}),
+{name}_b as (
+    select *, full_ is not null and sum(case when full_ is not null then {most} end) {upto}
+        + full_ * greatest(sum({amount}) over ({by}) - sum({amount}) {upto}, 0) <= {total} as whole_ from {name}_a
+),
+{name}_c as (
+    select *, {total} - sum(case when whole_ then {most} else 0 end) over ({by}) as left_,
+        sum(case when whole_ then 0 else {amount} end) over ({by}) as part_, max(full_) over ({by}) as last_ from {name}_b
+),
+{name} as materialized (
+    select * exclude (full_, whole_, left_, part_, last_),
+        coalesce(case when part_ > 0 then left_ / part_ else last_ end, 0) as factor from {name}_c
+)"""
+
+
+def _bounded_sql(sweeps: int, least_kept: float) -> str:
+    able = "(select sum(tokens) from fitted where weight > 0)"
+    parts = [f"size as materialized (select {least_kept} * {able} as total)"]
+    goals = []
+    for d in DIMENSIONS:
+        parts.append(
+            f"{d}_able as (select {d} as value, sum(case when weight > 0 then tokens else 0 end)::double as able, "
+            f"max({d}_share) as share, (select total from size) as total from fitted group by {d})"
+        )
+        parts.append(_filled_sql(f"{d}_fill", f"{d}_able", "share", "able", "total", "").lstrip())
+        parts.append(f"{d}_goals as materialized (select value, least(able, share * factor) as goal from {d}_fill)")
+        goals.append(f"join {d}_goals {d}_g on f.{d} is not distinct from {d}_g.value")
+    shown = ", ".join(f"{d}_g.goal as {d}_goal" for d in DIMENSIONS)
+    parts.append(
+        f"b0 as materialized (select f.source, f.lang, f.topic, f.tokens, f.weight * (select total from size) as weight, {shown} "
+        f"from fitted f {' '.join(goals)})"
+    )
+    last = "b0"
+    for i in range(sweeps):
+        for d in DIMENSIONS:
+            name = f"b{i}_{d}"
+            parts.append(_filled_sql(f"{name}_f", last, "weight", "tokens", f"{d}_goal", f"partition by {d}").lstrip())
+            parts.append(f"{name} as materialized (select * exclude (factor) replace (weight * factor as weight) from {name}_f)")
+            last = name
+    parts.append(f"final as (select *, least(1.0, weight / tokens) as p from {last})")
+    return ",\n".join(parts)
 
 
 ORACLE = {
@@ -264,12 +350,14 @@ w0 as materialized (
     where tokens > 0
 ),
 """
-    + _sweep_sql(20)
+    + _sweep_sql(PRODUCTION.sweeps)
+    + ",\n"
+    + _bounded_sql(PRODUCTION.sweeps, PRODUCTION.least_kept)
     + """,
 chances as (
     select c.source, c.lang, c.topic,
-        case when c.tokens = 0 then 1.0 else f.ratio / (select max(ratio) from fitted) end as p
-    from cells c left join fitted f on c.source is not distinct from f.source
+        case when c.tokens = 0 then 1.0 else f.p end as p
+    from cells c left join final f on c.source is not distinct from f.source
         and c.lang is not distinct from f.lang and c.topic = f.topic
 )
 select d.doc_id, d.source, d.lang, d.topic, round(p, 6) as probability,

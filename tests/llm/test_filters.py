@@ -356,6 +356,18 @@ def test_a_source_of_one_document_does_not_shrink_the_sample(docs):
     assert by["a"] / by["b"] == pytest.approx((words_of["a"] / words_of["b"]) ** 0.8, rel=1e-4)
 
 
+def test_one_document_changes_the_kept_share_by_less_than_a_hundredth(docs):
+    """Under the rule of the query and of the pipeline; and sweeps that do not get there are told of."""
+    rnd = random.Random(15)
+    rows = [(i, "w " * rnd.randrange(20, 90), rnd.choice(["en", "de", "fr"]), rnd.choice("aaabbc")) for i in range(900)]
+    before, _ = kept_share(docs(rows), mixing.PRODUCTION)
+    after, by = kept_share(docs([*rows, (1000, "ten words " * 5, "xx", "tiny")]), mixing.PRODUCTION)
+    assert abs(before - after) < 0.01 and by["tiny"] == pytest.approx(10)
+    targets = {"source": {"a": 0.1, "b": 0.1, "c": 0.8}, "lang": {"en": 0.1, "de": 0.8, "fr": 0.1}, "topic": 1.0}
+    with pytest.warns(UserWarning, match="still off"):
+        kept_share(docs(rows[:60]), mixing.Mix(targets=targets, sweeps=1, least_kept=0.9))
+
+
 def test_bounded_cells_meet_every_margin_that_can_be_met(docs):
     rows = [(i, "w " * 50, "en", "a") for i in range(900)] + [(1000 + i, "w " * 50, "de", "b") for i in range(60)]
     rows += [(2000 + i, "w " * 50, "de", "a") for i in range(240)] + [(3000 + i, "w " * 5, "en", f"t{i}") for i in range(40)]
