@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, sf_dir) and gives a DataFrame, which is written as Parquet and read again as
 the next stage's docs. All but the last give the columns of ``documents``; the last gives one row per
 document that is left, with its shard and slot.
+
+Defined results: null and empty texts fail the fixed rules; rows that are equal in all columns are kept or left
+together, but for the near-dedup, which keeps one; ties go by the smallest id, nulls last; very long texts are
+treated whole; extra columns go through whatever their names; empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -12,13 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerline.llm import decontaminate, mixing, quality_rules, sharding, simhash
 from ledgerline.llm.common import stored, table
 
-#: Share of the tokens that mixing keeps at least.
-LEAST_KEPT = 0.6
-
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops what the fixed rules and the adaptive thresholds reject, by fences that a poor third of a source cannot move."""
-    return quality_rules.keep_good(docs, quality_rules.Rules(by_median=True))
+    """Drops what the fixed rules and the adaptive thresholds reject, by the rules of op9."""
+    return quality_rules.keep_good(docs)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,11 +33,11 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Samples documents so that sources, languages and topics have their target weights.
+    """Samples documents so that sources, languages and topics have their target weights, by the rule of op1.
 
     Values too small for their target are kept whole, so that they do not set the size of the sample.
     """
-    return mixing.mixed_sample(docs, mixing.Mix(least_kept=LEAST_KEPT))
+    return mixing.mixed_sample(docs, mixing.PRODUCTION)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
