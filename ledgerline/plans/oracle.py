@@ -481,6 +481,16 @@ def _with_adapters(body: str) -> str:
 
 
 _BODIES["cdc_net_changes_from_base"] = _BODIES["cdc_net_changes"]
+_BODIES["masked_view_by_role"] = """
+    select 'none' as reader, customer_id, customer_name, '*****' as email, city from dim_customers
+    union all select 'unmasked', customer_id, customer_name, email, city from dim_customers"""
+_BODIES["mask_functions"] = """
+    select customer_id, case when role = 'ACCOUNTADMIN' then cast(customer_id as varchar) else '*****' end as shown_id, role,
+           cast(sum(case when role = 'ACCOUNTADMIN' then amount else 0 end) as double) as total_spent
+    from crm_orders cross join (values ('ACCOUNTADMIN'), ('ANALYST')) as roles(role) group by customer_id, role"""
+_BODIES["task_history_function"] = """
+    select 'loader' as task, cast(0 as bigint) as run, count(*) as row_count from crm_orders where order_date < date '1998-07-01'
+    union all select 'loader', 1, count(*) from crm_orders where not order_date < date '1998-07-01'"""
 _BODIES["district_summary_maintained"] = _BODIES["district_summary"]
 _BODIES["agri_kpi_maintained"] = _BODIES["agri_kpi"]
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from ledgerline import schemas
-from ledgerline.functions.masking import EMAIL_MASK
+from ledgerline.functions.masking import EMAIL_MASK, UNMASKED_ROLE
 from ledgerline.operators import changes as cdc
 from ledgerline.operators.counts import reconcile
 from ledgerline.plans import agriculture, customers, finance, retail
@@ -23,8 +23,8 @@ from ledgerline.plans.district_state import CROPS, RAINFALL, SIDES, SOIL, Distri
 from ledgerline.plans.registry import DELETE_BELOW, FACTS_SINCE, SALES_DAY, TEST_RULES, register
 from ledgerline.plans.report import CachedReport, to_report
 from ledgerline.session import fresh_dir, shared_dir
+from ledgerline.sources import sql_objects, tables
 from ledgerline.sources import testdata as src
-from ledgerline.sources import tables
 from ledgerline.sources.csv_files import CONTINUE, CsvFormat, Source, list_files, load_csv
 from ledgerline.sources.tables import create_layers, read_table, write_clustered
 from ledgerline.streaming.changelog import ChangeLog
@@ -271,6 +271,52 @@ def masked_table_read(spark: SparkSession, d: str) -> DataFrame:
     return read_table(spark, table)
 
 
+@register()
+def masked_view_by_role(spark: SparkSession, d: str) -> DataFrame:
+    """Customers read with SQL alone from a masked view, by a reader without and by one with the unmasked role."""
+    schema, view = _scratch_schema(spark), f"customers_{uuid.uuid4().hex}"
+    tables.materialize(src.retail_customers(spark, d), f"{schema}.customers")
+    sql_objects.create_mask_functions(spark, schema)
+    sql_objects.act_as(spark, None)
+    sql_objects.create_masked_view(spark, view, f"{schema}.customers", schema, {"email": sql_objects.MASK_TEXT})
+    hidden = spark.sql(f"SELECT 'none' AS reader, * FROM {view}")
+    sql_objects.act_as(spark, UNMASKED_ROLE)
+    clear = spark.sql(f"SELECT 'unmasked' AS reader, * FROM {view}")
+    return hidden.unionByName(clear)
+
+
+@register()
+def mask_functions(spark: SparkSession, d: str) -> DataFrame:
+    """Both mask functions called in SQL: what each customer spent as two roles see it."""
+    schema = _scratch_schema(spark)
+    sql_objects.create_mask_functions(spark, schema)
+    name = f"orders_{uuid.uuid4().hex}"
+    src.crm_orders(spark, d).createOrReplaceTempView(name)
+    number, text = f"{schema}.{sql_objects.MASK_NUMBER}", f"{schema}.{sql_objects.MASK_TEXT}"
+    return spark.sql(
+        f"SELECT customer_id, {text}(CAST(customer_id AS STRING), role) AS shown_id, role, "
+        f"SUM({number}(amount, role)) AS total_spent FROM {name} CROSS JOIN VALUES ('{UNMASKED_ROLE}'), ('ANALYST') AS roles(role) "
+        "GROUP BY customer_id, role"
+    )
+
+
+@register()
+def task_history_function(spark: SparkSession, d: str) -> DataFrame:
+    """Two runs of a loading task as a table function with named arguments tells them, with the rows of each."""
+    schema, base = _scratch_schema(spark), fresh_dir(spark, "history")
+    sql_objects.create_history_function(spark, "task_history", f"{schema}.runs")
+    orders = src.crm_orders(spark, d)
+    log = ChangeLog(spark, f"{base}/log", orders.schema)
+    target = BatchSink(spark, f"{base}/orders", orders.schema)
+    early = F.col("order_date") < F.lit(FACTS_SINCE).cast("date")
+    for commit in (orders.where(early), cdc.keep_after_delete(orders, early)):
+        log.commit(commit, cdc.INSERT)
+        task = load_task("loader", log.stream(), target, f"{base}/checkpoint")
+        task.run()
+        sql_objects.record_runs(spark, task.query, f"{schema}.runs")
+    return sql_objects.history(spark, "task_history", "loader")
+
+
 @register()
 def task_run_history(spark: SparkSession, d: str) -> DataFrame:
     """States of a task's runs: one with new rows, and one on a commit without any, which is skipped."""
