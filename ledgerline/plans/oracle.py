@@ -448,7 +448,7 @@ _BODIES = {
         select 'orders' as name, 'TABLE' as kind union all select 'orders_view', 'VIEW'""",
     "report_frame": """
         select product_id, cast(sum(sales_amount) as double) as total_sales
-        from retail_lines group by product_id""",
+        from retail_lines group by product_id order by total_sales desc, product_id limit 10""",
     "agri_kpi_refreshed": """
         select district, cast(total_production as double) as total_production,
                round(avg_rainfall, 6) as avg_rainfall,
@@ -481,6 +481,7 @@ def _with_adapters(body: str) -> str:
 
 
 _BODIES["cdc_net_changes_from_base"] = _BODIES["cdc_net_changes"]
+_BODIES["csv_load_aborted"] = f"select {_ORDERS} from crm_orders where order_date < date '1998-07-01'"
 _BODIES["masked_view_by_role"] = """
     select 'none' as reader, customer_id, customer_name, '*****' as email, city from dim_customers
     union all select 'unmasked', customer_id, customer_name, email, city from dim_customers"""

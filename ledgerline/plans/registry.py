@@ -13,6 +13,7 @@ from ledgerline.operators import changes as cdc
 from ledgerline.operators.counts import reconcile, row_count
 from ledgerline.operators.stored_sums import merge_sums, partial_sums, read_sums
 from ledgerline.plans import agriculture, customers, finance, retail, usage
+from ledgerline.session import stored
 from ledgerline.sources import testdata as src
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -179,8 +180,10 @@ def mask_email(spark: SparkSession, d: str) -> DataFrame:
 def limit_sample_check(spark: SparkSession, d: str) -> DataFrame:
     """Rows of a sample, and how many of them are no facts."""
     facts = _lines(spark, d)
-    sample = facts.limit(10).withColumn("n", F.lit(1))
-    found = sample.join(facts.distinct().withColumn("f", F.lit(1)), facts.columns, "left")
+    sample = stored(facts.limit(10), "limit-sample")
+    # Ten rows: the facts are only scanned for them, not shuffled.
+    present = facts.join(F.broadcast(sample.distinct()), facts.columns, "left_semi").distinct()
+    found = sample.withColumn("n", F.lit(1)).join(present.withColumn("f", F.lit(1)), facts.columns, "left")
     return found.agg(F.sum("n").alias("sampled"), F.sum(F.coalesce(F.lit(1) - F.col("f"), F.lit(1))).alias("no_facts"))
 
 

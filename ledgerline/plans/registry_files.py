@@ -16,6 +16,7 @@ from pyspark.sql.types import DecimalType
 
 from ledgerline import schemas
 from ledgerline.functions.masking import EMAIL_MASK, UNMASKED_ROLE
+from ledgerline.functions.ordering import descending
 from ledgerline.operators import changes as cdc
 from ledgerline.operators.counts import reconcile
 from ledgerline.plans import agriculture, customers, finance, retail
@@ -25,7 +26,7 @@ from ledgerline.plans.report import CachedReport, to_report
 from ledgerline.session import fresh_dir, shared_dir
 from ledgerline.sources import sql_objects, tables
 from ledgerline.sources import testdata as src
-from ledgerline.sources.csv_files import CONTINUE, CsvFormat, Source, list_files, load_csv
+from ledgerline.sources.csv_files import CONTINUE, CsvFormat, Source, copy_into, list_files, load_csv
 from ledgerline.sources.tables import create_layers, read_table, write_clustered
 from ledgerline.streaming.changelog import ChangeLog
 from ledgerline.streaming.ingest import csv_stream, ingest_stream
@@ -89,6 +90,24 @@ def csv_load_rejects(spark: SparkSession, d: str) -> DataFrame:
     return good.unionByName(bad).groupBy("outcome").agg(F.count("*").alias("row_count"))
 
 
+@register()
+def csv_load_aborted(spark: SparkSession, d: str) -> DataFrame:
+    """A table after a good drop and one with a bad row, whose load is aborted and leaves the table as it was."""
+    table, base = f"{_scratch_schema(spark)}.orders", fresh_dir(spark, "csv-abort")
+    tables.create_table(spark, table, ORDERS)
+    orders = src.crm_orders(spark, d)
+    early = F.col("order_date") < F.lit(FACTS_SINCE).cast("date")
+    _drop_csv(orders.where(early), f"{base}/good")
+    late = cdc.keep_after_delete(orders, early)
+    _drop_csv(late.withColumn("amount", F.when(F.col("order_id") % 2 == 0, F.col("amount").cast("string")).otherwise("pending")), f"{base}/bad")
+    copy_into(spark, Source(f"{base}/good", FORMAT), ORDERS, table)
+    try:
+        copy_into(spark, Source(f"{base}/bad", FORMAT), ORDERS, table)
+    except Exception:  # noqa: BLE001 - the abort is the point; what it leaves is checked
+        return read_table(spark, table)
+    raise AssertionError("a load with bad rows was not aborted")
+
+
 @register()
 def ingest_stream_orders(spark: SparkSession, d: str) -> DataFrame:
     """Two drops of CSV files, each followed by a run of the same ingest task."""
@@ -356,11 +375,11 @@ def pipeline_listing(spark: SparkSession, d: str) -> DataFrame:
 
 @register()
 def report_frame(spark: SparkSession, d: str) -> DataFrame:
-    """A cached report brought to the client, and made a frame again."""
+    """The ten best products of a cached report brought to the client, and made a frame again."""
     lines = retail.build_fact_sales(src.retail_orders(spark, d, customer=False))
     report = CachedReport(lambda: retail.sales_summary(lines))
-    frame = to_report(report.get())
-    schema = report.get().schema
+    top = report.get().orderBy(descending("total_sales"), "product_id").limit(10)
+    frame, schema = to_report(top, max_rows=10), top.schema
     report.clear()
     return spark.createDataFrame(frame, schema)
 

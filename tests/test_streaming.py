@@ -326,3 +326,18 @@ def test_range_of_commits(spark, tmp_path):
     assert ids(log.read(since=0, until=2)) == {1, 2} == ids(changes(log.read(), 0, 2))
     assert ids(log.read(since=3)) == set()
     assert log.read(since=1).columns == log.read().columns
+
+
+def test_a_suspended_task_loads_nothing_until_it_is_resumed(spark, tmp_path, rows):
+    log = ChangeLog(spark, str(tmp_path / "log"), SCHEMA)
+    target = BatchSink(spark, str(tmp_path / "target"), schemas.frame_schema(SCHEMA))
+    log.commit(spark.createDataFrame([(1, 10)], FRAME), INSERT)
+    task = load_task("loader", log.stream(), target, str(tmp_path / "cp"), every="1 second")
+    task.run()
+    task.stop()
+    assert not task.query.isActive
+    log.commit(spark.createDataFrame([(2, 20)], FRAME), INSERT)
+    assert rows(target.read()) == [(1, 10)]
+    task.run()
+    task.stop()
+    assert rows(target.read()) == [(1, 10), (2, 20)]
