@@ -482,6 +482,12 @@ def _with_adapters(body: str) -> str:
 
 _BODIES["cdc_net_changes_from_base"] = _BODIES["cdc_net_changes"]
 _BODIES["csv_load_aborted"] = f"select {_ORDERS} from crm_orders where order_date < date '1998-07-01'"
+_BODIES["reconcile_content"] = """
+    select order_id, customer_id, cast(amount as double) as amount, cast(order_date as varchar) as order_date,
+           cast(1 as bigint) as left_rows, cast(0 as bigint) as right_rows from crm_orders where order_id % 997 = 0
+    union all select order_id, customer_id, cast(amount + 1 as double), cast(order_date as varchar), 0, 1
+    from crm_orders where order_id % 997 = 0"""
+_BODIES["count_rows_from_footers"] = "select count(*) as row_count from lineitem"
 _BODIES["masked_view_by_role"] = """
     select 'none' as reader, customer_id, customer_name, '*****' as email, city from dim_customers
     union all select 'unmasked', customer_id, customer_name, email, city from dim_customers"""

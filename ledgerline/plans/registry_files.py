@@ -18,7 +18,7 @@ from ledgerline import schemas
 from ledgerline.functions.masking import EMAIL_MASK, UNMASKED_ROLE
 from ledgerline.functions.ordering import descending
 from ledgerline.operators import changes as cdc
-from ledgerline.operators.counts import reconcile
+from ledgerline.operators.counts import content_differences, count_from_footers, reconcile
 from ledgerline.plans import agriculture, customers, finance, retail
 from ledgerline.plans.district_state import CROPS, RAINFALL, SIDES, SOIL, DistrictState, maintain_districts
 from ledgerline.plans.registry import DELETE_BELOW, FACTS_SINCE, SALES_DAY, TEST_RULES, register
@@ -281,6 +281,21 @@ def reconcile_stored_copies(spark: SparkSession, d: str) -> DataFrame:
     return reconcile(pairs)
 
 
+@register()
+def reconcile_content(spark: SparkSession, d: str) -> DataFrame:
+    """Orders against a stored copy with as many rows, of which some have another amount: the rows that differ."""
+    table, orders = f"{_scratch_schema(spark)}.orders", src.crm_orders(spark, d)
+    changed = F.when(F.col("order_id") % 997 == 0, 1).otherwise(0)
+    tables.materialize(orders.withColumn("amount", (F.col("amount") + changed).cast(DecimalType(18, 2))), table)
+    return content_differences(orders, read_table(spark, table), "order_id")
+
+
+@register()
+def count_rows_from_footers(spark: SparkSession, d: str) -> DataFrame:
+    """Line items counted from the footers of their files."""
+    return count_from_footers(spark, f"{d}/lineitem.parquet")
+
+
 @register()
 def masked_table_read(spark: SparkSession, d: str) -> DataFrame:
     """A table with a mask bound to a column, read without naming a role."""
