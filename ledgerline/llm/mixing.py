@@ -64,6 +64,8 @@ class Mix:
     warn_at: float = 0.001
 
 
+#: Sweeps over all margins between two written tables.
+SWEEPS_AT_ONCE = 5
 #: The rule of the query and of the pipeline.
 PRODUCTION = Mix(least_kept=0.6)
 
@@ -109,11 +111,14 @@ def raked(found: DataFrame, mix: Mix) -> DataFrame:
         shares = _shares(found, d, mix.targets[d])
         now = now.join(shares, F.col(d).eqNullSafe(F.col("value"))).drop("value")
     now = stored(now, "mixing-cells")
-    for _ in range(mix.sweeps):
+    missed = 0.0
+    for sweep in range(mix.sweeps):
         for d in DIMENSIONS:
             margin = F.sum("weight").over(Window.partitionBy(d))
             fitted = F.when(margin > 0, F.col("weight") * F.col(f"{d}_share") / margin).otherwise(0.0)
             now = now.withColumn("weight", fitted)
+        if (sweep + 1) % SWEEPS_AT_ONCE and sweep + 1 < mix.sweeps:
+            continue
         now = stored(now, "mixing-cells")
         # After a sweep the last margin fits; the first is off by as much as the sweeps still move.
         first = DIMENSIONS[0]
@@ -151,54 +156,46 @@ def _level(margin: DataFrame, total: float) -> float:
         factor = later
 
 
-def _filled(cells_: DataFrame, amount: Column, most: Column, total: Column, by: list[str], name: str) -> DataFrame:
-    """Adds the factor ``name`` per group at which the sum of ``amount`` times it, cut at ``most``, is ``total``.
+def _step(d: str) -> Column:
+    """The weights after one margin of ``d`` is brought to its goal.
 
-    A row is at its most if the sum at the factor that just fills it is within the total. If all are, the
-    factor is the largest of those.
+    A margin that is too large shrinks as a whole. One that is too small takes what it lacks from its cells that
+    have more to give; those that give all they have stay so. Where that is not enough, the next sweep goes on.
     """
-    rows = cells_.withColumn("_most", most).withColumn("_amount", amount).withColumn("_total", total)
-    rows = rows.withColumn("_full", F.when(F.col("_amount") > 0, F.col("_most") / F.col("_amount")))
-    group = Window.partitionBy(*by)
-    upto = group.orderBy(F.col("_full").asc_nulls_last()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    usable = F.col("_full").isNotNull()
-    filled = F.sum(F.when(usable, F.col("_most"))).over(upto)
-    open_ = F.sum("_amount").over(group) - F.sum("_amount").over(upto)
-    rows = rows.withColumn("_whole", usable & (filled + F.col("_full") * F.greatest(open_, F.lit(0.0)) <= F.col("_total")))
-    left = F.col("_total") - F.sum(F.when(F.col("_whole"), F.col("_most")).otherwise(0.0)).over(group)
-    part = F.sum(F.when(F.col("_whole"), 0.0).otherwise(F.col("_amount"))).over(group)
-    factor = F.when(part > 0, left / part).otherwise(F.max("_full").over(group))
-    return rows.withColumn(name, F.coalesce(factor, F.lit(0.0))).drop("_most", "_amount", "_total", "_full", "_whole")
+    own = Window.partitionBy(d)
+    weight, most, goal = F.col("weight"), F.col("most"), F.col(f"{d}_goal")
+    total = F.sum("weight").over(own)
+    full = F.sum(F.when(weight >= most, most).otherwise(0.0)).over(own)
+    grown = F.when(weight >= most, weight).otherwise(F.least(most, weight * (goal - full) / (total - full)))
+    return F.when(total <= 0, 0.0).when(goal >= total, grown).otherwise(weight * goal / total)
 
 
 def bounded(fitted: DataFrame, mix: Mix, total: float) -> DataFrame:
     """``fitted`` raked anew to ``total`` tokens, of no cell more than it has; ``weight`` is in tokens.
 
-    Each cell's weight is its tokens times one factor per source, language and topic, cut at its tokens. A
-    margin gets its share of the total, or all it has and the other values the rest.
+    A margin gets its share of the total, or all it has and the other values the rest.
     """
     now = fitted.withColumn("weight", F.col("weight") * total)
     for d in DIMENSIONS:
         able = F.sum(F.when(F.col("weight") > 0, F.col("tokens")).otherwise(0)).cast("double")
-        margin = fitted.groupBy(d).agg(able.alias("able"), F.max(f"{d}_share").alias("share"))
-        margin = stored(margin, "mixing-margin")
+        margin = stored(fitted.groupBy(d).agg(able.alias("able"), F.max(f"{d}_share").alias("share")), "mixing-margin")
         goal = F.least(F.col("able"), F.col("share") * F.lit(_level(margin, total)))
         goals = stored(margin.select(F.col(d).alias("value"), goal.alias(f"{d}_goal")), "mixing-goals")
         now = now.join(goals, F.col(d).eqNullSafe(F.col("value"))).drop("value")
-    now = stored(now, "mixing-cells")
-    first, most = DIMENSIONS[0], F.col("tokens").cast("double")
+    most = F.col("tokens").cast("double")
+    now = stored(now.withColumn("most", most).withColumn("weight", F.least("weight", "most")), "mixing-cells")
+    first, missed = DIMENSIONS[0], 0.0
     for sweep in range(mix.sweeps):
         for d in DIMENSIONS:
-            now = _filled(now, F.col("weight"), most, F.col(f"{d}_goal"), [d], "factor")
-            now = now.withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
-        if sweep % 2 == 0 and sweep + 1 < mix.sweeps:
-            continue  # two sweeps to a table
+            now = now.withColumn("weight", _step(d))
+        if (sweep + 1) % SWEEPS_AT_ONCE and sweep + 1 < mix.sweeps:
+            continue
         now = stored(now, "mixing-cells")
-        miss = now.groupBy(first).agg(F.abs(F.sum(F.least("weight", most)) - F.max(f"{first}_goal")).alias("m"))
+        miss = now.groupBy(first).agg(F.abs(F.sum("weight") - F.max(f"{first}_goal")).alias("m"))
         missed = (miss.agg(F.max("m")).first()[0] or 0.0) / total
-        if missed <= 1e-9:
+        if missed <= 1e-12:
             break
-    return _told(now, missed, mix).withColumn("weight", F.least("weight", most))
+    return _told(now, missed, mix)
 
 
 def probabilities(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
@@ -279,48 +276,43 @@ def _sweep_sql(sweeps: int) -> str:
     return ",\n".join([*steps, f"fitted as materialized (select *, weight / tokens as ratio from {last})"])
 
 
-def _filled_sql(name: str, start: str, amount: str, most: str, total: str, by: str) -> str:
-    """``start`` with ``factor``: what fills each group's ``amount``, no row beyond ``most``, up to ``total``."""
-    upto = f"over ({by} order by full_ nulls last range between unbounded preceding and current row)"
-    return f"""
-{name}_a as (select *, case when {amount} > 0 then {most} / {amount} end as full_ from {start}),
-{name}_b as (
-    select *, full_ is not null and sum(case when full_ is not null then {most} end) {upto}
-        + full_ * greatest(sum({amount}) over ({by}) - sum({amount}) {upto}, 0) <= {total} as whole_ from {name}_a
-),
-{name}_c as (
-    select *, {total} - sum(case when whole_ then {most} else 0 end) over ({by}) as left_,
-        sum(case when whole_ then 0 else {amount} end) over ({by}) as part_, max(full_) over ({by}) as last_ from {name}_b
-),
-{name} as materialized (
-    select * exclude (full_, whole_, left_, part_, last_),
-        coalesce(case when part_ > 0 then left_ / part_ else last_ end, 0) as factor from {name}_c
-)"""
-
-
 def _bounded_sql(sweeps: int, least_kept: float) -> str:
     able = "(select sum(tokens) from fitted where weight > 0)"
     parts = [f"size as materialized (select {least_kept} * {able} as total)"]
     goals = []
     for d in DIMENSIONS:
+        upto = "over (order by full_ nulls last range between unbounded preceding and current row)"
         parts.append(
             f"{d}_able as (select {d} as value, sum(case when weight > 0 then tokens else 0 end)::double as able, "
             f"max({d}_share) as share, (select total from size) as total from fitted group by {d})"
         )
-        parts.append(_filled_sql(f"{d}_fill", f"{d}_able", "share", "able", "total", "").lstrip())
-        parts.append(f"{d}_goals as materialized (select value, least(able, share * factor) as goal from {d}_fill)")
+        parts.append(
+            f"{d}_full as (select *, case when share > 0 then able / share end as full_ from {d}_able),\n"
+            f"{d}_cut as (select *, full_ is not null and sum(case when full_ is not null then able end) {upto} "
+            f"+ full_ * greatest(sum(share) over () - sum(share) {upto}, 0) <= total as cut_ from {d}_full),\n"
+            f"{d}_level as (select coalesce(case when sum(case when cut_ then 0 else share end) > 0 "
+            f"then (max(total) - sum(case when cut_ then able else 0 end)) / sum(case when cut_ then 0 else share end) "
+            f"else max(full_) end, 0) as level from {d}_cut),\n"
+            f"{d}_goals as materialized (select value, least(able, share * (select level from {d}_level)) as goal from {d}_able)"
+        )
         goals.append(f"join {d}_goals {d}_g on f.{d} is not distinct from {d}_g.value")
     shown = ", ".join(f"{d}_g.goal as {d}_goal" for d in DIMENSIONS)
     parts.append(
-        f"b0 as materialized (select f.source, f.lang, f.topic, f.tokens, f.weight * (select total from size) as weight, {shown} "
+        f"b0 as materialized (select f.source, f.lang, f.topic, f.tokens, least(f.tokens, f.weight * (select total from size)) as weight, {shown} "
         f"from fitted f {' '.join(goals)})"
     )
     last = "b0"
     for i in range(sweeps):
         for d in DIMENSIONS:
             name = f"b{i}_{d}"
-            parts.append(_filled_sql(f"{name}_f", last, "weight", "tokens", f"{d}_goal", f"partition by {d}").lstrip())
-            parts.append(f"{name} as materialized (select * exclude (factor) replace (weight * factor as weight) from {name}_f)")
+            parts.append(
+                f"{name}_s as (select *, sum(weight) over (partition by {d}) as all_, "
+                f"sum(case when weight >= tokens then tokens else 0 end) over (partition by {d}) as full_ from {last}),\n"
+                f"{name} as materialized (select * exclude (all_, full_) replace (case when all_ <= 0 then 0 "
+                f"when {d}_goal >= all_ then case when weight >= tokens then weight "
+                f"else least(tokens, weight * ({d}_goal - full_) / (all_ - full_)) end "
+                f"else weight * {d}_goal / all_ end as weight) from {name}_s)"
+            )
             last = name
     parts.append(f"final as (select *, least(1.0, weight / tokens) as p from {last})")
     return ",\n".join(parts)
