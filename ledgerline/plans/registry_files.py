@@ -327,11 +327,12 @@ def mask_functions(spark: SparkSession, d: str) -> DataFrame:
     name = f"orders_{uuid.uuid4().hex}"
     src.crm_orders(spark, d).createOrReplaceTempView(name)
     number, text = f"{schema}.{sql_objects.MASK_NUMBER}", f"{schema}.{sql_objects.MASK_TEXT}"
-    return spark.sql(
-        f"SELECT customer_id, {text}(CAST(customer_id AS STRING), role) AS shown_id, role, "
-        f"SUM({number}(amount, role)) AS total_spent FROM {name} CROSS JOIN VALUES ('{UNMASKED_ROLE}'), ('ANALYST') AS roles(role) "
-        "GROUP BY customer_id, role"
-    )
+    by_role = [
+        f"SELECT customer_id, {text}(CAST(customer_id AS STRING), '{role}') AS shown_id, '{role}' AS role, "
+        f"SUM({number}(amount, '{role}')) AS total_spent FROM {name} GROUP BY customer_id"
+        for role in (UNMASKED_ROLE, "ANALYST")
+    ]
+    return spark.sql(" UNION ALL ".join(by_role))
 
 
 @register()
