@@ -156,8 +156,10 @@ class _Pass:
     """One induction pass over lanes; ``wanted`` tells which suffixes it places."""
 
     def __init__(self, text, wanted, lane_of, single, clip, memory, sign):
-        self.text, self.wanted, self.lane_of, self.single = text, wanted, lane_of, single
-        self.clip, self.sign = clip, sign
+        self.text, self.single, self.clip, self.sign = text, single, clip, sign
+        # The lane of each position, in few bytes, as a stable sort of those is a counting one.
+        self.none = len(single)
+        self.lane_at = np.where(wanted, lane_of.astype(np.min_scalar_type(self.none))[text], np.min_scalar_type(self.none).type(self.none))
         self.queue = Queue(len(single), memory)
         self.least = np.zeros(len(single), np.uint8)  # since the last push, into each lane
         self.fresh = np.ones(len(single), bool)
@@ -167,8 +169,8 @@ class _Pass:
         for a in range(0, len(position), _BATCH):
             part, least = position[a : a + _BATCH], prefix[a : a + _BATCH]
             before = np.maximum(part - 1, 0)
-            lane = self.lane_of[self.text[before]]
-            use = (part > 0) & self.wanted[before]
+            lane = self.lane_at[before]
+            use = (part > 0) & (lane != self.none)
             if not self.single[own]:
                 use &= lane != own
             index = np.flatnonzero(use)
@@ -206,7 +208,7 @@ class _Pass:
         while True:
             order = np.lexsort((source, within, seed, self.sign * self.text[position].astype(np.int64)))
             before = np.maximum(position[frontier] - 1, 0)
-            use = (position[frontier] > 0) & self.wanted[before] & (self.lane_of[self.text[before]] == lane)
+            use = (position[frontier] > 0) & (self.lane_at[before] == lane)
             if not use.any():
                 return position[order], seed[order] == 0
             rank = np.empty(len(order), np.int64)
@@ -234,19 +236,27 @@ def _lanes(text: np.ndarray, n_symbols: int, memory: int) -> tuple[np.ndarray, n
     return lane, np.bincount(lane) == 1
 
 
-def _seed_prefix(text: np.ndarray, position: np.ndarray, clip: int) -> np.ndarray:
-    """The common prefix of each sorted seed with the one before."""
+def _seed_prefix(text: np.ndarray, position: np.ndarray, n_symbols: int, clip: int) -> np.ndarray:
+    """The common prefix of each sorted seed with the one before, several symbols compared at a time."""
     common = np.zeros(len(position), np.uint8)
-    if len(position) < 2:
+    if len(position) < 2 or not clip:
         return common
+    symbol = np.dtype(np.min_scalar_type(n_symbols - 1))
+    step = 8 // symbol.itemsize
+    # The last symbol occurs once, so no two suffixes are equal beyond it, and what follows it does not matter.
+    packed = np.zeros(len(text) + clip + 2 * step, symbol)
+    packed[: len(text)] = text
+    words = np.ndarray(len(text) + clip + step, "<u8", packed, strides=(symbol.itemsize,))
     a, b, on = position[:-1], position[1:], np.arange(len(position) - 1)
-    depth = 0
-    while len(on) and depth < clip:
-        inside = (np.maximum(a[on], b[on]) + depth) < len(text)
-        on = on[inside]
-        on = on[text[a[on] + depth] == text[b[on] + depth]]
-        common[on + 1] += 1
-        depth += 1
+    for depth in range(0, clip, step):
+        other = words[a[on] + depth] ^ words[b[on] + depth]
+        equal = other == 0
+        low = other & (~other + np.uint64(1))
+        same = np.where(equal, step, np.bitwise_count(low - np.uint64(1)) // (8 * symbol.itemsize))
+        common[on + 1] = np.minimum(depth + same, clip)
+        on = on[equal]
+        if not len(on):
+            break
     return common
 
 
@@ -263,7 +273,7 @@ def sort_suffixes(text: np.ndarray, n_symbols: int, clip: int = CLIP, memory: in
     n_names = int(names.max()) + 1
     order = np.argsort(names) if n_names == len(seeds) else sort_suffixes(names, n_names, 0, memory)[0]
     seeds = seeds[order]
-    seed_prefix = _seed_prefix(text, seeds, clip)
+    seed_prefix = _seed_prefix(text, seeds, n_symbols, clip)
     lane_of, single = _lanes(text, n_symbols, memory)
     n_lanes = len(single)
     seed_edges = np.searchsorted(lane_of[text[seeds]], np.arange(n_lanes + 1))

@@ -10,7 +10,8 @@ share is one fragment per block.
 A shard sorts the suffixes of its fragments by external induced sorting, with common prefixes; suffixes
 next to each other that share ``width`` bytes are one string, and the smallest id among them tells each
 block which of its strings start in an earlier document. An anchor whose fragments are all equal needs no
-sorting: its strings are as equal as the fragments. Anchors are sorted in portions of a shard; only one
+sorting: its strings are as equal as the fragments. Nor does a fragment that agrees with no other one on
+either side of the anchor, where an equal string would agree on one. Anchors are sorted in portions of a shard; only one
 anchor that is larger than a portion makes a larger one. The answer is one bit per string.
 
 Texts are UTF-8 bytes, strings never cross documents, and all are judged on the input. Defined results: a
@@ -46,6 +47,8 @@ WIDTH = 50
 SHORT = 16
 #: Fragments of different anchors share no string, so a shard is sorted in portions of about this size.
 SORT_BYTES = 1 << 21
+#: Fragments whose anchors are looked up at a time.
+_AT_ONCE = 1 << 14
 
 _ANCHORS = "bucket long, block long, high binary, low binary, flags binary"
 _FRAGMENTS = "bucket long, block long, kind int, keys binary, sizes binary, data binary, ids binary"
@@ -201,10 +204,9 @@ def least_ids(fragments: list[bytes], ids: np.ndarray, width: int) -> list[np.nd
     text[: len(raw)] = raw.astype(np.int32) + 2
     text[starts[1:] - 1] = 1
     text[-1] = 0
-    order, common = induced_sort.sort_suffixes(text, 258, width, induced_sort.MEMORY)
+    order, common = induced_sort.sort_suffixes(text, int(text.max()) + 1, width, induced_sort.MEMORY)
     group = np.flatnonzero(np.append(True, common[1:] < width))
-    owner = np.searchsorted(starts, order, "right") - 1
-    of = np.append(ids, np.iinfo(np.int64).max)[np.minimum(owner, len(ids))]
+    of = np.append(np.repeat(ids, sizes + 1), np.iinfo(np.int64).max)[order]
     least = np.empty(len(order), np.int64)
     least[order] = np.repeat(np.minimum.reduceat(of, group), np.diff(np.append(group, len(order))))
     return [least[a : a + size - width + 1] for a, size in zip(starts[:-1], sizes)]
@@ -221,6 +223,46 @@ def _portions(differ: np.ndarray, anchor: np.ndarray, fragments: list[bytes]):
     yield from np.split(differ, np.flatnonzero(np.diff(portion)) + 1)
 
 
+def _beside_anchors(fragments: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of what stands to the left and to the right of every anchor, and the fragment of each key.
+
+    An equal string has its anchor at one place in both fragments, and so many bytes of the string on one
+    side of it that one of these keys is equal, too."""
+    reach = min(SHORT, (width - SHORT + 1) // 2)
+    sizes = np.array([len(f) for f in fragments])
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    short = _short_hashes(np.frombuffer(b"".join(fragments), np.uint8))
+    n_short = sizes - SHORT + 1
+    first = np.cumsum(n_short) - n_short
+    own = np.repeat(np.arange(len(sizes)), n_short)
+    place = np.arange(len(own)) + (starts[:-1] - first)[own]
+    hashes = short[place]
+    least = np.minimum.reduceat(hashes, first)
+    anchor = np.flatnonzero(hashes == least[own])
+    at, own = place[anchor], own[anchor]
+    keys = []
+    for side, beside in enumerate((at - reach, at + reach)):
+        inside = (beside >= starts[own]) & (beside + SHORT <= starts[own + 1])
+        keys.append((mixed(short[beside[inside]] * np.uint64(31) + least[own[inside]] + np.uint64(side)), own[inside]))
+    return tuple(np.concatenate(k) for k in zip(*keys))
+
+
+def _contested(differ: np.ndarray, fragments: list[bytes], width: int) -> np.ndarray:
+    """Those fragments that may share a string with another one, by the bytes beside their anchors."""
+    found = []
+    for a in range(0, len(differ), _AT_ONCE):
+        part = differ[a : a + _AT_ONCE]
+        key, own = _beside_anchors([fragments[i] for i in part], width)
+        found.append((key, part[own]))
+    if not found:
+        return differ
+    key, own = (np.concatenate(x) for x in zip(*found))
+    order, first = groups_of(key)
+    own = own[order]
+    many = np.minimum.reduceat(own, first) != np.maximum.reduceat(own, first)
+    return np.unique(own[np.repeat(many, np.diff(np.append(first, len(own))))])
+
+
 def _answer_fragments(width: int):
     def run(cells: pa.Table) -> pa.Table:
         asked = cells.filter(pc.equal(cells.column("kind"), 0))
@@ -245,7 +287,7 @@ def _answer_fragments(width: int):
         _, where, sizes = np.unique(key_of, return_inverse=True, return_counts=True)
         differ = np.flatnonzero(sizes[where] > 1)  # fragments that others of their anchor differ from
         least = {}
-        for part in _portions(differ, where, fragments):
+        for part in _portions(_contested(differ, fragments, width), where, fragments):
             least |= zip(part.tolist(), least_ids([fragments[i] for i in part], least_id[part], width))
         bits = []
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -230,6 +231,29 @@ def test_suffix_dedup_sorts_shards_larger_than_memory(monkeypatch):
         assert least.tolist() == [first[f[a : a + 50]] for a in range(len(f) - 49)]
 
 
+@pytest.mark.parametrize("width", [32, 33, 50])
+def test_fragments_left_unsorted_share_no_string(width):
+    """Over texts of few symbols, whose anchors recur, and copies that differ left or right of them."""
+    rnd = random.Random(width)
+    made = set()
+    for symbols in (b"a", b"ab", b"abcdefgh"):
+        for _ in range(40):
+            text = bytes(rnd.choice(symbols) for _ in range(rnd.randrange(width, 3 * width)))
+            cut, other = rnd.randrange(len(text)), bytes(rnd.choice(symbols) for _ in range(width))
+            made |= {text, text[:cut] + other, other + text[cut:]}
+    # One anchor a fragment, as the shards get them.
+    block = pa.table({"text": [t.decode() for t in sorted(made) if len(t) >= width]})
+    fragments = sorted({p[a : a + n + width - 1].tobytes() for p, _, _, _, b, c, _ in suffix_dedup._runs(block, width) for a, n in zip(b, c)})
+    kept = set(suffix_dedup._contested(np.arange(len(fragments)), fragments, width).tolist())
+    holders = {}
+    for i, f in enumerate(fragments):
+        for a in range(len(f) - width + 1):
+            holders.setdefault(f[a : a + width], set()).add(i)
+    shared = set().union(*(h for h in holders.values() if len(h) > 1))
+    assert shared and shared <= kept and len(kept) < len(fragments)
+    assert len(suffix_dedup._contested(np.arange(0), [], width)) == 0
+
+
 def test_suffix_dedup_edge_cases(hard, empty):
     out = digest3(suffix_dedup.without_repeated_strings(hard))
     plain = [(r.doc_id, r.text) for r in hard.collect() if r.doc_id not in (6, 7)]
