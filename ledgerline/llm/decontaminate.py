@@ -17,7 +17,8 @@ size, and a large benchmark is joined by a shuffle like any other table.
 
 Items of fewer than ``MIN_TOKENS`` tokens show no leak and are left out, and so do documents with fewer
 tokens than must be equal. Defined results: null texts have no tokens and
-match nothing; repeated rows and items give one pair each; empty tables give an empty result.
+match nothing; repeated rows and items give one pair each; very long texts are searched whole; other columns, whatever
+their names, play no part and go through ``without_leaks`` as they are; empty tables give an empty result.
 """
 
 from __future__ import annotations

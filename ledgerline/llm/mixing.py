@@ -22,7 +22,8 @@ checkpoint; only single numbers come to the driver. If the sweeps end with a mar
 
 Defined results: null languages and sources are values of their own, a null text has no tokens; such
 documents are judged by their cell like any other, and a cell without tokens is kept whole; rows with equal ids and
-texts are kept or left together; an empty table gives an empty result.
+texts are kept or left together; very long texts are counted whole; other columns, whatever their names, play no
+part and go through the sample as they are; an empty table gives an empty result.
 """
 
 from __future__ import annotations

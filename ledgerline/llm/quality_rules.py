@@ -15,7 +15,8 @@ may be some occurrences beyond its fence, as a short text with one of them is no
 Groups with few documents use the merged sketch of their language, or that of all documents.
 
 Defined results: a null text counts as empty and fails the fixed rule; null languages and sources form
-groups of their own; repeated rows are judged alike, row by row; an empty table gives an empty result.
+groups of their own; repeated rows are judged alike, row by row; very long texts are counted whole; other
+columns, whatever their names, play no part and go through ``keep_good`` as they are; an empty table gives an empty result.
 """
 
 from __future__ import annotations

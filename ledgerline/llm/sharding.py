@@ -14,7 +14,8 @@ found by bisection. Groups larger than a mean shard get a shard each and the oth
 them, so sizes are near equal as far as indivisible groups allow.
 
 Defined results: a null text has size 8, checksum 0 and forms a group of its own; repeated rows are
-rows of one group, each with its own slot; an empty table gives an empty result.
+rows of one group, each with its own slot, in any order among rows of one id and text; very long texts count with all
+their bytes; other columns are left out; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -10,7 +10,9 @@ smallest of them, not all to all: at an even distance any two of them are linked
 Groups are connected components of the links, found by rounds of large-star and small-star steps.
 
 Defined results: a null text is empty and has fingerprint zero; null ids are never a component's id
-unless no row of it has another; equal rows have equal results; an empty table gives an empty result.
+unless no row of it has another; equal rows have equal results, and of those ``keep_one`` keeps one; very
+long texts are hashed whole; other columns, whatever their names, go through ``keep_one`` as they are; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations

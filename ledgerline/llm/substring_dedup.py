@@ -11,7 +11,8 @@ third of all documents share is one entry per block of documents.
 
 A window began earlier if its words also start in a document with a smaller id, or earlier in the same
 document. All windows are judged on the input. Defined results: a null text has no words; a null id comes
-after all others; rows with equal ids are neither before each other; an empty table gives an empty result.
+after all others; rows with equal ids are neither before each other; very long texts are treated whole; other columns are
+left out; an empty table gives an empty result.
 """
 
 from __future__ import annotations
