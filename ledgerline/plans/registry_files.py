@@ -22,7 +22,7 @@ from ledgerline.operators.counts import content_differences, count_from_footers,
 from ledgerline.plans import agriculture, customers, finance, retail
 from ledgerline.plans.district_state import CROPS, RAINFALL, SIDES, SOIL, DistrictState, maintain_districts
 from ledgerline.plans.registry import DELETE_BELOW, FACTS_SINCE, SALES_DAY, TEST_RULES, register
-from ledgerline.plans.report import CachedReport, to_report
+from ledgerline.plans.report import CachedReport, report_pages
 from ledgerline.session import fresh_dir, shared_dir
 from ledgerline.sources import sql_objects, tables
 from ledgerline.sources import testdata as src
@@ -391,13 +391,14 @@ def pipeline_listing(spark: SparkSession, d: str) -> DataFrame:
 
 @register()
 def report_frame(spark: SparkSession, d: str) -> DataFrame:
-    """The ten best products of a cached report brought to the client, and made a frame again."""
+    """A cached report of every product brought to the client in pages, best first, and made a frame again."""
     lines = retail.build_fact_sales(src.retail_orders(spark, d, customer=False))
     report = CachedReport(lambda: retail.sales_summary(lines))
-    top = report.get().orderBy(descending("total_sales"), "product_id").limit(10)
-    frame, schema = to_report(top, max_rows=10), top.schema
+    target = BatchSink(spark, fresh_dir(spark, "report-frame"), report.get().schema)
+    for number, page in enumerate(report_pages(report.get(), descending("total_sales"), "product_id")):
+        target.append(spark.createDataFrame(page, target.schema).coalesce(1), f"page-{number}")
     report.clear()
-    return spark.createDataFrame(frame, schema)
+    return target.read()
 
 
 @register(avg_rainfall=6)

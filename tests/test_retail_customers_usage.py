@@ -2,11 +2,12 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.functions.masking import AMOUNT_MASK, EMAIL_MASK, mask
 from ledgerline.operators.joins import COUNT, SUM, aggregate_by_lookup
-from ledgerline.plans import customers, retail, usage
-from ledgerline.plans.report import CachedReport, to_report
+from ledgerline.plans import customers, registry, retail, usage
+from ledgerline.plans.report import CachedReport, _place, report_pages, to_report
 
 
 @pytest.fixture
@@ -225,6 +226,60 @@ def test_report_is_refused_not_cut(spark):
         to_report(spark.range(6), max_rows=5)
 
 
+def test_report_in_pages_is_whole_and_in_order(spark):
+    big = 2**53 + 1
+    df = spark.createDataFrame([(i or None, big + i) for i in range(11)], "a long, b long").repartition(3)
+    pages = list(report_pages(df, F.col("b").desc(), page_rows=4))
+    assert all(0 < len(page) <= 4 for page in pages) and 3 <= len(pages) <= 6
+    assert [tuple(r) for page in pages for r in page.values] == [(i or None, big + i) for i in range(10, -1, -1)]
+    (empty,) = report_pages(df.where("b < 0"), "b", page_rows=4)
+    assert list(empty.columns) == ["a", "b"] and empty.empty
+    names = [f"part-{task}-5c0ffee1-c{number}.snappy.parquet" for task in ("00002", "100000") for number in ("000", "101", "1000")]
+    assert sorted(sorted(names), key=_place) == names
+
+
+def test_report_of_many_partitions_is_few_pages(spark):
+    df = spark.range(40).withColumn("x", -F.col("id"))
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        for name, value in zip(names, ("23", "false")):
+            spark.conf.set(name, value)
+        (page,) = report_pages(df, "x", page_rows=40)
+        halves = list(report_pages(df, "x", page_rows=20))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert page["x"].tolist() == list(range(-39, 1))
+    assert len(halves) <= 4 and [x for half in halves for x in half["x"]] == list(range(-39, 1))
+
+
+@pytest.mark.parametrize("arrow", ["true", "false"])
+def test_report_frame_has_every_product(spark, tmp_path, monkeypatch, arrow):
+    """More products than a page holds, one of them NULL and one that no float can tell from its neighbour."""
+    products = [None, 2**53 + 1, *range(1, 24)]
+    lines = [(i, p, 1, 1.0, 10.25 * i, "1998-01-01") for i, p in enumerate(products * 2)]
+    spark.createDataFrame(
+        lines, "l_orderkey long, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_shipdate string"
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setitem(report_pages.__kwdefaults__, "page_rows", 7)
+    before = spark.conf.get("spark.sql.execution.arrow.pyspark.enabled")
+    spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", arrow)
+    try:
+        got = registry.queries()["report_frame"](spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", before)
+    want = {p: 10.25 * i + 10.25 * (i + len(products)) for i, p in enumerate(products)}
+    assert len(got) == len(products) and {r["product_id"]: r["total_sales"] for r in got} == want
+
+
+def test_report_frame_is_of_no_product_without_sales(spark, tmp_path):
+    spark.createDataFrame(
+        [], "l_orderkey long, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_shipdate string"
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    assert registry.queries()["report_frame"](spark, str(tmp_path)).collect() == []
+
+
 def test_cached_report_is_rebuilt_when_old(spark):
     built = []
 
