@@ -88,8 +88,10 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def _noted(spark: SparkSession, path: str) -> list[int]:
-    """The buckets of a fold, from the names of empty folders."""
+    """The buckets of a fold, from the names of empty folders; none were made if it touched no bucket."""
     place, fs = _on(spark, path)
+    if not fs.exists(place):
+        return []
     return sorted(int(status.getPath().getName()) for status in fs.listStatus(place))
 
 

@@ -51,6 +51,13 @@ def test_a_fold_rewrites_only_touched_buckets(spark, filled):
     assert tables.stored_rows(spark, filled).count() == 2000
 
 
+def test_a_fold_of_no_keys_touches_nothing_and_is_told(spark, filled):
+    before = files(spark, filled)
+    none = spark.createDataFrame([], FRAME)
+    assert tables.fold_table(spark, filled, none, lambda rows: rows.unionByName(none), "none") == []
+    assert files(spark, filled) == before and buckets.layout(spark, filled).label == "none"
+
+
 def test_only_touched_files_are_read(spark, filled):
     plan = buckets.in_buckets(spark, filled, [3])._jdf.queryExecution().executedPlan().toString()
     assert f"PartitionFilters: [isnotnull({buckets.BUCKET}" in plan and f"{buckets.BUCKET}#" in plan
