@@ -1,10 +1,10 @@
 """Suffix sorting by external induced sorting, with common-prefix lengths.
 
 The suffixes that start a rise after a fall (the leftmost of each rise) are sorted first, by naming the
-substrings between them and sorting the string of names in the same way; all others are induced from
-them, falling ones in a pass from the smallest symbol up, rising ones in a pass back down. A pass pops
-tuples (position, common prefix with the tuple before) from a priority queue and pushes the tuples of the
-positions before them.
+substrings between them and sorting the string of names in the same way, or, once it takes a small part of
+the memory, by doubling the compared length; all others are induced from them, falling ones in a pass from
+the smallest symbol up, rising ones in a pass back down. A pass pops tuples (position, common prefix with
+the tuple before) from a priority queue and pushes the tuples of the positions before them.
 
 The queue is one lane per range of symbols. Pushes into a lane arrive in order, so a lane is a run of
 tuples that goes to disk when the queue outgrows its memory and is read back when the pass gets there.
@@ -260,6 +260,35 @@ def _seed_prefix(text: np.ndarray, position: np.ndarray, n_symbols: int, clip: i
     return common
 
 
+def _sorted_in_memory(names: np.ndarray) -> np.ndarray:
+    """All positions of a string of names in the order of its suffixes; the last name occurs nowhere else.
+
+    Suffixes that tie in their first symbols are compared by the rank of what follows these, so the compared
+    length doubles each time, and only what still ties is looked at again.
+    """
+    n = len(names)
+    counts = np.bincount(names)
+    rank = (np.cumsum(counts) - counts)[names]  # the place of the first suffix of each group of ties
+    active = np.flatnonzero(counts[names] > 1)
+    step = 1
+    while len(active):
+        # What ties does not reach the last name, so there is always a rank to compare by.
+        key = rank[active] * n + rank[active + step]
+        order = np.argsort(key)
+        active, key = active[order], key[order]
+        old = rank[active]
+        index = np.arange(len(active))
+        new_part = np.append(True, key[1:] != key[:-1])
+        group = np.maximum.accumulate(np.where(np.append(True, old[1:] != old[:-1]), index, 0))
+        part = np.maximum.accumulate(np.where(new_part, index, 0))
+        rank[active] = old + part - group
+        active = active[~(new_part & np.append(new_part[1:], True))]
+        step *= 2
+    order = np.empty(n, np.int64)
+    order[rank] = np.arange(n)
+    return order
+
+
 def sort_suffixes(text: np.ndarray, n_symbols: int, clip: int = CLIP, memory: int = MEMORY):
     """All positions of ``text`` in the order of their suffixes, and each one's common prefix with the one
     before, cut off at ``clip``, 254 at most; with 0 it is not worked out. The last symbol must be 0 and
@@ -271,7 +300,12 @@ def sort_suffixes(text: np.ndarray, n_symbols: int, clip: int = CLIP, memory: in
         return np.zeros(1, np.int64), np.zeros(1, np.uint8)
     names = _names(text, seeds, n_symbols)
     n_names = int(names.max()) + 1
-    order = np.argsort(names) if n_names == len(seeds) else sort_suffixes(names, n_names, 0, memory)[0]
+    if n_names == len(seeds):
+        order = np.argsort(names)
+    elif 4 * len(names) <= memory:
+        order = _sorted_in_memory(names)
+    else:
+        order = sort_suffixes(names, n_names, 0, memory)[0]
     seeds = seeds[order]
     seed_prefix = _seed_prefix(text, seeds, n_symbols, clip)
     lane_of, single = _lanes(text, n_symbols, memory)

@@ -289,13 +289,13 @@ def _answer_fragments(width: int):
         least = {}
         for part in _portions(_contested(differ, fragments, width), where, fragments):
             least |= zip(part.tolist(), least_ids([fragments[i] for i in part], least_id[part], width))
-        bits = []
-        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-            flags = [np.zeros(0, bool)]
-            for i in range(a, b):
-                own = least.get(int(number[i]))
-                flags.append(own < ids[i] if own is not None else np.full(counts[i], least_id[number[i]] < ids[i]))
-            bits.append(np.packbits(np.concatenate(flags)).tobytes())
+        flags = np.repeat(least_id[number] < ids, counts)
+        ends = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+        sorted_ = np.zeros(len(fragments), bool)
+        sorted_[list(least)] = True
+        for i in np.flatnonzero(sorted_[number]).tolist():
+            flags[ends[i] : ends[i + 1]] = least[int(number[i])] < ids[i]
+        bits = [np.packbits(flags[ends[a] : ends[b]]).tobytes() for a, b in zip(edges[:-1], edges[1:])]
         back = cells.filter(pc.equal(cells.column("kind"), 1))
         columns = [pa.concat_arrays([*asked.column(c).chunks, *back.column(c).chunks]) for c in ("block", "bucket", "kind")]
         data = pa.array(bits + back.column("keys").to_pylist(), pa.binary())
@@ -347,9 +347,10 @@ def _remove(n: int, width: int):
             raw, offsets = texts(block.column("text"))
             cover = np.zeros(len(raw) + 1, np.int32)
             for (_, at, a, *_), place in _removed_strings(block, ids, replies, n, width):
+                # Every string is in one run, so no place comes twice.
                 shifted = place + offsets[a]
-                np.add.at(cover, shifted, 1)
-                np.add.at(cover, shifted + width, -1)
+                cover[shifted] += 1
+                cover[shifted + width] -= 1
             gone = np.cumsum(cover[:-1]) > 0
             for i in range(len(block)):
                 part, lost = raw[offsets[i] : offsets[i + 1]], gone[offsets[i] : offsets[i + 1]]

@@ -166,6 +166,40 @@ def test_repeated_prose_is_sorted(memory):
             assert c == induced_sort.CLIP or data[a : a + c + 1] != data[b : b + c + 1]
 
 
+def test_names_that_fit_in_memory_need_no_further_passes(monkeypatch):
+    """Two passes for a text whose names fit in memory, four or more where they do not, in the same order."""
+    made = []
+    init = induced_sort._Pass.__init__
+
+    def counted(self, *args):
+        made.append(self)
+        init(self, *args)
+
+    monkeypatch.setattr(induced_sort._Pass, "__init__", counted)
+    rng = np.random.default_rng(3)
+    period = np.tile(rng.integers(2, 258, 7), 600)
+    for body in (rng.integers(2, 40, 5000), period, np.append(period, rng.integers(2, 5, 4000))):
+        text = np.append(body, 0)
+        passes, found = [], []
+        for memory in (1 << 20, 300):
+            made.clear()
+            found.append(induced_sort.sort_suffixes(text, 258, 50, memory))
+            passes.append(len(made))
+        assert passes[0] == 2 and passes[1] >= 4
+        assert all(a.tolist() == b.tolist() for a, b in zip(*found))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_names_are_sorted_in_memory(seed):
+    rng = np.random.default_rng(seed)
+    for _ in range(60):
+        part = rng.integers(1, int(rng.choice([2, 3, 20])), int(rng.integers(1, 60)))
+        names = np.append(np.tile(part, int(rng.integers(1, 5))), 0)
+        names = np.unique(names, return_inverse=True)[1]
+        expected = sorted(range(len(names)), key=lambda i: names[i:].tolist())
+        assert induced_sort._sorted_in_memory(names).tolist() == expected
+
+
 def test_queue_gives_back_what_went_to_disk():
     queue = induced_sort.Queue(3, memory=10)
     pushed = {0: [], 1: [], 2: []}
